@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import Column, Contract, Table
 from ..operators.clean import clean, conform
-from ..operators.dedupe import distinct_rows, keep_best
+from ..operators.dedupe import distinct_rows, keep_best, keep_ranked
 from ..operators.filters import emptiness, filter_rows
 from ..operators.quality import contract_report, key_violations, length_violations
 from ..plans.stages import served_rows
@@ -54,7 +54,7 @@ SELECT p_name, p_partkey, p_size, p_brand, p_type, p_retailprice FROM (
 WHERE rn = 1
 """)
 def dedupe_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_best(table(spark, sf_dir, "part"), ["p_name"], ["p_size"], ["p_partkey"])
+    return keep_ranked(table(spark, sf_dir, "part"), ["p_name"], ["p_size"], ["p_partkey"])
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,8 @@ def nan_as_null(df: DataFrame, name: str) -> Column:
     return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType))
 
 
-def nans_to_nulls(df: DataFrame) -> DataFrame:
-    """All float columns of a frame with NaN replaced by null."""
-    floats = {f.name: nan_as_null(df, f.name) for f in df.schema if is_float(df, f.name)}
+def nans_to_nulls(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """The frame with NaN replaced by null in the named, or in all, float columns."""
+    names = df.columns if names is None else names
+    floats = {name: nan_as_null(df, name) for name in names if is_float(df, name)}
     return df.withColumns(floats) if floats else df

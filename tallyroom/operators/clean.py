@@ -41,18 +41,28 @@ def conform(df: DataFrame, columns: Iterable[Column]) -> DataFrame:
     return df.select(*[_to_type(df, c).alias(c.name) for c in columns])
 
 
+# Text that no cast to a number accepts. A failing cast costs a Java exception
+# per row, so such text is recognised first.
+_MAYBE_NUMBER = r"^\s*[+-]?[0-9.IiNn]"
+_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def _to_type(df: DataFrame, target: Column) -> SparkColumn:
     c = col(target.name)
-    source = df.schema[target.name].dataType
-    if source == target.spark_type:
+    source, kind = df.schema[target.name].dataType, target.spark_type
+    if source == kind:
         return c
-    if isinstance(target.spark_type, T.IntegralType) and not isinstance(source, T.IntegralType):
+    text = isinstance(source, T.StringType)
+    if isinstance(kind, T.IntegralType) and not isinstance(source, T.IntegralType):
         # Files written from a nullable integer column hold 70.0: round it to the
         # integer, half to even, as a database does on assignment.
-        rounded = F.bround(c.try_cast("double"), 0).try_cast(target.type)
-        if isinstance(source, T.StringType):
-            return F.coalesce(c.try_cast(target.type), rounded)
-        return rounded
+        rounded = F.rint(c.try_cast("double")).try_cast(target.type)
+        if not text:
+            return rounded
+        return (F.when(c.rlike(_WHOLE_NUMBER), c.try_cast(target.type))
+                .when(c.rlike(_MAYBE_NUMBER), rounded))
+    if text and isinstance(kind, T.NumericType):
+        return F.when(c.rlike(_MAYBE_NUMBER), c.try_cast(target.type))
     return c.try_cast(target.type)
 
 

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, known
+from ..functions.columns import col
 
 
 def all_of(conditions: Iterable[Column]) -> Column:
@@ -23,12 +23,13 @@ def filter_rows(df: DataFrame, ranges: Mapping[str, tuple[Any, Any] | None] | No
     """Rows inside every closed range and equal on every given value.
 
     ``None`` as a range or value means that the column is not filtered. A range
-    drops unknown values, also when it spans everything.
+    drops unknown values, also when it spans everything: null compares as unknown
+    and NaN as larger than any upper end.
     """
     conditions = []
     for name, bounds in (ranges or {}).items():
         if bounds is not None:
-            conditions.append(known(df, name) & col(name).between(*bounds))
+            conditions.append(col(name).between(*bounds))
     for name, value in (equals or {}).items():
         if value is not None:
             conditions.append(col(name) == F.lit(value))

@@ -72,21 +72,59 @@ def _one_task_per_member(spark: SparkSession, path: str | list[str],
             .repartition(n, "archive", "member"))
 
 
-def _list_members() -> Callable[[Iterator], Iterator]:
-    def run(batches):
+def _zip_opener() -> Callable:
+    """A worker function that opens an archive anywhere and closes it after use."""
+    import contextlib
+
+    @contextlib.contextmanager
+    def open_zip(path):
+        import io
         import zipfile
 
-        import pyarrow as pa
         from pyarrow import fs
 
+        class Source(io.RawIOBase):
+            """An Arrow file whose failed seek is an OSError, as ``zipfile`` expects."""
+
+            def __init__(self, file):
+                self.file, self.size = file, file.size()
+
+            def readable(self):
+                return True
+
+            def seekable(self):
+                return True
+
+            def seek(self, offset, whence=0):
+                position = offset + (0, self.file.tell(), self.size)[whence]
+                if position < 0:
+                    raise OSError("seek before the start")
+                self.file.seek(position)
+                return position
+
+            def readinto(self, buffer):
+                return self.file.readinto(buffer)
+
+        system, inner = fs.FileSystem.from_uri(path)
+        with (system.open_input_file(inner) as file,
+              zipfile.ZipFile(io.BufferedReader(Source(file), 1 << 20)) as archive):
+            yield archive
+    return open_zip
+
+
+def _list_members() -> Callable[[Iterator], Iterator]:
+    open_zip = _zip_opener()
+
+    def run(batches):
+        import pyarrow as pa
+
         def is_safe(name):
             parts = name.replace("\\", "/").split("/")
             return bool(parts[0]) and ":" not in parts[0] and ".." not in parts
 
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                system, inner = fs.FileSystem.from_uri(path)
-                with system.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
+                with open_zip(path) as archive:
                     found = [i for i in archive.infolist() if not i.is_dir()]
                 yield pa.RecordBatch.from_pydict({
                     "archive": pa.array([path] * len(found), pa.string()),
@@ -98,12 +136,12 @@ def _list_members() -> Callable[[Iterator], Iterator]:
 
 
 def _read_lines(encoding: str) -> Callable[[Iterator], Iterator]:
+    open_zip = _zip_opener()
+
     def run(batches):
         import io
-        import zipfile
 
         import pyarrow as pa
-        from pyarrow import fs
 
         def emit(path, member, first, lines):
             n = len(lines)
@@ -117,9 +155,7 @@ def _read_lines(encoding: str) -> Callable[[Iterator], Iterator]:
         for batch in batches:
             for path, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                     strict=True):
-                system, inner = fs.FileSystem.from_uri(path)
-                with (system.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive,
-                      archive.open(member) as stream):
+                with open_zip(path) as archive, archive.open(member) as stream:
                     first, held, lines = 1, 0, []
                     for line in io.TextIOWrapper(stream, encoding=encoding, errors="replace"):
                         lines.append(line.removesuffix("\n"))
@@ -133,17 +169,17 @@ def _read_lines(encoding: str) -> Callable[[Iterator], Iterator]:
 
 
 def _write_members() -> Callable[[Iterator], Iterator]:
+    open_zip = _zip_opener()
+
     def run(batches):
         import shutil
         import uuid
-        import zipfile
 
         import pyarrow as pa
         from pyarrow import fs
 
         for batch in batches:
             for path, member, target in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                system, inner = fs.FileSystem.from_uri(path)
                 if "://" in target or target.startswith("file:"):
                     to_system, to = fs.FileSystem.from_uri(target)
                 else:
@@ -151,8 +187,7 @@ def _write_members() -> Callable[[Iterator], Iterator]:
                 folder, _, name = to.rpartition("/")
                 to_system.create_dir(folder, recursive=True)
                 partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
-                with (system.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive,
-                      archive.open(member) as stream,
+                with (open_zip(path) as archive, archive.open(member) as stream,
                       to_system.open_output_stream(partial) as out):
                     shutil.copyfileobj(stream, out, 1 << 20)
                     size = archive.getinfo(member).file_size

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    session = (SparkSession.builder.master("local[4]").appName("tallyroom-tests")
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallyroom-wh-"))
+               .getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture
+def players(spark):
+    """Builds cleaned player rows from partial dicts."""
+    from tallyroom.contracts import PLAYERS
+
+    schema = PLAYERS.cleaned.schema
+    base = {"short_name": "s", "full_name": "f", "age": 20, "nationality": "N", "overall": 70,
+            "potential": 80, "club_name": "C", "value_eur": 1.0, "wage_eur": 1.0,
+            "player_positions": "GK", "preferred_foot": "Left"}
+
+    def build(*rows):
+        full = [{**base, **row} for row in rows]
+        return spark.createDataFrame([tuple(r[n] for n in schema.names) for r in full], schema)
+
+    return build
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def plan_of(df, capsys):
+    """The physical plan, as ``explain`` prints it."""
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out

@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows_of
+from tallyroom.contracts import PLAYERS, Column
+from tallyroom.errors import MissingColumnsError
+from tallyroom.operators.clean import (clean, conform, drop_incomplete, require_columns,
+                                       select_renamed)
+
+RAW = list(PLAYERS.headers)
+
+
+def raw_frame(spark, *rows, extra=()):
+    base = dict.fromkeys(RAW, "1")
+    data = [tuple({**base, **row}[n] for n in RAW) + tuple("x" for _ in extra) for row in rows]
+    return spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in [*RAW, *extra]))
+
+
+def test_all_missing_columns_are_named(spark):
+    df = spark.createDataFrame([(1,)], "Age int")
+    with pytest.raises(MissingColumnsError) as error:
+        select_renamed(df, PLAYERS.headers)
+    assert "Known As" in str(error.value) and "Preferred Foot" in str(error.value)
+    assert "Age" not in str(error.value)
+    assert require_columns(df, ["Age"]) is df
+
+
+def test_clean_renames_types_and_drops_extra_columns(spark):
+    out = clean(raw_frame(spark, {"Full Name": 'Al "Ace" B'}, extra=["ignored"]), PLAYERS)
+    assert out.schema == PLAYERS.cleaned.schema
+    assert out.first()["full_name"] == 'Al "Ace" B'
+
+
+@pytest.mark.parametrize("column", ["Known As", "Value(in Euro)", "Club Name", "Full Name"])
+def test_required_columns(spark, column):
+    assert clean(raw_frame(spark, {column: None}), PLAYERS).count() == 0
+
+
+@pytest.mark.parametrize("column", ["Age", "Nationality", "Overall", "Wage(in Euro)",
+                                    "Preferred Foot"])
+def test_other_columns_may_be_unknown(spark, column):
+    assert clean(raw_frame(spark, {column: None}), PLAYERS).count() == 1
+
+
+def test_nan_counts_as_unknown(spark):
+    raw = raw_frame(spark, {"Value(in Euro)": "NaN"}, {"Wage(in Euro)": "NaN"})
+    assert [r["wage_eur"] for r in clean(raw, PLAYERS).collect()] == [None]
+
+
+@pytest.mark.parametrize("text,number", [
+    ("70", 70), (" 70 ", 70), ("-3", -3), ("70.0", 70), ("70.5", 70), ("71.5", 72), ("7e1", 70),
+    ("abc", None), ("", None), ("7x", None), (None, None), ("99999999999", None), ("NaN", None)])
+def test_text_to_int(spark, text, number):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert conform(df, [Column("v", "int")]).first()["v"] == number
+
+
+@pytest.mark.parametrize("text,number", [
+    ("1.5", 1.5), ("1e3", 1000.0), (".5", 0.5), ("-Infinity", float("-inf")), ("euro", None),
+    ("12,5", None)])
+def test_text_to_double(spark, text, number):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert conform(df, [Column("v", "double")]).first()["v"] == number
+
+
+def test_int_widens_to_double(spark):
+    out = conform(spark.createDataFrame([(3,)], "v int"), [Column("v", "double")])
+    assert out.dtypes == [("v", "double")] and out.first()["v"] == 3.0
+
+
+def test_required_check_reaches_the_parquet_reader(spark, sf_dir, capsys):
+    df = spark.read.parquet(f"{sf_dir}/part.parquet")
+    plan = plan_of(drop_incomplete(df, ["p_name", "p_retailprice"]), capsys)
+    assert "PushedFilters: [IsNotNull(p_name), IsNotNull(p_retailprice)]" in plan
+
+
+def test_no_shuffle_in_clean(spark, capsys):
+    assert "Exchange" not in plan_of(clean(raw_frame(spark, {}), PLAYERS), capsys)
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "`a.b` int, `c.d` double")
+    assert rows_of(drop_incomplete(df, ["c.d"])) == [(2, 3.0)]
+    assert select_renamed(df, {"a.b": "x"}).agg(F.sum("x")).first()[0] == 3

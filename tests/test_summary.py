@@ -1,0 +1,71 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows_of
+from tallyroom.functions.labels import currency, one_decimal, thousands
+from tallyroom.operators.filters import filter_rows
+from tallyroom.operators.summary import bounds, metric_labels, summarise, top_row
+
+NAN = float("nan")
+
+
+def test_nan_is_skipped(spark):
+    df = spark.createDataFrame([(3.0,), (NAN,), (5.0,), (None,)], "v double")
+    assert rows_of(summarise(df, "v")) == [(4, 4.0, 3.0, 5.0)]
+    assert rows_of(bounds(df, "v")) == [(3, 5)]
+
+
+def test_bounds_cut_towards_zero(spark):
+    df = spark.createDataFrame([(-1.9,), (2.9,)], "v double")
+    assert rows_of(bounds(df, "v")) == [(-1, 2)]
+
+
+def test_empty_filter_gives_zero_and_no_top_row(spark, players):
+    none = filter_rows(players({}), {"overall": (1, 2)})
+    assert rows_of(summarise(none, "overall")) == [(0, None, None, None)]
+    assert top_row(none, "value_eur", ["full_name"]).count() == 0
+    assert rows_of(metric_labels(none, "overall", "value_eur")) == [("0", None, None)]
+
+
+def test_top_row_takes_smallest_key_on_ties_and_skips_unknowns(spark, players):
+    df = players({"full_name": "z", "value_eur": 9.0}, {"full_name": "b", "value_eur": 9.0},
+                 {"full_name": "a", "value_eur": NAN}, {"full_name": "a", "value_eur": None})
+    assert top_row(df, "value_eur", ["full_name"]).first()["full_name"] == "b"
+    only_unknown = players({"value_eur": NAN}, {"value_eur": None})
+    assert top_row(only_unknown, "value_eur", ["full_name"]).count() == 0
+
+
+def test_top_row_is_a_per_task_top(spark, sf_dir, capsys):
+    df = spark.read.parquet(f"{sf_dir}/part.parquet")
+    plan = plan_of(top_row(df, "p_retailprice", ["p_partkey"]), capsys)
+    assert "TakeOrderedAndProject" in plan and "Exchange\n" not in plan
+
+
+def test_summary_is_one_pass(spark, sf_dir, capsys):
+    df = spark.read.parquet(f"{sf_dir}/part.parquet")
+    plan = plan_of(summarise(df, "p_size"), capsys)
+    assert plan.count("ReadSchema: struct<p_size:int>") == 1
+
+
+@pytest.mark.parametrize("value", [66.25, 66.35, 0.05, 0.15, 0.25, 1234567.85, -2.55, 99.95, 0.0])
+def test_one_decimal_equals_python(spark, value):
+    assert spark.range(1).select(one_decimal(F.lit(value))).first()[0] == f"{value:.1f}"
+
+
+def test_labels_equal_python_on_many_values(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1e3, 1e9) for _ in range(500)] + [k / 8 for k in range(-40, 400)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    v = F.col("v")
+    for value, one, euro, whole in df.select(
+            v, one_decimal(v), currency(v), thousands(v.cast("bigint"))).collect():
+        assert one == f"{value:.1f}"
+        assert euro == f"€{value:,.0f}"
+        assert whole == f"{int(value):,}"
+
+
+def test_metric_labels(spark, players):
+    df = players({"overall": 66, "value_eur": 1234567.4}, {"overall": 67})
+    assert rows_of(metric_labels(df, "overall", "value_eur")) == [("2", "66.5", "€1,234,567")]
