@@ -126,7 +126,7 @@ def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, out, ORDER_COLUMNS, recursiveFileLookup="true")
 
 
-def _unnamed_clash(tables: tuple[Table, ...]) -> tuple[Table, ...]:
+def _fresh_names(tables: tuple[Table, ...]) -> tuple[Table, ...]:
     """The tables under names no other run uses in a shared catalogue."""
     run = uuid.uuid4().hex[:12]
     return tuple(replace(t, name=f"{t.name}_{run}") for t in tables)
@@ -144,11 +144,11 @@ def _published(spark: SparkSession, sink: TableSink, published: Table,
 @query(_ORDER_SQL + " WHERE o_orderstatus = 'F'")
 def target_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load replaces the first, rows and definition."""
-    (target,) = _unnamed_clash((Table("orders_served", "", tuple(ORDER_COLUMNS), ("o_orderkey",)),))
+    (target,) = _fresh_names((Table("orders_served", "", tuple(ORDER_COLUMNS), ("o_orderkey",)),))
     sink = TableSink(spark, scratch_dir(spark, "tables"))
     rows = table(spark, sf_dir, "orders").select(*_ORDER_NAMES)
     for load in (rows, rows.where("o_orderstatus = 'F'")):
-        sink.stage(load, target)
+        sink.stage(load, target, "")
         sink.commit()
     return _published(spark, sink, target)
 
@@ -167,11 +167,12 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), "stage string, n bigint")
 
 
-def _stage_and_publish(spark: SparkSession, source: DataFrame, contract: Contract) -> DataFrame:
-    contract = replace(contract, tables=_unnamed_clash(contract.tables))
+def _stage_and_publish(spark: SparkSession, source: DataFrame, contract: Contract,
+                       copies: str | None = None) -> DataFrame:
+    contract = replace(contract, tables=_fresh_names(contract.tables))
     root = scratch_dir(spark, "stages")
     build_stages(spark, source, contract, root)
-    sink = TableSink(spark, scratch_dir(spark, "tables"))
+    sink = TableSink(spark, copies)
     publish(spark, contract, root, sink)
     return _published(spark, sink, contract.tables[0], contract.tables[1:])
 
@@ -183,7 +184,8 @@ SELECT p_name, p_brand, p_size, p_retailprice FROM (
 WHERE rn = 1
 """)
 def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage_and_publish(spark, table(spark, sf_dir, "part"), PARTS)
+    return _stage_and_publish(spark, table(spark, sf_dir, "part"), PARTS,
+                              scratch_dir(spark, "tables"))
 
 
 @query("""

@@ -16,7 +16,9 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyroom-load", description=__doc__)
     parser.add_argument("--input", required=True, help="root folder of the stages")
     target = parser.add_mutually_exclusive_group(required=True)
-    target.add_argument("--tables-root", help="folder for the data of Spark tables")
+    target.add_argument("--tables-root", help="folder for copies of the data, as Spark tables")
+    target.add_argument("--in-place", action="store_true",
+                        help="Spark tables over the staged folders themselves")
     target.add_argument("--jdbc-url", help="database; user and password come from the "
                         "environment variables JDBC_USER and JDBC_PASSWORD")
     parser.add_argument("--database", default="default", help="database of the Spark tables")
@@ -28,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-load", jars=args.jars)
     size_shuffles(spark, input_bytes(spark, args.input))
-    if args.tables_root:
+    if args.tables_root or args.in_place:
         sink = TableSink(spark, args.tables_root, args.database)
     else:
         properties = {"user": os.environ["JDBC_USER"], "password": os.environ["JDBC_PASSWORD"]}

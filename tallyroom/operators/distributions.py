@@ -48,8 +48,12 @@ def options(df: DataFrame, column: str, everything: str = "All") -> DataFrame:
     return first.union(values).orderBy("pos", "label")
 
 
+# Round steps within one power of ten and the two above it.
+_STEPS = (1, 2, 5, 10, 20, 50, 100, 200, 500)
+
+
 def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = False) -> DataFrame:
-    """Counts per equal-width bin: ``bin``, ``bin_start``, ``n``.
+    """Counts per equal-width bin: ``bin``, ``bin_start``, ``n``, in bin order.
 
     The width is the smallest of 1, 2 or 5 times a power of ten that needs at most
     ``nbins`` bins aligned at zero, so edges are round numbers. Whole-number
@@ -66,9 +70,11 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
     # Whole numbers are binned in exact 64-bit arithmetic, all others in doubles.
     values = df.where(finite).select(v.cast("bigint" if whole else "double").alias("v"))
     span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    pick = _whole_width if whole else _float_width
-    width = span.select(pick(F.col("lo"), F.col("hi"), nbins)).scalar()
-    bin_of = _whole_bin if whole else _float_bin
+    bin_of, widths = (_whole_bin, _whole_widths) if whole else (_float_bin, _float_widths)
+    candidates = widths(_exponent(F.col("lo"), F.col("hi"), nbins))
+    fits = F.filter(candidates,
+                    lambda w: bin_of(F.col("hi"), w) - bin_of(F.col("lo"), w) < nbins)
+    width = span.select(F.get(fits, F.lit(0))).scalar()
 
     counts = (values.select(bin_of(F.col("v"), width).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
@@ -79,15 +85,17 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
                                               bin_of(F.col("hi"), width))).alias("bin")))
         counts = spine.join(counts, "bin", "left").select(
             "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
-    start = F.col("bin") * width if whole else (
-        F.col("bin").cast("double") * width["num"] / width["den"])
-    return counts.select("bin", start.alias("bin_start"), "n").orderBy("bin")
+    start = F.col("bin") * width if whole else _edge(F.col("bin"), width)
+    # There are never more than nbins rows. Saying so sorts them in one step,
+    # without the sampling job of a range-partitioned sort.
+    return counts.select("bin", start.alias("bin_start"), "n").orderBy("bin").limit(nbins)
 
 
 def _exponent(lo: Column, hi: Column, nbins: int) -> Column:
-    """Power of ten at or below range/nbins; no smaller width can be enough."""
+    """Power of ten at or below range/nbins: no smaller width is enough, and one of
+    the steps above it is. A single value counts as a range that needs width 1."""
     span = hi.cast("double") - lo.cast("double")
-    return F.floor(F.log10(span / nbins)).cast("int")
+    return F.when(span > 0, F.floor(F.log10(span / nbins)).cast("int")).otherwise(0)
 
 
 def _ten_to(e: Column) -> Column:
@@ -95,30 +103,31 @@ def _ten_to(e: Column) -> Column:
     return F.concat(F.lit("1e"), e.cast("string")).cast("double")
 
 
-def _whole_width(lo: Column, hi: Column, nbins: int) -> Column:
-    e = F.greatest(_exponent(lo, hi, nbins), F.lit(0))
-    candidates = F.array(*[(_ten_to(e + j) * m).try_cast("bigint")
-                           for j in range(3) for m in (1, 2, 5)])
-    fits = F.filter(candidates, lambda w: _whole_bin(hi, w) - _whole_bin(lo, w) < nbins)
-    return F.when(lo == hi, F.lit(1).cast("bigint")).otherwise(F.get(fits, F.lit(0)))
+def _whole_widths(e: Column) -> Column:
+    unit = _ten_to(F.greatest(e, F.lit(0))).cast("bigint")
+    return F.transform(F.lit(list(_STEPS)), lambda step: unit * step)
 
 
 def _whole_bin(v: Column, width: Column) -> Column:
     return F.call_function("div", v - F.pmod(v, width), width)
 
 
-def _float_width(lo: Column, hi: Column, nbins: int) -> Column:
-    """Width as num/den with one of them 1, because 1/width is exact below 1."""
-    e = _exponent(lo, hi, nbins)
-    one = F.lit(1.0)
-    candidates = F.array(*[
-        F.struct(F.when(e + j >= 0, _ten_to(e + j) * m).otherwise(one).alias("num"),
-                 F.when(e + j >= 0, one).otherwise(_ten_to(-(e + j)) / m).alias("den"))
-        for j in range(3) for m in (1, 2, 5)])
-    fits = F.filter(candidates, lambda w: _float_bin(hi, w) - _float_bin(lo, w) < nbins)
-    return F.when(lo == hi, F.struct(one.alias("num"), one.alias("den"))).otherwise(
-        F.get(fits, F.lit(0)))
+def _float_widths(e: Column) -> Column:
+    """Widths as num/den with whole num and den: 0.05 has no exact double, 5/100 has."""
+    unit = _ten_to(F.abs(e))
+    return F.transform(F.lit(list(_STEPS)), lambda step: F.struct(
+        F.when(e >= 0, unit * step).otherwise(step.cast("double")).alias("num"),
+        F.when(e >= 0, 1.0).otherwise(unit).alias("den")))
+
+
+def _edge(b: Column, width: Column) -> Column:
+    """Start of a bin, the double nearest to its decimal value."""
+    return b.cast("double") * width["num"] / width["den"]
 
 
 def _float_bin(v: Column, width: Column) -> Column:
-    return F.floor(v * width["den"] / width["num"])
+    """The bin whose edges enclose the value: 0.29 starts bin 29 of width 0.01,
+    though 0.29 * 100 is just under 29."""
+    guess = F.floor(v * width["den"] / width["num"])
+    return (F.when(_edge(guess + 1, width) <= v, guess + 1)
+            .when(_edge(guess, width) > v, guess - 1).otherwise(guess))

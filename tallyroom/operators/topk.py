@@ -40,9 +40,9 @@ def sample_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     zeros = F.lit(32) - F.length(F.ltrim(digest, F.lit("0")))
 
     depth = df.select(zeros.alias("zeros"))
-    cut = depth.agg(F.greatest(
-        F.lit(0), *[F.when(F.count_if(F.col("zeros") >= z) >= n, z).otherwise(0)
-                    for z in range(1, _MAX_ZEROS + 1)])).scalar()
+    enough = ", ".join(f"if(count_if(zeros >= {z}) >= {n:d}, {z}, 0)"
+                       for z in range(1, _MAX_ZEROS + 1))
+    cut = depth.agg(F.expr(f"greatest(0, {enough})")).scalar()
 
     wanted = list(dict.fromkeys([*keys, *columns]))
     order = [F.col("__digest"), *[col(c).asc_nulls_last() for c in wanted]]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import Contract, Table
 from ..operators.quality import require_contract
+from ..session import run_together
 from ..sources.parquet import read_parquet
 from .stages import folder_of
 
@@ -15,9 +17,11 @@ from .stages import folder_of
 class Sink(Protocol):
     """Somewhere to publish: ``stage`` every table, then ``commit`` them together."""
 
-    def stage(self, df: DataFrame, table: Table) -> int | None: ...
+    def stage(self, df: DataFrame, table: Table, folder: str) -> None:
+        """Prepare the rows of a table, which are stored in ``folder``."""
 
-    def commit(self) -> None: ...
+    def commit(self) -> None:
+        """Make everything staged visible."""
 
 
 def publish(spark: SparkSession, contract: Contract, root: str, sink: Sink,
@@ -26,13 +30,11 @@ def publish(spark: SparkSession, contract: Contract, root: str, sink: Sink,
 
     No table is touched until every table has passed its types, key and widths.
     """
-    frames = []
-    for table in contract.tables:
-        df = read_parquet(spark, folder_of(root, table), on_missing=on_missing)
-        if df is not None:
-            require_contract(df, table)
-            frames.append((df, table))
-    for df, table in frames:
-        sink.stage(df, table)
+    found = [(read_parquet(spark, folder_of(root, t), on_missing=on_missing), t)
+             for t in contract.tables]
+    present = [(df, t) for df, t in found if df is not None]
+    run_together(spark, [partial(require_contract, df, t) for df, t in present])
+    for df, table in present:
+        sink.stage(df, table, folder_of(root, table))
     sink.commit()
-    return [table.name for _, table in frames]
+    return [table.name for _, table in present]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import Contract, Table
 from ..operators.clean import clean
 from ..operators.dedupe import distinct_rows, keep_best
+from ..session import run_together
 from ..sinks.parquet import write_parquet
 from ..sources.parquet import read_parquet
 
@@ -42,7 +45,9 @@ def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
     first = contract.cleaned
     rows = {first.name: write_parquet(cleaned_rows(source, contract), folder_of(root, first))}
     cleaned = read_parquet(spark, folder_of(root, first), first.schema)
-    for table in contract.tables:
-        rows[table.name] = write_parquet(served_rows(cleaned, contract, table),
-                                         folder_of(root, table))
-    return rows
+
+    def write(table: Table) -> int:
+        return write_parquet(served_rows(cleaned, contract, table), folder_of(root, table))
+
+    written = run_together(spark, [partial(write, t) for t in contract.tables])
+    return rows | {t.name: n for t, n in zip(contract.tables, written, strict=True)}

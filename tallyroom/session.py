@@ -5,9 +5,13 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 # Bytes one shuffle task should hold. Far below executor memory per core, so a
 # sort in the task rarely spills; AQE merges tasks that turn out smaller.
@@ -85,3 +89,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyroom-")
     return f"{base.rstrip('/')}/tallyroom/{label}-{uuid.uuid4().hex}"
+
+
+def run_together(spark: SparkSession, actions: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Run independent Spark actions at the same time; their results in order.
+
+    Executors that finish the last tasks of one job start on the next one instead
+    of waiting for its slowest task.
+    """
+    with ThreadPoolExecutor(max(1, len(actions))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+    return [s.result() for s in started]

@@ -60,7 +60,7 @@ class JdbcSink:
         self.run_statements = run_statements
         self._staged: list[tuple[DataFrame, Table]] = []
 
-    def stage(self, df: DataFrame, table: Table) -> None:
+    def stage(self, df: DataFrame, table: Table, folder: str) -> None:
         self._staged.append((conform(df, table.columns), table))
 
     def commit(self) -> None:

@@ -12,26 +12,30 @@ from .parquet import write_parquet
 
 
 class TableSink:
-    """Publishes Parquet tables under ``root`` into a database of the catalogue.
+    """Publishes Parquet tables into a database of the catalogue.
 
-    ``stage`` writes new data next to the old. ``commit`` then drops and creates
-    every table over its new folder: catalogue entries only, so the time in which
-    tables of one load differ does not grow with the data. Old folders stay, and
+    ``stage`` prepares a folder per table; ``commit`` then drops and creates every
+    table over its new folder. Those are catalogue entries only, so the time in
+    which tables of one load differ does not grow with the data.
+
+    With ``root`` the rows are copied to a new folder under it. Without it the
+    tables are created over the staged folders themselves: nothing is copied, and
+    every run must stage under a root of its own. Old folders stay either way, and
     readers that started on them finish.
     """
 
-    def __init__(self, spark: SparkSession, root: str, database: str = "default"):
-        self.spark, self.root, self.database = spark, root.rstrip("/"), database
+    def __init__(self, spark: SparkSession, root: str | None = None, database: str = "default"):
+        self.spark, self.root, self.database = spark, root, database
         self._staged: list[tuple[Table, str]] = []
 
     def name_of(self, table: Table) -> str:
         return f"`{self.database}`.`{table.name}`"
 
-    def stage(self, df: DataFrame, table: Table) -> int:
-        folder = f"{self.root}/{table.name}/{uuid.uuid4().hex}"
-        rows = write_parquet(conform(df, table.columns), folder)
+    def stage(self, df: DataFrame, table: Table, folder: str) -> None:
+        if self.root is not None:
+            folder = f"{self.root.rstrip('/')}/{table.name}/{uuid.uuid4().hex}"
+            write_parquet(conform(df, table.columns), folder)
         self._staged.append((table, folder))
-        return rows
 
     def commit(self) -> None:
         for table, folder in self._staged:

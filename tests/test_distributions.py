@@ -1,4 +1,5 @@
-import math
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -50,22 +51,17 @@ def nice_widths(smallest):
 
 
 def brute_histogram(values, nbins, smallest):
+    """In exact fractions of the decimal text of each value."""
     if not values:
         return []
-    lo, hi = min(values), max(values)
-
-    def bin_of(v, m, e):
-        return math.floor(v / float(f"{m}e{e}")) if e >= 0 else math.floor(v * (10 ** -e / m))
-
+    exact = [Fraction(str(v)) for v in values]
+    lo, hi = min(exact), max(exact)
     if lo == hi:
-        m, e = 1, 0
+        width = Fraction(1)
     else:
-        m, e = next((m, e) for m, e in nice_widths(smallest)
-                    if bin_of(hi, m, e) - bin_of(lo, m, e) + 1 <= nbins)
-    counts = {}
-    for v in values:
-        counts[bin_of(v, m, e)] = counts.get(bin_of(v, m, e), 0) + 1
-    return sorted(counts.items())
+        width = next(w for w in (Fraction(m) * Fraction(10) ** e for m, e in nice_widths(smallest))
+                     if hi // w - lo // w + 1 <= nbins)
+    return sorted(Counter(v // width for v in exact).items())
 
 
 RELAXED = settings(max_examples=25, deadline=None,
@@ -118,6 +114,12 @@ def test_decimal_edges_are_clean(spark):
         (k / 10, 1) for k in range(10)]
 
 
+def test_values_on_an_edge_start_their_bin(spark):
+    df = spark.createDataFrame([(k / 100,) for k in range(100)], "v double")
+    assert [(s, n) for _, s, n in ordered(histogram(df, "v", 100))] == [
+        (k / 100, 1) for k in range(100)]
+
+
 def test_empty_bins_can_be_filled(spark):
     df = spark.createDataFrame([(1,), (4,)], "v int")
     assert ordered(histogram(df, "v", fill_empty=True)) == [

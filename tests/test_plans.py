@@ -52,12 +52,14 @@ def test_an_empty_source_gives_empty_tables(spark, source, tmp_path):
     assert set(rows.values()) == {0}
 
 
-def test_publish(spark, source, tmp_path):
+@pytest.mark.parametrize("copied", [True, False])
+def test_publish(spark, source, tmp_path, copied):
     root = str(tmp_path / "out")
     build_stages(spark, source, PLAYERS, root)
-    sink = TableSink(spark, str(tmp_path / "tables"))
+    sink = TableSink(spark, str(tmp_path / "tables") if copied else None)
     assert publish(spark, PLAYERS, root, sink) == [t.name for t in PLAYERS.tables]
     assert spark.table("master_player_table").count() == 3
+    assert (tmp_path / "tables").exists() == copied
     for table in PLAYERS.tables:
         spark.sql(f"DROP TABLE {table.name}")
 
@@ -66,7 +68,7 @@ class Recorder:
     def __init__(self):
         self.staged, self.commits = [], 0
 
-    def stage(self, df, table):
+    def stage(self, df, table, folder):
         self.staged.append(table.name)
 
     def commit(self):

@@ -33,10 +33,10 @@ def test_an_empty_write_counts_zero(spark, tmp_path, shape):
 def test_a_load_replaces_the_one_before(spark, tmp_path):
     sink = TableSink(spark, str(tmp_path))
     first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    assert sink.stage(first, TABLE) == 2
+    sink.stage(first, TABLE, "")
     sink.commit()
     before = spark.table(sink.name_of(TABLE))
-    sink.stage(first.where("k = 'a'"), TABLE)
+    sink.stage(first.where("k = 'a'"), TABLE, "")
     assert rows_of(before) == [("a", 1.0), ("b", 2.0)]
     sink.commit()
     assert rows_of(spark.table(sink.name_of(TABLE))) == [("a", 1.0)]
@@ -94,12 +94,12 @@ def test_jdbc_sink_resets_before_the_first_append(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     sink = JdbcSink("jdbc:x", {}, run_statements=lambda s: calls.append(("run", len(s))),
                     num_partitions=2)
-    sink.stage(df, TABLE)
+    sink.stage(df, TABLE, "")
     assert calls == []
     sink.commit()
     assert calls == [("run", 2), ("append", "served", {"num_partitions": 2})]
     calls.clear()
     sink = JdbcSink("jdbc:x", {})
-    sink.stage(df, TABLE)
+    sink.stage(df, TABLE, "")
     sink.commit()
     assert calls == [("replace", "served")]
