@@ -12,11 +12,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or the given name."""
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        ORACLES[name or function.__name__] = sql
         return function
     return register
 

@@ -168,7 +168,7 @@ def length_violations_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey, 'p_name' AS column_name, p_name AS value,
        CAST(length(p_name) AS INT) AS len, 10 AS max_len
 FROM part WHERE length(p_name) > 10
-""")
+""", name="length_violations")
 def length_violations_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_violations(table(spark, sf_dir, "part"), {"p_name": 10}, ["p_partkey"])
 

@@ -74,11 +74,13 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, rows.schema).select(*rows.columns)
 
 
-def pack_archives(df: DataFrame, out_dir: str, parts: int) -> None:
-    """Write a frame as zip archives of CSV members, one archive per task."""
+def pack_archives(df: DataFrame, out_dir: str) -> None:
+    """Write a frame as zip archives of CSV members, one archive per shuffle task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     header = ",".join(df.columns)
 
     def run(batches):
+        import uuid
         import zipfile
 
         import pyarrow as pa
@@ -92,12 +94,14 @@ def pack_archives(df: DataFrame, out_dir: str, parts: int) -> None:
         else:
             system, folder = fs.LocalFileSystem(), out_dir
         system.create_dir(folder, recursive=True)
-        # A task that runs again writes the same archive over its first try.
-        with (system.open_output_stream(f"{folder}/{name}") as raw,
+        # Under its name only once complete: a task that runs again replaces it whole.
+        partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        with (system.open_output_stream(partial) as raw,
               zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as packed):
             for i, batch in enumerate(batches):
                 lines = [header, *batch.column(0).to_pylist(), ""]
                 packed.writestr(f"rows/member-{i:05d}.csv", "\n".join(lines))
+        system.move(partial, f"{folder}/{name}")
         yield pa.RecordBatch.from_pydict({"archive": [name]})
 
     lines = df.select(F.to_csv(F.struct(*df.columns)).alias("line"))
@@ -113,7 +117,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archives")
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
-    pack_archives(rows, path, 8)
+    pack_archives(rows, path)
     return archive.archive_lines(spark, path).where("line_no > 1").select("line")
 
 
@@ -121,7 +125,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archives")
     out = scratch_dir(spark, "extracted")
-    pack_archives(table(spark, sf_dir, "orders").select(*_ORDER_NAMES), path, 8)
+    pack_archives(table(spark, sf_dir, "orders").select(*_ORDER_NAMES), path)
     archive.extract_archives(spark, path, out, folder_per_archive=True)
     return read_delimited(spark, out, ORDER_COLUMNS, recursiveFileLookup="true")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from ..plans.dashboard import Dashboard
-from ..session import get_session, input_bytes, size_shuffles
+from ..session import get_session, input_bytes, run_job, size_tasks
 from ..sources.parquet import read_parquet
 
 
@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--seed", type=int, default=42)
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-dashboard")
-    size_shuffles(spark, input_bytes(spark, args.input))
+    size_tasks(spark, input_bytes(spark, args.input))
     board = Dashboard(read_parquet(spark, args.input))
     try:
         views = board.views(tuple(args.rating) if args.rating else None, args.region, args.seed)
@@ -30,4 +30,4 @@ def main(argv: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main()
+    run_job(main)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from ..session import get_session
+from ..session import get_session, input_bytes, run_job, size_tasks
 from ..sources.archive import extract_archives
 
 
@@ -15,9 +15,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--folder-per-archive", action="store_true")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-extract")
-    files = extract_archives(spark, args.input, args.output, args.folder_per_archive)
+    tasks = size_tasks(spark, input_bytes(spark, args.input))
+    files = extract_archives(spark, args.input, args.output, args.folder_per_archive, tasks)
     print(f"{files.count()} members written to {args.output}")
 
 
 if __name__ == "__main__":
-    main()
+    run_job(main)

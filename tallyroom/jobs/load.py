@@ -7,7 +7,7 @@ import os
 
 from ..contracts import PLAYERS
 from ..plans.publish import publish
-from ..session import get_session, input_bytes, size_shuffles
+from ..session import get_session, input_bytes, run_job, size_tasks
 from ..sinks.jdbc import JdbcSink
 from ..sinks.tables import TableSink
 
@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-load", jars=args.jars)
-    size_shuffles(spark, input_bytes(spark, args.input))
+    size_tasks(spark, input_bytes(spark, args.input))
     if args.tables_root or args.in_place:
         sink = TableSink(spark, args.tables_root, args.database)
     else:
@@ -42,4 +42,4 @@ def main(argv: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main()
+    run_job(main)

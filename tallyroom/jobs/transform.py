@@ -6,7 +6,7 @@ import argparse
 
 from ..contracts import PLAYERS
 from ..plans.stages import build_stages
-from ..session import get_session, input_bytes, size_shuffles
+from ..session import get_session, input_bytes, run_job, size_tasks
 from ..sources.delimited import read_delimited
 
 
@@ -18,11 +18,11 @@ def main(argv: list[str] | None = None) -> None:
                         help="quoted values may hold line breaks; each file is one task")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-transform")
-    size_shuffles(spark, input_bytes(spark, args.input))
+    size_tasks(spark, input_bytes(spark, args.input))
     source = read_delimited(spark, args.input, multi_line=args.multi_line)
     for stage, rows in build_stages(spark, source, PLAYERS, args.output).items():
         print(f"{stage}: {rows} rows")
 
 
 if __name__ == "__main__":
-    main()
+    run_job(main)

@@ -41,10 +41,8 @@ def conform(df: DataFrame, columns: Iterable[Column]) -> DataFrame:
     return df.select(*[_to_type(df, c).alias(c.name) for c in columns])
 
 
-# Text that no cast to a number accepts. A failing cast costs a Java exception
-# per row, so such text is recognised first.
-_MAYBE_NUMBER = r"^\s*[+-]?[0-9.IiNn]"
-_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+# The words a cast to a floating type accepts, in any case.
+_NUMBER_WORDS = ("nan", "inf", "infinity")
 
 
 def _to_type(df: DataFrame, target: Column) -> SparkColumn:
@@ -52,17 +50,20 @@ def _to_type(df: DataFrame, target: Column) -> SparkColumn:
     source, kind = df.schema[target.name].dataType, target.spark_type
     if source == kind:
         return c
-    text = isinstance(source, T.StringType)
+    # A cast that fails costs a Java exception per row, so text that cannot be a
+    # number is told by its first byte: signs, digits and blanks sort before ':'.
+    numeric_text = isinstance(source, T.StringType) and isinstance(kind, T.NumericType)
     if isinstance(kind, T.IntegralType) and not isinstance(source, T.IntegralType):
         # Files written from a nullable integer column hold 70.0: round it to the
         # integer, half to even, as a database does on assignment.
         rounded = F.rint(c.try_cast("double")).try_cast(target.type)
-        if not text:
+        if not numeric_text:
             return rounded
-        return (F.when(c.rlike(_WHOLE_NUMBER), c.try_cast(target.type))
-                .when(c.rlike(_MAYBE_NUMBER), rounded))
-    if text and isinstance(kind, T.NumericType):
-        return F.when(c.rlike(_MAYBE_NUMBER), c.try_cast(target.type))
+        return (F.when(c >= ":", None).when(c.contains("."), rounded)
+                .otherwise(F.coalesce(c.try_cast(target.type), rounded)))
+    if numeric_text:
+        possible = (c < ":") | F.lower(F.trim(c)).isin(*_NUMBER_WORDS)
+        return F.when(possible, c.try_cast(target.type))
     return c.try_cast(target.type)
 
 

@@ -13,10 +13,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-# Bytes one shuffle task should hold. Far below executor memory per core, so a
-# sort in the task rarely spills; AQE merges tasks that turn out smaller.
+# Bytes one shuffle task should hold: far below executor memory per core, so a
+# sort in the task does not spill. AQE merges tasks that turn out smaller.
 SHUFFLE_TASK_BYTES = 128 << 20
 
+# Most tasks on either side of a shuffle. Blocks are tasks times tasks: beyond this
+# they get too small to fetch and too many to track, and larger tasks that spill
+# are the better choice (100 TB: 2 GB per scan task, 4 GB per shuffle task).
+MAX_TASKS = 50_000
+
 _JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     # Merge small shuffle tasks up to the advisory size instead of keeping as
@@ -59,22 +64,25 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def size_shuffles(spark: SparkSession, stored_bytes: int, growth: float = 3.0) -> int:
-    """Set how many tasks a shuffle starts with, from the size of the input.
+def size_tasks(spark: SparkSession, stored_bytes: int, growth: float = 2.0) -> int:
+    """Set the tasks of scans and shuffles from the size of the input; shuffle tasks.
 
-    ``growth`` is the assumed factor from stored to shuffled bytes. Without this
-    a 100 TB shuffle would run in the default 200 tasks of 500 GB each. AQE only
-    merges tasks, it never adds them, so the start value must be large enough.
-    A value set by the user is kept.
+    ``growth`` is the assumed factor from stored to shuffled bytes. Without this a
+    100 TB shuffle would run in the default 200 tasks of 500 GB each: AQE merges
+    tasks but never adds any, so the number to start with must be large enough.
+    Settings given by the user are kept.
     """
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    given = spark.conf.get(name, None)
+    split = "spark.sql.files.maxPartitionBytes"
+    if not spark.sparkContext.getConf().contains(split):
+        spark.conf.set(split, str(max(128 << 20, stored_bytes // MAX_TASKS)))
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    given = spark.sparkContext.getConf().get(start)
     if given is not None:
         return int(given)
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(floor, math.ceil(stored_bytes * growth / SHUFFLE_TASK_BYTES))
-    spark.conf.set(name, str(wanted))
-    return wanted
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, min(MAX_TASKS, math.ceil(stored_bytes * growth / SHUFFLE_TASK_BYTES)))
+    spark.conf.set(start, str(tasks))
+    return tasks
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -100,3 +108,13 @@ def run_together(spark: SparkSession, actions: Sequence[Callable[[], Any]]) -> l
     with ThreadPoolExecutor(max(1, len(actions))) as pool:
         started = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
     return [s.result() for s in started]
+
+
+def run_job(main: Callable[[], None]) -> None:
+    """Run a job as a program: its session is stopped at the end, also on an error."""
+    try:
+        main()
+    finally:
+        active = SparkSession.getActiveSession()
+        if active is not None:
+            active.stop()

@@ -4,7 +4,7 @@ import pytest
 
 from test_plans import CSV
 from tallyroom.jobs import dashboard, extract, load, transform
-from tallyroom.session import get_session, input_bytes, scratch_dir, size_shuffles
+from tallyroom.session import MAX_TASKS, get_session, input_bytes, scratch_dir, size_tasks
 
 
 def test_the_jobs_run_from_archive_to_views(spark, tmp_path, capsys):
@@ -42,19 +42,18 @@ def test_shuffles_are_sized_from_the_input(spark, tmp_path):
     (tmp_path / "d" / "a.csv").write_text("x" * 1000)
     (tmp_path / "d" / "b.csv").write_text("x" * 500)
     assert input_bytes(spark, str(tmp_path / "d")) == 1500
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(name, None)
-    spark.conf.unset(name)
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
     try:
-        assert size_shuffles(spark, 100 << 40) == 2_457_600
-        assert spark.conf.get(name) == "2457600"
-        assert size_shuffles(spark, 1) == 2_457_600
-        spark.conf.unset(name)
-        assert size_shuffles(spark, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_tasks(spark, 100 << 40) == MAX_TASKS == int(spark.conf.get(start))
+        assert int(spark.conf.get(split)) == (100 << 40) // MAX_TASKS
+        assert size_tasks(spark, 64 << 30) == 1024
+        assert int(spark.conf.get(split)) == 128 << 20
+        assert size_tasks(spark, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
-        spark.conf.unset(name)
-        if before is not None:
-            spark.conf.set(name, before)
+        spark.conf.unset(start)
+        spark.conf.set(split, before)
 
 
 def test_scratch_folders_are_under_the_shared_folder_and_new(spark):
