@@ -1,4 +1,4 @@
-"""Compare a query with its SQL in DuckDB: columns, row count and sorted values."""
+"""Compare a query with its SQL in DuckDB: columns, types, row count and sorted values."""
 
 from __future__ import annotations
 
@@ -11,6 +11,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "varchar": "VARCHAR"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -35,9 +39,12 @@ def compare(df, con: duckdb.DuckDBPyConnection, sql: str) -> int:
     """Assert that both sides agree; the number of rows."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]).upper() for d in result.description}
     expected = result.fetchall()
     got = [tuple(row) for row in df.collect()]
     assert sorted(df.columns) == sorted(names)
+    for name, kind in df.dtypes:
+        assert TYPES[kind.split("(")[0]] == types[name], (name, kind, types[name])
     assert len(got) == len(expected)
     assert _rows(df.columns, got) == _rows(names, expected)
     return len(got)
