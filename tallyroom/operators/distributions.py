@@ -70,64 +70,74 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
     # Whole numbers are binned in exact 64-bit arithmetic, all others in doubles.
     values = df.where(finite).select(v.cast("bigint" if whole else "double").alias("v"))
     span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    bin_of, widths = (_whole_bin, _whole_widths) if whole else (_float_bin, _float_widths)
-    candidates = widths(_exponent(F.col("lo"), F.col("hi"), nbins))
-    fits = F.filter(candidates,
-                    lambda w: bin_of(F.col("hi"), w) - bin_of(F.col("lo"), w) < nbins)
-    width = span.select(F.get(fits, F.lit(0))).scalar()
-
-    counts = (values.select(bin_of(F.col("v"), width).alias("bin"))
+    if whole:
+        bin_of, start_of, widths = _whole_bin, _whole_start, _whole_widths(nbins)
+    else:
+        bin_of, start_of, widths = _float_bin, _float_start, _float_widths(nbins)
+    fits = f"w -> {bin_of('hi', 'w')} - {bin_of('lo', 'w')} < {nbins}"
+    width = span.select(F.expr(f"get(filter({widths}, {fits}), 0)")).scalar().alias("w")
+
+    counts = (values.select("v", width).select(F.expr(bin_of("v", "w")).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     if fill_empty:
         # At most nbins rows on either side of this join.
-        spine = (span.where(F.col("lo").isNotNull())
-                 .select(F.explode(F.sequence(bin_of(F.col("lo"), width),
-                                              bin_of(F.col("hi"), width))).alias("bin")))
+        bins = f"explode(sequence({bin_of('lo', 'w')}, {bin_of('hi', 'w')}))"
+        spine = span.where("lo is not null").select("lo", "hi", width).select(
+            F.expr(bins).alias("bin"))
         counts = spine.join(counts, "bin", "left").select(
-            "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
-    start = F.col("bin") * width if whole else _edge(F.col("bin"), width)
+            "bin", F.expr("coalesce(n, 0L)").alias("n"))
     # There are never more than nbins rows. Saying so sorts them in one step,
     # without the sampling job of a range-partitioned sort.
-    return counts.select("bin", start.alias("bin_start"), "n").orderBy("bin").limit(nbins)
+    return (counts.select("bin", "n", width)
+            .select("bin", F.expr(start_of("bin", "w")).alias("bin_start"), "n")
+            .orderBy("bin").limit(nbins))
+
 
+# The formulas are SQL text: as nested Column calls they take longer to build than
+# a small table takes to scan.
 
-def _exponent(lo: Column, hi: Column, nbins: int) -> Column:
+def _exponent(nbins: int) -> str:
     """Power of ten at or below range/nbins: no smaller width is enough, and one of
     the steps above it is. A single value counts as a range that needs width 1."""
-    span = hi.cast("double") - lo.cast("double")
-    return F.when(span > 0, F.floor(F.log10(span / nbins)).cast("int")).otherwise(0)
+    span = "(cast(hi as double) - cast(lo as double))"
+    return f"if({span} > 0, cast(floor(log10({span} / {nbins})) as int), 0)"
 
 
-def _ten_to(e: Column) -> Column:
+def _ten_to(e: str) -> str:
     """10^e read from text, which is exact where ``pow`` need not be."""
-    return F.concat(F.lit("1e"), e.cast("string")).cast("double")
+    return f"cast(concat('1e', {e}) as double)"
+
+
+def _whole_widths(nbins: int) -> str:
+    unit = f"cast({_ten_to(f'greatest({_exponent(nbins)}, 0)')} as bigint)"
+    return f"transform(array{_STEPS}, s -> {unit} * s)"
 
 
-def _whole_widths(e: Column) -> Column:
-    unit = _ten_to(F.greatest(e, F.lit(0))).cast("bigint")
-    return F.transform(F.lit(list(_STEPS)), lambda step: unit * step)
+def _whole_bin(v: str, w: str) -> str:
+    return f"(({v} - pmod({v}, {w})) div {w})"
 
 
-def _whole_bin(v: Column, width: Column) -> Column:
-    return F.call_function("div", v - F.pmod(v, width), width)
+def _whole_start(b: str, w: str) -> str:
+    return f"{b} * {w}"
 
 
-def _float_widths(e: Column) -> Column:
+def _float_widths(nbins: int) -> str:
     """Widths as num/den with whole num and den: 0.05 has no exact double, 5/100 has."""
-    unit = _ten_to(F.abs(e))
-    return F.transform(F.lit(list(_STEPS)), lambda step: F.struct(
-        F.when(e >= 0, unit * step).otherwise(step.cast("double")).alias("num"),
-        F.when(e >= 0, 1.0).otherwise(unit).alias("den")))
+    e = _exponent(nbins)
+    unit = _ten_to(f"abs({e})")
+    return (f"transform(array{_STEPS}, s -> named_struct("
+            f"'num', if({e} >= 0, {unit} * s, cast(s as double)), "
+            f"'den', if({e} >= 0, 1D, {unit})))")
 
 
-def _edge(b: Column, width: Column) -> Column:
+def _float_start(b: str, w: str) -> str:
     """Start of a bin, the double nearest to its decimal value."""
-    return b.cast("double") * width["num"] / width["den"]
+    return f"(cast({b} as double) * {w}.num / {w}.den)"
 
 
-def _float_bin(v: Column, width: Column) -> Column:
+def _float_bin(v: str, w: str) -> str:
     """The bin whose edges enclose the value: 0.29 starts bin 29 of width 0.01,
     though 0.29 * 100 is just under 29."""
-    guess = F.floor(v * width["den"] / width["num"])
-    return (F.when(_edge(guess + 1, width) <= v, guess + 1)
-            .when(_edge(guess, width) > v, guess - 1).otherwise(guess))
+    guess = f"floor({v} * {w}.den / {w}.num)"
+    return (f"(case when {_float_start(f'({guess} + 1)', w)} <= {v} then {guess} + 1 "
+            f"when {_float_start(guess, w)} > {v} then {guess} - 1 else {guess} end)")
