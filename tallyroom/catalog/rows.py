@@ -85,7 +85,8 @@ def dedupe_best_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PART_MASTER = Table("part_master", "stage2/part_master", (
     Column("p_name", "string", 255), Column("p_brand", "string", 100),
-    Column("p_size", "int"), Column("p_retailprice", "double")), ("p_name",))
+    Column("p_size", "int"), Column("p_retailprice", "double")), ("p_name",),
+    sort=("p_brand", "p_size"))
 PART_METADATA = Table("part_metadata", "stage3/part_metadata", (
     Column("p_name", "string", 255), Column("p_type", "string", 100),
     Column("p_size", "int")), ("p_name",))

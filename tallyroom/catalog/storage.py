@@ -45,7 +45,8 @@ LINES = Contract(
         Table("line_master", "stage2/line_master",
               (Column("l_orderkey", "bigint"), Column("l_linenumber", "int"),
                Column("l_quantity", "double"), Column("l_extendedprice", "double"),
-               Column("l_returnflag", "string", 10)), ("l_orderkey", "l_linenumber")),
+               Column("l_returnflag", "string", 10)), ("l_orderkey", "l_linenumber"),
+              sort=("l_returnflag", "l_quantity")),
         Table("line_metadata", "stage3/line_metadata",
               (Column("l_orderkey", "bigint"), Column("l_linenumber", "int"),
                Column("l_partkey", "bigint"), Column("l_suppkey", "bigint")),

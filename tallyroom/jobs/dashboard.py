@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import argparse
 
-from ..plans.dashboard import Dashboard
-from ..session import get_session, input_bytes, run_job, size_tasks
-from ..sources.parquet import read_parquet
+from tallyroom.plans.dashboard import Dashboard
+from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.sources.parquet import read_parquet
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import argparse
 
-from ..session import get_session, input_bytes, run_job, size_tasks
-from ..sources.archive import extract_archives
+from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.sources.archive import extract_archives
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import argparse
 import os
 
-from ..contracts import PLAYERS
-from ..plans.publish import publish
-from ..session import get_session, input_bytes, run_job, size_tasks
-from ..sinks.jdbc import JdbcSink
-from ..sinks.tables import TableSink
+from tallyroom.contracts import PLAYERS
+from tallyroom.plans.publish import publish
+from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.sinks.jdbc import JdbcSink
+from tallyroom.sinks.tables import TableSink
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from ..contracts import PLAYERS
-from ..plans.stages import build_stages
-from ..session import get_session, input_bytes, run_job, size_tasks
-from ..sources.delimited import read_delimited
+from tallyroom.contracts import PLAYERS
+from tallyroom.plans.stages import build_stages
+from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.sources.delimited import read_delimited
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -43,11 +43,15 @@ def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
     so all of them hold the same choice of rows, and each reads only its columns.
     """
     first = contract.cleaned
-    rows = {first.name: write_parquet(cleaned_rows(source, contract), folder_of(root, first))}
+    unique = write_parquet(cleaned_rows(source, contract), folder_of(root, first))
     cleaned = read_parquet(spark, folder_of(root, first), first.schema)
 
     def write(table: Table) -> int:
-        return write_parquet(served_rows(cleaned, contract, table), folder_of(root, table))
+        rows = served_rows(cleaned, contract, table)
+        if table.sort:
+            rows = rows.sortWithinPartitions(*table.sort)
+        return write_parquet(rows, folder_of(root, table))
 
     written = run_together(spark, [partial(write, t) for t in contract.tables])
-    return rows | {t.name: n for t, n in zip(contract.tables, written, strict=True)}
+    names = [first.name, *(t.name for t in contract.tables)]
+    return dict(zip(names, [unique, *written], strict=True))

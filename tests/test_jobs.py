@@ -1,7 +1,11 @@
+import os
+import subprocess
 import zipfile
 
+import pyspark
 import pytest
 
+from conftest import ROOT
 from test_plans import CSV
 from tallyroom.jobs import dashboard, extract, load, transform
 from tallyroom.session import MAX_TASKS, get_session, input_bytes, scratch_dir, size_tasks
@@ -62,3 +66,24 @@ def test_scratch_folders_are_under_the_shared_folder_and_new(spark):
     assert a != b
     if base:
         assert a.startswith(base.rstrip("/") + "/")
+
+
+def test_a_job_runs_as_a_program_and_from_a_zip(tmp_path):
+    """As on a cluster: the package comes from the shipped zip, not from a folder."""
+    (tmp_path / "in.csv").write_text(CSV)
+    shipped = tmp_path / "tallyroom.zip"
+    with zipfile.ZipFile(shipped, "w") as package:
+        for folder, _, names in os.walk(os.path.join(ROOT, "tallyroom")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    package.write(path, os.path.relpath(path, ROOT))
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    done = subprocess.run(
+        [submit, "--master", "local[2]", "--conf", "spark.ui.enabled=false",
+         "--py-files", str(shipped), os.path.join(ROOT, "tallyroom", "jobs", "transform.py"),
+         "--input", str(tmp_path / "in.csv"), "--output", str(tmp_path / "out")],
+        cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "club_metadata: 2 rows" in done.stdout
+    assert (tmp_path / "out" / "stage2" / "master_player_table" / "_SUCCESS").exists()

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from tallyroom.contracts import PLAYERS
@@ -47,6 +48,17 @@ def test_one_shuffle_up_to_the_first_stage(spark, source, capsys):
     assert plan_of(cleaned_rows(source, PLAYERS), capsys).count("Exchange\n") == 1
 
 
+def test_master_files_are_sorted_for_the_dashboard_filters(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    build_stages(spark, source, PLAYERS, root)
+    master = read_parquet(spark, folder_of(root, PLAYERS.tables[0])).withColumn(
+        "file", F.input_file_name())
+    by_file = {}
+    for row in master.collect():
+        by_file.setdefault(row["file"], []).append((row["nationality"] or "", row["overall"] or 0))
+    assert all(rows == sorted(rows) for rows in by_file.values())
+
+
 def test_an_empty_source_gives_empty_tables(spark, source, tmp_path):
     rows = build_stages(spark, source.where("id = 99"), PLAYERS, str(tmp_path / "out"))
     assert set(rows.values()) == {0}
