@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
+
+from pyspark.sql import DataFrame
 
 from tallyroom.plans.dashboard import Dashboard
-from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.session import get_session, input_bytes, run_job, run_together, size_tasks
 from tallyroom.sources.parquet import read_parquet
 
 
+def _write(view: DataFrame, path: str) -> None:
+    view.write.mode("overwrite").parquet(path)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyroom-dashboard", description=__doc__)
     parser.add_argument("--input", required=True, help="folder of the master table")
@@ -22,9 +29,10 @@ def main(argv: list[str] | None = None) -> None:
     board = Dashboard(read_parquet(spark, args.input))
     try:
         views = board.views(tuple(args.rating) if args.rating else None, args.region, args.seed)
-        for name, view in {**board.inputs(), **views}.items():
-            view.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
-            print(f"wrote {name}")
+        views = board.inputs() | views
+        run_together(spark, [partial(_write, view, f"{args.output.rstrip('/')}/{name}")
+                             for name, view in views.items()])
+        print(f"wrote {', '.join(views)}")
     finally:
         board.close()
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, nan_as_null
 
-# Leading zero digits that are counted for the sample cut. Sixteen to the twelfth
-# is beyond any row count, and the cut stays exact below that as well.
+# Leading zero digits tried for the sample cut; 16 to the twelfth is beyond any
+# row count. The cut is looked for among this part of the rows.
 _MAX_ZEROS = 12
-
+_LOOKED_AT = 1 / 16
 
 def top_groups(df: DataFrame, key: str, value: str, n: int = 15,
                mean_name: str = "mean") -> DataFrame:
@@ -28,25 +28,29 @@ def sample_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     """Exactly min(n, rows) rows without replacement, the same on every run.
 
     The sample is the first ``n`` rows in order of md5(seed:key), a random order
-    that partitioning does not change. Keeping ``n`` rows in every one of several
-    hundred thousand tasks and merging them in one would be the bottleneck, so a
-    first pass over the keys counts, per task in one row, how many hashes start
-    with 1, 2, 3.. zeros. The longest run that still leaves ``n`` rows is the cut:
-    about 16 n rows pass it, whatever the table size, and always at least
-    min(n, rows), so the result is exact.
+    that partitioning does not change. ``n`` is what one screen can show.
+
+    Keeping ``n`` rows in every one of many thousand tasks and merging them in one
+    would be the bottleneck. So a first look at a part of the keys counts how many
+    digests start with one, two, three.. zeros. The longest run of zeros that is
+    seen ``n`` times becomes the cut. What a part holds the whole holds, so at least
+    ``n`` rows pass the cut for certain, a few hundred times ``n`` as a rule, and
+    the result is exact for any data. Without such a run every row passes.
     """
     text = [F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *text)).cast("binary"))
-    zeros = F.lit(32) - F.length(F.ltrim(digest, F.lit("0")))
+    joined = text[0] if len(text) == 1 else F.concat_ws("\x1f", *text)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), joined).cast("binary"))
 
-    depth = df.select(zeros.alias("zeros"))
-    enough = ", ".join(f"if(count_if(zeros >= {z}) >= {n:d}, {z}, 0)"
+    # A digest with z leading zeros sorts before z zeros and a 'g'.
+    some = (df.select(*[col(k) for k in keys]).sample(_LOOKED_AT, seed)
+            .select(digest.alias("digest")))
+    enough = ", ".join(f"if(count_if(digest < '{'0' * z}g') >= {n:d}, '{'0' * z}g', 'g')"
                        for z in range(1, _MAX_ZEROS + 1))
-    cut = depth.agg(F.expr(f"greatest(0, {enough})")).scalar()
+    cut = some.agg(F.expr(f"least({enough})")).scalar()
 
     wanted = list(dict.fromkeys([*keys, *columns]))
     order = [F.col("__digest"), *[col(c).asc_nulls_last() for c in wanted]]
-    return (df.where(zeros >= cut)
+    return (df.where(digest < cut)
             .select(*[col(c) for c in wanted], digest.alias("__digest"))
             .orderBy(*order).limit(n)
             .select(*[col(c) for c in columns]))

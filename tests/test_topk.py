@@ -43,6 +43,21 @@ def test_sample_is_exact_in_every_partitioning(spark):
             assert [k for k, in ordered(sample_rows(df.repartition(parts), ["k"], ["k"], n))] == want
 
 
+def test_sample_is_exact_where_the_cut_is_deep(spark):
+    df = spark.range(300_000)
+    for n in (5, 100):
+        got = [k for k, in ordered(sample_rows(df, ["id"], ["id"], n, 7))]
+        assert got == brute_sample(range(300_000), n, 7)
+
+
+def test_sample_over_several_keys(spark):
+    df = spark.createDataFrame([(k % 7, str(k), None) for k in range(500)],
+                               "a int, b string, c string")
+    want = sorted(((k % 7, str(k)) for k in range(500)), key=lambda r: hashlib.md5(
+        f"42:{r[0]}\x1f{r[1]}\x1f".encode()).hexdigest())[:20]
+    assert ordered(sample_rows(df, ["a", "b", "c"], ["a", "b"], 20)) == want
+
+
 def test_small_and_empty_frames_are_returned_whole(spark):
     df = spark.range(10)
     assert sorted(r["id"] for r in sample_rows(df, ["id"], ["id"]).collect()) == list(range(10))
