@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -40,18 +41,34 @@ def _writer(df, url, table, properties, batch_size, num_partitions, isolation):
     return writer.option("numPartitions", num_partitions) if num_partitions else writer
 
 
+def incoming(table: Table) -> Table:
+    """The table a load fills before it takes the place of the served one."""
+    return replace(table, name=f"{table.name}_incoming")
+
+
 def reset_statements(tables: list[Table]) -> list[str]:
     """Drop and create statements, keys included, for one transaction."""
     drops = [f"DROP TABLE IF EXISTS {t.name}" for t in tables]
     return drops + [f"CREATE TABLE {t.name} ({t.ddl('jdbc')})" for t in tables]
 
 
+def swap_statements(tables: list[Table]) -> list[str]:
+    """Put the incoming tables in place of the served ones, for one transaction."""
+    return [statement for t in tables
+            for statement in (f"DROP TABLE IF EXISTS {t.name}",
+                              f"ALTER TABLE {incoming(t).name} RENAME TO {t.name}")]
+
+
 class JdbcSink:
     """Publishes to a database.
 
-    ``run_statements`` runs a list of statements in one transaction with any
-    database client of the caller. With it the tables are dropped and created
-    with their keys; without it their rows are replaced and definitions kept.
+    ``run_statements`` runs a list of statements in one transaction, with any
+    database client of the caller. With it, rows go to new tables, created with
+    their keys, that replace the served ones together at the end: an append commits
+    task by task, so a load that fails half-way must not touch what is served.
+
+    Without it the rows of each table are replaced and its definition is kept;
+    readers then see a load while it runs.
     """
 
     def __init__(self, url: str, properties: dict[str, str],
@@ -64,11 +81,13 @@ class JdbcSink:
         self._staged.append((conform(df, table.columns), table))
 
     def commit(self) -> None:
-        if self.run_statements is not None:
-            self.run_statements(reset_statements([t for _, t in self._staged]))
-        for df, table in self._staged:
-            if self.run_statements is not None:
-                append_rows(df, self.url, table.name, self.properties, **self.options)
-            else:
+        tables = [table for _, table in self._staged]
+        if self.run_statements is None:
+            for df, table in self._staged:
                 replace_rows(df, self.url, table, self.properties, **self.options)
+        else:
+            self.run_statements(reset_statements([incoming(t) for t in tables]))
+            for df, table in self._staged:
+                append_rows(df, self.url, incoming(table).name, self.properties, **self.options)
+            self.run_statements(swap_statements(tables))
         self._staged.clear()

@@ -46,6 +46,7 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
                      parallelism: int | None = None) -> DataFrame:
     """Write every safe member under ``out_dir`` and return the list of files.
 
+    Without a scheme ``out_dir`` must be a folder that all executors mount.
     With ``folder_per_archive`` each archive gets a folder of its own name, which
     many archives with equal member names need; two members for one target are an
     error before anything is written. A member appears under its name only once
@@ -105,7 +106,7 @@ def _zip_opener() -> Callable:
             def readinto(self, buffer):
                 return self.file.readinto(buffer)
 
-        system, inner = fs.FileSystem.from_uri(path)
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
         with (system.open_input_file(inner) as file,
               zipfile.ZipFile(io.BufferedReader(Source(file), 1 << 20)) as archive):
             yield archive
@@ -181,7 +182,8 @@ def _write_members() -> Callable[[Iterator], Iterator]:
         for batch in batches:
             for path, member, target in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if "://" in target or target.startswith("file:"):
-                    to_system, to = fs.FileSystem.from_uri(target)
+                    to_system, to = fs.FileSystem.from_uri(
+                        target.replace("s3a://", "s3://", 1))
                 else:
                     to_system, to = fs.LocalFileSystem(), target
                 folder, _, name = to.rpartition("/")

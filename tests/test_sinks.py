@@ -85,21 +85,43 @@ def test_reset_statements_hold_types_widths_and_keys():
         assert part in got[3]
 
 
-def test_jdbc_sink_resets_before_the_first_append(spark, monkeypatch):
-    calls = []
+@pytest.fixture
+def calls(monkeypatch):
+    seen = []
     monkeypatch.setattr("tallyroom.sinks.jdbc.append_rows",
-                        lambda df, url, table, properties, **o: calls.append(("append", table, o)))
+                        lambda df, url, table, properties, **o: seen.append(("append", table, o)))
     monkeypatch.setattr("tallyroom.sinks.jdbc.replace_rows",
-                        lambda df, url, table, properties, **o: calls.append(("replace", table.name)))
+                        lambda df, url, table, properties, **o: seen.append(("replace", table.name)))
+    return seen
+
+
+def test_jdbc_sink_fills_new_tables_and_swaps_them_last(spark, calls):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
-    sink = JdbcSink("jdbc:x", {}, run_statements=lambda s: calls.append(("run", len(s))),
+    sink = JdbcSink("jdbc:x", {}, run_statements=lambda s: calls.append(tuple(s)),
                     num_partitions=2)
     sink.stage(df, TABLE, "")
     assert calls == []
     sink.commit()
-    assert calls == [("run", 2), ("append", "served", {"num_partitions": 2})]
-    calls.clear()
+    assert calls == [
+        ("DROP TABLE IF EXISTS served_incoming",
+         "CREATE TABLE served_incoming (k VARCHAR(5), v DOUBLE PRECISION, PRIMARY KEY (k))"),
+        ("append", "served_incoming", {"num_partitions": 2}),
+        ("DROP TABLE IF EXISTS served", "ALTER TABLE served_incoming RENAME TO served")]
+
+
+def test_a_load_that_fails_never_reaches_the_swap(spark, calls, monkeypatch):
+    def fail(*_, **__):
+        raise RuntimeError("connection lost")
+    monkeypatch.setattr("tallyroom.sinks.jdbc.append_rows", fail)
+    sink = JdbcSink("jdbc:x", {}, run_statements=lambda s: calls.append(tuple(s)))
+    sink.stage(spark.createDataFrame([("a", 1)], "k string, v int"), TABLE, "")
+    with pytest.raises(RuntimeError):
+        sink.commit()
+    assert len(calls) == 1 and not any("ALTER" in s for s in calls[0])
+
+
+def test_without_a_client_rows_are_replaced(spark, calls):
     sink = JdbcSink("jdbc:x", {})
-    sink.stage(df, TABLE, "")
+    sink.stage(spark.createDataFrame([("a", 1)], "k string, v int"), TABLE, "")
     sink.commit()
     assert calls == [("replace", "served")]
