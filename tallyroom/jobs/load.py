@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 
 from tallyroom.contracts import PLAYERS
 from tallyroom.plans.publish import publish
 from tallyroom.session import get_session, input_bytes, run_job, size_tasks
-from tallyroom.sinks.jdbc import JdbcSink
+from tallyroom.sinks.jdbc import JdbcSink, in_one_transaction
 from tallyroom.sinks.tables import TableSink
 
 
@@ -23,6 +24,9 @@ def main(argv: list[str] | None = None) -> None:
                         "environment variables JDBC_USER and JDBC_PASSWORD")
     parser.add_argument("--database", default="default", help="database of the Spark tables")
     parser.add_argument("--jdbc-driver", help="driver class")
+    parser.add_argument("--client", help="Python database module, such as psycopg2, to create "
+                        "the tables with their keys and swap them in at the end; its connection "
+                        "string comes from the environment variable DATABASE_DSN")
     parser.add_argument("--jars", help="connector jar, unless spark-submit names it")
     parser.add_argument("--connections", type=int, default=16,
                         help="most database connections open at a time")
@@ -36,7 +40,12 @@ def main(argv: list[str] | None = None) -> None:
         properties = {"user": os.environ["JDBC_USER"], "password": os.environ["JDBC_PASSWORD"]}
         if args.jdbc_driver:
             properties["driver"] = args.jdbc_driver
-        sink = JdbcSink(args.jdbc_url, properties, num_partitions=args.connections)
+        run_statements = None
+        if args.client:
+            client = importlib.import_module(args.client)
+            run_statements = in_one_transaction(lambda: client.connect(os.environ["DATABASE_DSN"]))
+        sink = JdbcSink(args.jdbc_url, properties, run_statements,
+                        num_partitions=args.connections)
     for name in publish(spark, PLAYERS, args.input, sink, args.on_missing):
         print(f"published {name}")
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import closing
 from dataclasses import replace
+from typing import Any
 
 from pyspark.sql import DataFrame
 
@@ -59,6 +61,20 @@ def swap_statements(tables: list[Table]) -> list[str]:
                               f"ALTER TABLE {incoming(t).name} RENAME TO {t.name}")]
 
 
+def in_one_transaction(connect: Callable[[], Any]) -> Callable[[list[str]], None]:
+    """``run_statements`` for any Python database client: ``connect`` opens a connection.
+
+    All statements are committed together; after an error none is, and it is raised.
+    """
+    def run(statements: list[str]) -> None:
+        with closing(connect()) as connection:
+            with closing(connection.cursor()) as cursor:
+                for statement in statements:
+                    cursor.execute(statement)
+            connection.commit()
+    return run
+
+
 class JdbcSink:
     """Publishes to a database.
 

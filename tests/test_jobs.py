@@ -30,6 +30,35 @@ def test_the_jobs_run_from_archive_to_views(spark, tmp_path, capsys):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_load_to_a_database_hands_over_its_options(spark, tmp_path, monkeypatch):
+    seen = {}
+
+    class Sink:
+        def __init__(self, url, properties, run_statements, **options):
+            seen.update(url=url, properties=properties, run=run_statements, options=options)
+
+    monkeypatch.setattr(load, "JdbcSink", Sink)
+    monkeypatch.setattr(load, "publish", lambda *a: ["t"])
+    monkeypatch.setenv("JDBC_USER", "u")
+    monkeypatch.setenv("JDBC_PASSWORD", "p")
+    arguments = ["--input", str(tmp_path), "--jdbc-url", "jdbc:x", "--connections", "3"]
+    load.main(arguments)
+    assert seen == {"url": "jdbc:x", "properties": {"user": "u", "password": "p"}, "run": None,
+                    "options": {"num_partitions": 3}}
+    load.main([*arguments, "--client", "json", "--jdbc-driver", "d"])
+    assert callable(seen["run"]) and seen["properties"]["driver"] == "d"
+
+
+def test_load_in_place(spark, tmp_path, capsys):
+    (tmp_path / "in.csv").write_text(CSV)
+    stages = str(tmp_path / "stages")
+    transform.main(["--input", str(tmp_path / "in.csv"), "--output", stages])
+    load.main(["--input", stages, "--in-place"])
+    assert spark.table("player_metadata").count() == 3
+    for name in ("master_player_table", "player_metadata", "club_metadata"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 @pytest.mark.parametrize("job", [extract, transform, load, dashboard])
 def test_missing_arguments_stop_the_job(job, capsys):
     with pytest.raises(SystemExit) as stop:

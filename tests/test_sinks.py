@@ -4,7 +4,8 @@ import pytest
 
 from conftest import rows_of
 from tallyroom.contracts import PLAYERS, Column, Table
-from tallyroom.sinks.jdbc import JdbcSink, append_rows, replace_rows, reset_statements
+from tallyroom.sinks.jdbc import (JdbcSink, append_rows, in_one_transaction, replace_rows,
+                                  reset_statements)
 from tallyroom.sinks.parquet import write_parquet
 from tallyroom.sinks.tables import TableSink
 from tallyroom.sources.parquet import read_parquet
@@ -125,3 +126,19 @@ def test_without_a_client_rows_are_replaced(spark, calls):
     sink.stage(spark.createDataFrame([("a", 1)], "k string, v int"), TABLE, "")
     sink.commit()
     assert calls == [("replace", "served")]
+
+
+def test_statements_are_committed_together_or_not_at_all():
+    connection = MagicMock()
+    run = in_one_transaction(lambda: connection)
+    run(["a", "b"])
+    cursor = connection.cursor.return_value
+    assert [c.args[0] for c in cursor.execute.call_args_list] == ["a", "b"]
+    connection.commit.assert_called_once_with()
+    connection.close.assert_called_once_with()
+    connection.reset_mock()
+    cursor.execute.side_effect = [None, RuntimeError("no such table")]
+    with pytest.raises(RuntimeError):
+        run(["a", "b", "c"])
+    connection.commit.assert_not_called()
+    connection.close.assert_called_once_with()
