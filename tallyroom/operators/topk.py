@@ -14,6 +14,7 @@ from ..functions.columns import col, nan_as_null
 _MAX_ZEROS = 12
 _LOOKED_AT = 1 / 16
 
+
 def top_groups(df: DataFrame, key: str, value: str, n: int = 15,
                mean_name: str = "mean") -> DataFrame:
     """The ``n`` groups with the highest mean; groups without a known value last."""
