@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from tallyroom.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,14 +14,16 @@ def duck(sf_dir):
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     df = entry_point.queries()[name](spark, sf_dir)
     assert oracle.compare(df, duck, entry_point.oracle_sql()[name]) > 0
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry_runs(spark):
