@@ -52,18 +52,24 @@ def _to_type(df: DataFrame, target: Column) -> SparkColumn:
         return c
     # A cast that fails costs a Java exception per row, so text that cannot be a
     # number is told by its first byte: signs, digits and blanks sort before ':'.
+    # Bytes are compared as bytes, whatever the collation of the text.
     numeric_text = isinstance(source, T.StringType) and isinstance(kind, T.NumericType)
+    possible = c.cast("binary") < F.lit(b":")
     if isinstance(kind, T.IntegralType) and not isinstance(source, T.IntegralType):
         # Files written from a nullable integer column hold 70.0: round it to the
-        # integer, half to even, as a database does on assignment.
+        # integer, half to even, as a database does on assignment. Decimals are rounded as
+        # decimals: a double holds no integer beyond 2^53 exactly.
+        if isinstance(source, T.DecimalType):
+            return F.bround(c, 0).try_cast(target.type)
         rounded = F.rint(c.try_cast("double")).try_cast(target.type)
         if not numeric_text:
             return rounded
-        return (F.when(c >= ":", None).when(c.contains("."), rounded)
-                .otherwise(F.coalesce(c.try_cast(target.type), rounded)))
+        exact = F.bround(c.try_cast("decimal(38,18)"), 0).try_cast(target.type)
+        return F.when(possible, F.when(c.contains("."), F.coalesce(exact, rounded))
+                      .otherwise(F.coalesce(c.try_cast(target.type), rounded)))
     if numeric_text:
-        possible = (c < ":") | F.lower(F.trim(c)).isin(*_NUMBER_WORDS)
-        return F.when(possible, c.try_cast(target.type))
+        words = F.lower(F.trim(F.collate(c, "UTF8_BINARY")))
+        return F.when(possible | words.isin(*_NUMBER_WORDS), c.try_cast(target.type))
     return c.try_cast(target.type)
 
 

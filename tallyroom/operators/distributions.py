@@ -74,7 +74,9 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
         bin_of, start_of, widths = _whole_bin, _whole_start, _whole_widths(nbins)
     else:
         bin_of, start_of, widths = _float_bin, _float_start, _float_widths(nbins)
-    fits = f"w -> {bin_of('hi', 'w')} - {bin_of('lo', 'w')} < {nbins}"
+    # As decimals: two 64-bit bins can be further apart than 64 bits.
+    fits = (f"w -> cast({bin_of('hi', 'w')} as decimal(20, 0)) - "
+            f"cast({bin_of('lo', 'w')} as decimal(20, 0)) < {nbins}")
     width = span.select(F.expr(f"get(filter({widths}, {fits}), 0)")).scalar().alias("w")
 
     counts = (values.select("v", width).select(F.expr(bin_of("v", "w")).alias("bin"))
@@ -86,11 +88,11 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
             F.expr(bins).alias("bin"))
         counts = spine.join(counts, "bin", "left").select(
             "bin", F.expr("coalesce(n, 0L)").alias("n"))
-    # There are never more than nbins rows. Saying so sorts them in one step,
-    # without the sampling job of a range-partitioned sort.
+    # One row per bin: sorted in one task, without the sampling job of a
+    # range-partitioned sort.
     return (counts.select("bin", "n", width)
             .select("bin", F.expr(start_of("bin", "w")).alias("bin_start"), "n")
-            .orderBy("bin").limit(nbins))
+            .repartition(1).sortWithinPartitions("bin"))
 
 
 # The formulas are SQL text: as nested Column calls they take longer to build than
@@ -109,16 +111,20 @@ def _ten_to(e: str) -> str:
 
 
 def _whole_widths(nbins: int) -> str:
-    unit = f"cast({_ten_to(f'greatest({_exponent(nbins)}, 0)')} as bigint)"
-    return f"transform(array{_STEPS}, s -> {unit} * s)"
+    unit = f"cast({_ten_to(f'greatest({_exponent(nbins)}, 0)')} as decimal(20, 0))"
+    steps = f"transform(array{_STEPS}, s -> cast({unit} * s as decimal(38, 0)))"
+    fitting = f"filter({steps}, x -> x <= {2**63 - 1}BD)"
+    return f"transform({fitting}, x -> cast(x as bigint))"
 
 
 def _whole_bin(v: str, w: str) -> str:
-    return f"(({v} - pmod({v}, {w})) div {w})"
+    # Floor division that never leaves 64 bits.
+    return f"(({v} div {w}) - if({v} % {w} < 0, 1L, 0L))"
 
 
 def _whole_start(b: str, w: str) -> str:
-    return f"{b} * {w}"
+    # The first bin may start below the least bigint.
+    return f"coalesce(try_multiply({b}, {w}), {-2**63 + 1}L - 1L)"
 
 
 def _float_widths(nbins: int) -> str:

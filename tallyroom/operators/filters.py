@@ -46,14 +46,13 @@ def page(df: DataFrame, order_by: list[str], size: int, after: tuple | None = No
     """One page of rows in key order, starting behind the key ``after``.
 
     Pages continue from the last key seen, not from an offset, so a late page
-    costs what the first one does. ``order_by`` must identify a row.
+    costs what the first one does. ``order_by`` must identify a row; unknown keys come last.
     """
     if after is not None:
         later, tied = F.lit(False), F.lit(True)
         for name, value in zip(order_by, after, strict=True):
-            later = later | (tied & (col(name) > F.lit(value)))
-            tied = tied & (col(name) == F.lit(value))
+            if value is not None:
+                later = later | (tied & ((col(name) > F.lit(value)) | col(name).isNull()))
+            tied = tied & col(name).eqNullSafe(F.lit(value))
         df = df.where(later)
-    else:
-        df = df.where(all_of([col(n).isNotNull() for n in order_by]))
-    return df.orderBy(*[col(n).asc() for n in order_by]).limit(size)
+    return df.orderBy(*[col(n).asc_nulls_last() for n in order_by]).limit(size)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, known, nan_as_null
+from ..functions.columns import col, is_float, known, nan_as_null
 from ..functions.labels import currency, one_decimal, thousands
 
 
@@ -19,9 +19,20 @@ def summarise(df: DataFrame, value: str) -> DataFrame:
 
 
 def bounds(df: DataFrame, value: str) -> DataFrame:
-    """One row ``lo``, ``hi``, cut to whole numbers towards zero (slider ends)."""
+    """One row ``lo``, ``hi``, cut to whole numbers towards zero (slider ends).
+
+    Infinite values are skipped; bounds beyond 64 bits are the least or largest bigint.
+    """
     v = nan_as_null(df, value)
-    return df.agg(F.min(v).cast("bigint").alias("lo"), F.max(v).cast("bigint").alias("hi"))
+    if not is_float(df, value):
+        return df.agg(F.min(v).cast("bigint").alias("lo"), F.max(v).cast("bigint").alias("hi"))
+    v = F.when(F.abs(v) < float("inf"), v)
+    return df.agg(_to_bigint(F.min(v)).alias("lo"), _to_bigint(F.max(v)).alias("hi"))
+
+
+def _to_bigint(v: Column) -> Column:
+    return (F.when(v >= 2.0**63, 2**63 - 1).when(v < -(2.0**63), -(2**63))
+            .otherwise(v.try_cast("bigint")))
 
 
 def top_row(df: DataFrame, value: str, tie_break: Sequence[str]) -> DataFrame:

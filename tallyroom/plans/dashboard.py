@@ -57,6 +57,7 @@ class Dashboard:
                  keep: StorageLevel | None = StorageLevel.MEMORY_AND_DISK):
         self.table, self.roles, self.countries = table, roles, countries
         rows = nans_to_nulls(table.select(*[col(c) for c in roles.columns]))
+        # What is kept has the columns of the views; whole rows come from the table.
         self.rows = rows.persist(keep) if keep is not None else rows
         self._kept = keep is not None
 
@@ -73,12 +74,20 @@ class Dashboard:
                  region: str | None = None) -> DataFrame:
         return filter_rows(self.rows, {self.roles.rating: rating}, {self.roles.region: region})
 
+    def explored(self, rating: tuple[Any, Any] | None = None,
+                 region: str | None = None) -> DataFrame:
+        """The filtered rows with every column of the table. The filter stands on the columns as
+        stored, so it reaches the scan; a closed range holds no NaN."""
+        return nans_to_nulls(filter_rows(self.table, {self.roles.rating: rating},
+                                         {self.roles.region: region}))
+
     def views(self, rating: tuple[Any, Any] | None = None, region: str | None = None,
               seed: int = 42) -> dict[str, DataFrame]:
         """All views of the filtered rows; each is lazy and small once run."""
         r, rows = self.roles, self.filtered(rating, region)
         counts = category_counts(rows, r.region, r.region, "count")
-        top = top_row(rows, r.value, [r.key])
+        explored = self.explored(rating, region)
+        top = top_row(explored, r.value, [r.key])
         views = {
             "summary": summarise(rows, r.rating),
             "labels": metric_labels(rows, r.rating, r.value),
@@ -92,7 +101,7 @@ class Dashboard:
                 rows, [r.key], [r.age, r.potential, r.label], SAMPLE_ROWS, seed + 1),
             "region_counts": counts,
             "top_groups": top_groups(rows, r.group, r.rating, TOP_GROUPS),
-            "rows": rows,
+            "rows": explored,
         }
         if self.countries is not None:
             views["region_counts"] = place(counts, self.countries, r.region)
@@ -102,7 +111,7 @@ class Dashboard:
     def rows_page(self, size: int, after: tuple | None = None,
                   filters: Mapping[str, Any] | None = None) -> DataFrame:
         """One page of the filtered rows in key order, see ``page``."""
-        return page(self.filtered(**(filters or {})), [self.roles.key], size, after)
+        return page(self.explored(**(filters or {})), [self.roles.key], size, after)
 
 
 def long_form(views: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:

@@ -29,12 +29,15 @@ def replace_rows(df: DataFrame, url: str, table: Table, properties: dict[str, st
                  isolation: str = "READ_COMMITTED") -> None:
     """Empty the table and fill it again, keeping its own definition and key.
 
-    A table that is not there is created with the declared types and widths.
+    A table that is not there is created with the declared widths and the database's own
+    number types, but without a key: use ``reset_statements`` where the key must be declared.
     """
-    (_writer(df, url, table.name, properties, batch_size, num_partitions, isolation)
-     .option("truncate", True)
-     .option("createTableColumnTypes", ", ".join(c.ddl("jdbc") for c in table.columns))
-     .mode("overwrite").save())
+    writer = _writer(df, url, table.name, properties, batch_size, num_partitions, isolation)
+    # Spark parses these as its own types, so only the widths of text are named.
+    widths = ", ".join(c.ddl("spark") for c in table.columns if c.type == "string" and c.width)
+    if widths:
+        writer = writer.option("createTableColumnTypes", widths)
+    writer.option("truncate", True).mode("overwrite").save()
 
 
 def _writer(df, url, table, properties, batch_size, num_partitions, isolation):

@@ -35,10 +35,14 @@ def archive_members(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def archive_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8",
-                  parallelism: int | None = None) -> DataFrame:
-    """All lines of all safe members: ``archive``, ``member``, ``line_no``, ``line``."""
+                  parallelism: int | None = None, errors: str = "strict") -> DataFrame:
+    """All lines of all safe members: ``archive``, ``member``, ``line_no``, ``line``.
+
+    A byte that the encoding does not know fails the read; with ``errors="replace"`` it
+    becomes U+FFFD. ``archive_members`` tells which members are not safe.
+    """
     return _one_task_per_member(spark, path, parallelism).mapInArrow(
-        _read_lines(encoding), _LINES)
+        _read_lines(encoding, errors), _LINES)
 
 
 def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
@@ -136,7 +140,7 @@ def _list_members() -> Callable[[Iterator], Iterator]:
     return run
 
 
-def _read_lines(encoding: str) -> Callable[[Iterator], Iterator]:
+def _read_lines(encoding: str, errors: str) -> Callable[[Iterator], Iterator]:
     open_zip = _zip_opener()
 
     def run(batches):
@@ -158,7 +162,7 @@ def _read_lines(encoding: str) -> Callable[[Iterator], Iterator]:
                                     strict=True):
                 with open_zip(path) as archive, archive.open(member) as stream:
                     first, held, lines = 1, 0, []
-                    for line in io.TextIOWrapper(stream, encoding=encoding, errors="replace"):
+                    for line in io.TextIOWrapper(stream, encoding=encoding, errors=errors):
                         lines.append(line.removesuffix("\n"))
                         held += len(line)
                         if held >= 1 << 20:

@@ -82,3 +82,15 @@ def test_names_with_dots(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "`a.b` int, `c.d` double")
     assert rows_of(drop_incomplete(df, ["c.d"])) == [(2, 3.0)]
     assert select_renamed(df, {"a.b": "x"}).agg(F.sum("x")).first()[0] == 3
+
+
+def test_numbers_keep_every_digit_and_any_collation(spark):
+    from tallyroom.contracts import Column
+    from tallyroom.operators.clean import conform
+
+    df = spark.sql("select cast(9007199254740993 as decimal(20,0)) as d, "
+                   "'9007199254740993.0' as t, '70' collate UNICODE as u, "
+                   "cast('70' as string) collate UNICODE as w")
+    got = conform(df, [Column("d", "bigint"), Column("t", "bigint"), Column("u", "int"),
+                       Column("w", "double")]).first()
+    assert tuple(got) == (9007199254740993, 9007199254740993, 70, 70.0)

@@ -140,3 +140,12 @@ def test_histogram_scans_one_column(spark, sf_dir, capsys):
 
 def test_rows_of_counts(spark):
     assert rows_of(category_counts(spark.range(0).selectExpr("'a' as k"), "k")) == []
+
+
+def test_a_histogram_of_the_whole_64_bit_range(spark):
+    from tallyroom.operators.distributions import histogram
+
+    ends = [-2**63, -3 * 10**18, 0, 3 * 10**18, 2**63 - 1]
+    got = histogram(spark.createDataFrame([(v,) for v in ends], "v bigint"), "v", 25).collect()
+    assert sum(r["n"] for r in got) == len(ends)
+    assert [r["bin"] for r in got] == sorted(r["bin"] for r in got) and len(got) <= 25

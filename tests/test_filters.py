@@ -55,3 +55,14 @@ def test_pages_cover_every_row_once(spark, sf_dir, capsys):
         after = seen[-1]
     assert seen == sorted(tuple(r) for r in df.collect())
     assert "TakeOrderedAndProject" in plan_of(page(df, order, 700, (3, 5)), capsys)
+
+
+def test_pages_end_with_unknown_keys(spark):
+    from tallyroom.operators.filters import page
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (None, "d")], "k int, n string")
+    seen, after = [], None
+    while rows := page(df, ["k", "n"], 1, after).collect():
+        seen += [tuple(r) for r in rows]
+        after = seen[-1]
+    assert seen == [(1, "a"), (2, "c"), (None, "b"), (None, "d")]

@@ -70,7 +70,7 @@ def test_replace_keeps_the_definition_of_the_target():
     df, writer = recorder()
     replace_rows(df, "jdbc:x", TABLE, {})
     writer.option.assert_any_call("truncate", True)
-    writer.option.assert_any_call("createTableColumnTypes", "k VARCHAR(5), v DOUBLE PRECISION")
+    writer.option.assert_any_call("createTableColumnTypes", "k VARCHAR(5)")
     writer.mode.assert_called_once_with("overwrite")
 
 

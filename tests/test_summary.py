@@ -69,3 +69,10 @@ def test_labels_equal_python_on_many_values(spark):
 def test_metric_labels(spark, players):
     df = players({"overall": 66, "value_eur": 1234567.4}, {"overall": 67})
     assert rows_of(metric_labels(df, "overall", "value_eur")) == [("2", "66.5", "€1,234,567")]
+
+
+def test_bounds_skip_infinity_and_stay_in_64_bits(spark):
+    from tallyroom.operators.summary import bounds
+
+    df = spark.createDataFrame([(float("inf"),), (-2.5,), (1e19,), (float("nan"),)], "v double")
+    assert tuple(bounds(df, "v").first()) == (-2, 2**63 - 1)
