@@ -145,9 +145,9 @@ def count_pairs(docs: DataFrame, text_col: str, learns: Column | None,
             [pa.array(at.astype(np.int32)), pa.array(pairs[at])], names=["pair", "n"])
 
     rows = (_texts(docs, text_col, learns).mapInArrow(run, "pair int, n bigint")
-            .groupBy("pair").agg(F.sum("n").alias("n"))).toPandas()
+            .groupBy("pair").agg(F.sum("n").alias("n"))).toArrow()
     matrix = np.zeros(n * n)
-    matrix[rows["pair"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
+    matrix[rows["pair"].to_numpy()] = rows["n"].to_numpy()
     return matrix.reshape(n, n)
 
 
@@ -216,8 +216,8 @@ def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
     spark = docs.sparkSession
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = (counts.where("word is not null").orderBy(F.desc("n"), "word")
-           .limit(FREQUENT_WORDS).toPandas())
-    frequent = [bytes(w) for w in top["word"]]
+           .limit(FREQUENT_WORDS).toArrow())
+    frequent = top["word"].to_pylist()
     end = counts.where("word is null").first()
     core = frequent[:core_words]
     pairs = count_pairs(docs, text_col, learns, core)
@@ -239,7 +239,7 @@ def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
         class_tokens[of[row.unit]] += row.n
         class_words[of[row.unit]] += row.words
     return ClassModel(counts, int(tokens), int(distinct), frequent,
-                      top["n"].to_numpy(np.int64), int(end.n) if end else 0, len(core), of,
+                      top["n"].to_numpy(), int(end.n) if end else 0, len(core), of,
                       steps, class_tokens, class_words, smoothing)
 
 
