@@ -14,21 +14,25 @@ from ..session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes that one step inside a task holds in Python at a time (one text at least).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks that read these files, not the
-    steps before. The folder goes when the driver's JVM ends.
+    steps before. The folder goes when the driver's JVM ends. ``compact``: for narrow
+    rows; the last stage runs in two tasks per core of the cluster, not in one per shuffle
+    partition, so a small result is not spread over as many files.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    if compact:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -46,6 +50,34 @@ def remainder(column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.col(f"`{column}`").cast("string")), F.lit(divisor)).cast("int")
 
 
+#: Bits of the map that ``perhaps_named`` broadcasts: half a megabyte.
+NAME_BITS = 1 << 22
+
+
+def perhaps_named(rows: DataFrame, key: str, named: DataFrame) -> DataFrame:
+    """``rows`` and a column ``__perhaps``, false only where the key is none of ``named``.
+
+    ``named`` has one column. Its hashes are set in a map of ``NAME_BITS`` bits, which is broadcast:
+    the size is fixed, and with more names the answer is only less sharp. So a join of
+    whole texts with few names need not send the other texts to the shuffle.
+    """
+    def bit(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column.cast("bigint")), F.lit(NAME_BITS))
+
+    name = F.col(f"`{named.columns[0]}`")
+    marks = (named.select(bit(name).alias("bit"))
+             .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("__word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("__marks")))
+    own = bit(F.col(f"`{key}`"))
+    word = F.floor(own / 64).cast("int")
+    here = F.expr("shiftright(__marks, __place) & 1L = 1")
+    # At most NAME_BITS / 64 rows.
+    return (rows.withColumn("__place", (own % 64).cast("int")).withColumn("__of", word)
+            .join(F.broadcast(marks), F.col("__of") == F.col("__word"), "left")
+            .withColumn("__perhaps", F.coalesce(here, F.lit(False)))
+            .select(*[F.col(f"`{c}`") for c in rows.columns], "__perhaps"))
+
+
 def slices(batches: Iterable, text: int = -1) -> Iterator[tuple[list, ...]]:
     """Arrow batches as column lists, cut so that a piece holds SLICE_BYTES of text.
 

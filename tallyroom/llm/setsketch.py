@@ -11,12 +11,13 @@ maximum, and two registers agree with a probability close to the Jaccard similar
    agrees with it most, and the pair is verified on the full shingle sets.
 3. Verified links are joined to components. Buckets that still hold several components
    are searched inside tasks, in blocks: of all pairs of nodes of different components, those
-   whose likelihood estimate reaches the threshold less a margin are verified,
-   the most similar ones of each two components first, in a last round all of them.
+   whose likelihood estimate reaches the threshold less a margin are compared on their
+   full sets; first only the most similar ones of each node, which joins most components,
+   then all that are left.
 
 So no pair inside a component is ever formed, and no pair that could be a link
 is left out: the estimate only drops pairs more than ``MARGIN`` below the threshold,
-five standard errors of the sketch. A pair at the threshold shares no bucket with a
+over four standard errors of the sketch. A pair at the threshold shares no bucket with a
 probability of about 1e-7 (``(1 - 0.8^BAND)^BANDS``); links are kept only after full
 sets agreed.
 
@@ -35,8 +36,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, written
-from .links import components
+from .common import perhaps_named, slices, utf8, written
+from .links import components, merge
 
 REGISTERS = 200
 BAND = 5
@@ -46,11 +47,11 @@ LARGEST = (1 << 16) - 1
 SHINGLE = 5
 #: Least similarity of a link, in percent.
 PERCENT = 80
-MARGIN = 0.14
+MARGIN = 0.12
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 2048
-#: Best pairs of two components that a round verifies; the last round takes all.
-ROUNDS = (3, None)
+#: Most similar nodes of other components that each node is verified with before all others.
+FIRST_PAIRS = 4
 
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
@@ -70,7 +71,7 @@ class WordNumbers(dict):
         import xxhash
 
         number = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1 << 18:
+        if len(self) < 1 << 17:
             self[word] = number
         return number
 
@@ -147,6 +148,11 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, "id bigint, n_shingles bigint, digest binary, registers binary")
 
 
+def _count(marks: np.ndarray) -> np.ndarray:
+    """Marks of each row."""
+    return np.bitwise_count(np.packbits(marks, axis=-1)).sum(-1, dtype=np.int64)
+
+
 def likely(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
            similarity: float) -> np.ndarray:
     """Slope of the joint log-likelihood of two sketches at this Jaccard similarity.
@@ -156,8 +162,8 @@ def likely(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
     exactly. The likelihood is concave, so the estimate is at least ``similarity`` exactly
     where the slope there is not negative.
     """
-    more, less = (a > b).sum(-1), (a < b).sum(-1)
-    equal = a.shape[-1] - more - less
+    more, equal = _count(a > b), _count(a == b)
+    less = a.shape[-1] - more - equal
     u = size_a / (size_a + size_b)
     v = 1 - u
     j = np.minimum(similarity, np.minimum(u / v, v / u) * (1 - 1e-9))
@@ -200,7 +206,7 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 
 
 def _best_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for every node the leader that it shares most buckets with, if similar."""
+    """(a, b), a < b: every node with the leader that it shares most buckets with, if similar."""
     offers = (buckets.where("node != leader").groupBy("node", "leader")
               .agg(F.count(F.lit(1)).alias("n")))
     best = offers.groupBy("node").agg(
@@ -221,7 +227,8 @@ def _best_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return (best.join(own, "node").join(other, "leader")
             .select("node", "leader", "size_a", "size_b", "ra", "rb")
             .mapInArrow(run, "node bigint, leader bigint")
-            .select(F.col("node").alias("a"), F.col("leader").alias("b")))
+            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+            .distinct())
 
 
 def _registers(column) -> np.ndarray:
@@ -229,6 +236,14 @@ def _registers(column) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), REGISTERS)
 
 
+def _named_texts(docs: DataFrame, id_col: str, text_col: str, named: DataFrame) -> DataFrame:
+    """(node, text) of the named documents; few others reach the shuffle."""
+    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"),
+                        utf8(text_col).alias("text"))
+    return (perhaps_named(texts, "node", named).where("__perhaps").drop("__perhaps")
+            .join(named, "node"))
+
+
 def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int,
            percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have the similarity.
@@ -236,10 +251,8 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
     Texts of the documents named in pairs travel to their pairs, compressed as they are. The
     many pairs of one hot document may be split over tasks by the planner.
     """
-    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"),
-                        utf8(text_col).alias("text")).where("node is not null")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = written(texts.join(named, "node"), "pair-texts")
+    texts = written(_named_texts(docs, id_col, text_col, named), "pair-texts")
 
     def run(batches):
         import pyarrow as pa
@@ -260,10 +273,13 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
-            most: int | None) -> DataFrame:
-    """Likely pairs (a, b) of different components that share a bucket; with ``most``, only the
-    most similar ones of each two components."""
+_MEMBER = ("band int, bucket bigint, p int, q int, part int, node bigint, component bigint, "
+           "size bigint, registers binary")
+
+
+def _meetings(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``_MEMBER``: the nodes of every bucket that holds several components. A
+    bucket of more than ``BLOCK`` nodes is cut in blocks, and each two blocks meet (p, q)."""
     member = (buckets.join(labels, "node", "left")
               .select("band", "bucket", "node", F.coalesce("component", "node").alias("component")))
     mixed = member.groupBy("bucket").agg(
@@ -273,20 +289,60 @@ def _across(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: in
               .join(nodes.select("node", "size", "registers"), "node")
               .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     # Of a large bucket every block meets every other: a row goes once to each meeting.
-    blocks = (member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-              .select("band", "bucket", F.least("part", "other").alias("p"),
-                      F.greatest("part", "other").alias("q"), "part", "node", "component",
-                      "size", "registers"))
+    return (member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("band", "bucket", F.least("part", "other").alias("p"),
+                    F.greatest("part", "other").alias("q"), "part", "node", "component",
+                    "size", "registers"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
+
+
+def _best_across(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """Likely pairs (a, b), a < b, of different components: about the most similar of each node."""
+    def run(batches):
+        yield from _best_pairs(batches, percent, most)
+
+    pairs = _dealt(rows).mapInArrow(run, "node bigint, other bigint, equal int").distinct()
+    best = Window.partitionBy("node").orderBy(F.desc("equal"), "other")
+    return (pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+            .distinct())
+
+
+def _links_across(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int,
+                  percent: int) -> DataFrame:
+    """All links (a, b) between different components. No pair leaves a task unless it is one:
+    the first pass keeps the nodes that stand in a likely pair, the second, which has their
+    full sets, compares the likely pairs again."""
+    def involved(batches):
+        yield from _likely_members(batches, percent)
 
     def run(batches):
-        yield from _across_tasks(batches, percent)
+        yield from _true_links(batches, percent)
 
-    pairs = (blocks.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
-             .mapInArrow(run, "a bigint, b bigint, ca bigint, cb bigint, equal int"))
-    if most is not None:
-        best = Window.partitionBy("ca", "cb").orderBy(F.desc("equal"), "a", "b")
-        pairs = pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
-    return pairs.select("a", "b")
+    likely = written(_dealt(rows).mapInArrow(involved, _MEMBER), "likely")
+    sets = written(_sets(likely.select("node").distinct(), docs, id_col, text_col, width), "sets")
+    return _dealt(likely.join(sets, "node").select(*likely.columns, "shingles")).mapInArrow(
+        run, "a bigint, b bigint").distinct()
+
+
+def _sets(named: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+          width: int) -> DataFrame:
+    """(node, shingles): the full sets of the named documents."""
+    def run(batches):
+        import pyarrow as pa
+
+        numbers = WordNumbers()
+        for keys, texts in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()),
+                 pa.array([shingles(t, width, numbers).tobytes() for t in texts], pa.binary())],
+                names=["node", "shingles"])
+
+    texts = _named_texts(docs, id_col, text_col, named)
+    return texts.select("node", "text").mapInArrow(run, "node bigint, shingles binary")
 
 
 #: Pairs that a task compares at a time.
@@ -294,10 +350,11 @@ PAIRS = 1 << 14
 
 
 class _Meeting:
-    """Rows of one block meeting, or of several small ones, as arrays."""
+    """Rows of some whole meetings, as arrays."""
 
     def __init__(self, batch):
         take = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+        self.rows = batch
         self.band, self.bucket, self.p, self.q = map(take, ("band", "bucket", "p", "q"))
         self.part, self.node, self.component = map(take, ("part", "node", "component"))
         self.size = take("size").astype(np.float64)
@@ -310,59 +367,49 @@ class _Meeting:
         edges = np.concatenate([[0], np.flatnonzero(change) + 1, [len(self.bucket)]])
         return zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
 
-    def pairs(self, lo: int, hi: int, percent: int):
-        """Rows of one meeting to compare, for each row the others."""
+    def partners(self, lo: int, hi: int, percent: int, once: bool):
+        """For each row of a meeting the rows of other components that its size admits;
+        ``once``: each two rows once."""
         part, node = self.part[lo:hi], self.node[lo:hi]
         component, size = self.component[lo:hi], self.size[lo:hi]
         inside = self.p[lo] == self.q[lo]
         for i in np.flatnonzero(part == self.p[lo]).tolist():
             partner = (part == self.q[lo]) & (component != component[i])
             partner &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
-            if inside:
+            if inside and once:
                 partner &= node > node[i]
             others = np.flatnonzero(partner)
             if len(others):
-                yield lo + i, lo + others
+                yield np.full(len(others), lo + i), lo + others
 
-    def likely(self, first: np.ndarray, second: np.ndarray, percent: int) -> list[np.ndarray]:
-        """Columns of the pairs that may be links and whose first common band is this one."""
+    def likely(self, percent: int, once: bool):
+        """(first, second, equal registers, whether this is their first common band) of the
+        likely pairs, some at a time."""
+        first, second, held = [], [], 0
+        for lo, hi in self.groups():
+            for x, y in self.partners(lo, hi, percent, once):
+                first.append(x)
+                second.append(y)
+                held += len(x)
+                if held >= PAIRS:
+                    yield self._keep(np.concatenate(first), np.concatenate(second), percent)
+                    first, second, held = [], [], 0
+        if held:
+            yield self._keep(np.concatenate(first), np.concatenate(second), percent)
+
+    def _keep(self, first: np.ndarray, second: np.ndarray, percent: int):
         a, b = self.registers[first], self.registers[second]
         keep = _similar(a, b, self.size[first], self.size[second], percent)
-        bands = (a == b)[keep].reshape(-1, BANDS, BAND).all(2)
-        first, second = first[keep], second[keep]
+        first, second, agree = first[keep], second[keep], (a == b)[keep]
+        bands = agree.reshape(-1, BANDS, BAND).all(2)
         here = np.argmax(bands, 1) == self.band[first]
-        first, second = first[here], second[here]
-        equal = (a == b)[keep][here].sum(1)
-        swap = self.component[first] > self.component[second]
-        x, y = np.where(swap, second, first), np.where(swap, first, second)
-        return [self.node[x], self.node[y], self.component[x], self.component[y],
-                equal.astype(np.int32)]
+        return first, second, agree.sum(1).astype(np.int32), here
 
 
-def _across_tasks(batches, percent: int):
+def _whole_meetings(batches):
+    """Sorted rows as meetings; the last one of a batch may go on in the next."""
     import pyarrow as pa
 
-    def found(rows):
-        meeting = _Meeting(rows)
-        first, second, held = [], [], 0
-
-        def compared():
-            columns = meeting.likely(np.concatenate(first), np.concatenate(second), percent)
-            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)),
-                                              names=["a", "b", "ca", "cb", "equal"])
-
-        for lo, hi in meeting.groups():
-            for i, others in meeting.pairs(lo, hi, percent):
-                first.append(np.full(len(others), i))
-                second.append(others)
-                held += len(others)
-                if held >= PAIRS:
-                    yield compared()
-                    first, second, held = [], [], 0
-        if held:
-            yield compared()
-
-    # Rows come sorted; the last meeting of a batch may go on in the next.
     rest = None
     for batch in batches:
         rows = batch if rest is None else pa.concat_batches([rest, batch])
@@ -375,9 +422,49 @@ def _across_tasks(batches, percent: int):
             cut -= 1
         rest = rows.slice(cut)
         if cut:
-            yield from found(rows.slice(0, cut))
+            yield _Meeting(rows.slice(0, cut))
     if rest is not None:
-        yield from found(rest)
+        yield _Meeting(rest)
+
+
+def _best_pairs(batches, percent: int, most: int):
+    import pyarrow as pa
+
+    for meeting in _whole_meetings(batches):
+        for first, second, equal, _ in meeting.likely(percent, once=False):
+            order = np.lexsort((-equal, first))
+            place = np.arange(len(order)) - np.searchsorted(first[order], first[order])
+            pick = order[place < most]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(meeting.node[first[pick]]), pa.array(meeting.node[second[pick]]),
+                 pa.array(equal[pick])], names=["node", "other", "equal"])
+
+
+def _likely_members(batches, percent: int):
+    import pyarrow as pa
+
+    for meeting in _whole_meetings(batches):
+        rows = np.zeros(len(meeting.node), bool)
+        for first, second, _, here in meeting.likely(percent, once=True):
+            rows[first[here]] = rows[second[here]] = True
+        yield meeting.rows.filter(pa.array(rows))
+
+
+def _true_links(batches, percent: int):
+    import pyarrow as pa
+
+    for meeting in _whole_meetings(batches):
+        sets = [np.frombuffer(x, np.uint64) for x in meeting.rows.column("shingles").to_pylist()]
+        links = []
+        for first, second, _, here in meeting.likely(percent, once=True):
+            for i, j in zip(first[here].tolist(), second[here].tolist(), strict=True):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                    links.append((i, j))
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(meeting.node[ends[:, 0]]), pa.array(meeting.node[ends[:, 1]])],
+            names=["a", "b"])
 
 
 def _same_id(rows: DataFrame, own: DataFrame) -> DataFrame:
@@ -399,26 +486,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("registers").alias("registers"))
     nodes = written(sets, "nodes")
     buckets = written(_buckets(nodes), "buckets")
-    pairs = written(_best_leaders(buckets, nodes, percent), "pairs")
+    pairs = written(_best_leaders(buckets, nodes, percent), "pairs", compact=True)
     own = nodes.select("digest", "node")
     links = verify(pairs, docs, id_col, text_col, width, percent).unionByName(
         _same_id(rows, own))
-    labels = components(written(links, "star-links"))
-    tested = pairs
-    for most in ROUNDS:
-        offered = _across(buckets, nodes, labels, percent, most).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = written(offered.join(known, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            if most is None:
-                break
-            continue
-        tested = tested.unionByName(fresh)
-        more = verify(fresh, docs, id_col, text_col, width, percent)
-        # What is joined so far is a star around each component's node.
-        so_far = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        labels = components(so_far.unionByName(written(more, "more-links")))
+    labels = components(written(links, "links", compact=True))
+    fresh = written(_best_across(_meetings(buckets, nodes, labels), percent, FIRST_PAIRS)
+                    .join(pairs, ["a", "b"], "left_anti"), "pairs", compact=True)
+    links = verify(fresh, docs, id_col, text_col, width, percent)
+    labels = merge(labels, written(links, "links", compact=True))
+    links = _links_across(_meetings(buckets, nodes, labels), docs, id_col, text_col, width, percent)
+    labels = merge(labels, written(links, "links", compact=True))
     # Copies of a set take the component of its node, one with a third of all rows as well.
     of_set = (own.join(labels, "node", "left")
               .select("digest", F.coalesce("component", "node").alias("component")))
@@ -433,5 +511,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, of the document that stays from each group."""
     found = near_duplicates(docs, id_col, text_col, width, percent)
-    gone = found.where("not kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    gone = written(found.where("not kept").select(F.col("id").alias("__gone")).distinct(), "gone")
+    marked = perhaps_named(docs, id_col, gone)
+    # Most documents are certain to stay and are not shuffled.
+    stays = marked.where("not __perhaps").drop("__perhaps")
+    asked = marked.where("__perhaps").drop("__perhaps")
+    return stays.unionByName(
+        asked.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti"))
