@@ -29,10 +29,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import bounded, slices, utf8
 
 #: Words a worker remembers; then it starts afresh.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 #: Symbols above which a piece is merged by a heap.
 LONG_PIECE = 256
 
@@ -222,7 +222,7 @@ def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
                 names=["id", "n_tokens", "token_ids"])
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, n_tokens bigint, token_ids binary")
+    return bounded(rows).mapInArrow(run, "id bigint, n_tokens bigint, token_ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -241,4 +241,26 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 names=["id", "n_tokens", "token_ids", "decoded"])
 
     rows = encoded.select("id", "n_tokens", "token_ids")
-    return rows.mapInArrow(run, "id bigint, n_tokens bigint, token_ids binary, decoded string")
+    return bounded(rows).mapInArrow(run, "id bigint, n_tokens bigint, token_ids binary, decoded string")
+
+
+def round_trip(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """What ``decode(encode(df))`` gives, with one Python worker and one encoder per task."""
+    shared = share(df.sparkSession, vocabulary or default_vocabulary())
+
+    def run(batches):
+        import pyarrow as pa
+
+        bpe = _loaded(shared)
+        for keys, texts in slices(batches):
+            ids = [bpe.encode(t.decode("utf-8", "replace")) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([struct.pack(f"<{len(x)}I", *x) for x in ids], pa.binary()),
+                 pa.array([bpe.decode(x) for x in ids], pa.string())],
+                names=["id", "n_tokens", "token_ids", "decoded"])
+
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), utf8(text_col).alias("text"))
+    return bounded(rows).mapInArrow(
+        run, "id bigint, n_tokens bigint, token_ids binary, decoded string")

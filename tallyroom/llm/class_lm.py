@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, written
+from .common import bounded, slices, utf8, written
 
 CORE_WORDS = 1024
 ENDINGS = 256
@@ -107,7 +107,7 @@ def count_words(docs: DataFrame, text_col: str, learns: Column | None) -> DataFr
         if ends:
             yield rows({None: ends})
 
-    return (_texts(docs, text_col, learns).mapInArrow(run, "word binary, n bigint")
+    return (bounded(_texts(docs, text_col, learns)).mapInArrow(run, "word binary, n bigint")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -144,7 +144,7 @@ def count_pairs(docs: DataFrame, text_col: str, learns: Column | None,
         yield pa.RecordBatch.from_arrays(
             [pa.array(at.astype(np.int32)), pa.array(pairs[at])], names=["pair", "n"])
 
-    rows = (_texts(docs, text_col, learns).mapInArrow(run, "pair int, n bigint")
+    rows = (bounded(_texts(docs, text_col, learns)).mapInArrow(run, "pair int, n bigint")
             .groupBy("pair").agg(F.sum("n").alias("n"))).toArrow()
     matrix = np.zeros(n * n)
     matrix[rows["pair"].to_numpy()] = rows["n"].to_numpy()
@@ -302,7 +302,7 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        utf8(text_col).alias("text"))
-    parts = written(rows.mapInArrow(
+    parts = written(bounded(rows).mapInArrow(
         run, "id bigint, n_tokens bigint, n_known bigint, base double, score double, "
              "rare array<binary>, times array<bigint>")
         .withColumn("row", F.monotonically_increasing_id()), "lm-parts")

@@ -40,6 +40,21 @@ def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The frame itself, for tasks that take whole texts: a batch is then limited by its bytes,
+    not only by 10,000 rows, which would hold hundreds of MB of long texts. A limit that the
+    user has set stays."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).cast("binary")

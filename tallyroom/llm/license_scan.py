@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import bounded, slices, utf8
 
 # The base phrases and their labels.
 PHRASES = {
@@ -253,5 +253,5 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["id", "n_words", "base_places", "template_places", "score"])
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id bigint, n_words bigint, base_places {place}, "
+    return bounded(rows).mapInArrow(run, f"id bigint, n_words bigint, base_places {place}, "
                                 f"template_places {place}, score double")

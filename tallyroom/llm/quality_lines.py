@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import bounded, slices, utf8
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -243,7 +243,7 @@ def label_lines(df: DataFrame, model: LineModel, id_col: str = "doc_id", text_co
                 names=[f.split()[0] for f in schema.split(", ")])
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, schema)
+    return bounded(rows).mapInArrow(run, schema)
 
 
 def keep_good(df: DataFrame, model: LineModel, text_col: str = "text",
@@ -261,7 +261,7 @@ def keep_good(df: DataFrame, model: LineModel, text_col: str = "text",
                 keep.append(_passes(m, _decode(m, model), model, min_share))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return bounded(df).mapInArrow(run, df.schema)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -292,7 +292,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
                 names=["bad", "features"])
 
     got = sorted((int(r.bad), bytes(r.features))
-                 for r in rows.mapInArrow(run, "bad boolean, features binary").collect())
+                 for r in bounded(rows).mapInArrow(run, "bad boolean, features binary").collect())
     return [(bad_, np.frombuffer(f, np.uint8).reshape(-1, len(FEATURES)).astype(np.int64))
             for bad_, f in got]
 

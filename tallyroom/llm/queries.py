@@ -149,7 +149,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    tokens = bpe.round_trip(table(spark, sf_dir, "documents"))
     return tokens.select(doc_id(), "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
                          F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import perhaps_named, slices, utf8, written
+from .common import bounded, perhaps_named, slices, utf8, written
 from .links import components, merge
 
 REGISTERS = 200
@@ -145,7 +145,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, n_shingles bigint, digest binary, registers binary")
+    return bounded(rows).mapInArrow(run, "id bigint, n_shingles bigint, digest binary, registers binary")
 
 
 def _count(marks: np.ndarray) -> np.ndarray:

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import bounded, slices, utf8
 
 WINDOW = 64
 ORDINARY_BYTES = 32 << 10
@@ -131,7 +131,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
                 names=["id", "score", "predicted", "n_windows", "mean_gap"])
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, score double, predicted int, n_windows bigint, "
+    return bounded(rows).mapInArrow(run, "id bigint, score double, predicted int, n_windows bigint, "
                                 "mean_gap double")
 
 
@@ -149,7 +149,7 @@ def drop_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text",
                     for t in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return bounded(df).mapInArrow(run, df.schema)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
