@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per emitted document: doc_id, n_tokens, ids_sha256, decoded_sha256, token_ids."""
-    tokens = bpe.decode(bpe.encode(docs))
+    tokens = bpe.round_trip(docs)
     return tokens.select(F.col("id").alias("doc_id"), "n_tokens",
                          F.sha2("token_ids", 256).alias("ids_sha256"),
                          F.sha2("decoded", 256).alias("decoded_sha256"), "token_ids")
