@@ -22,16 +22,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
+from .common import written
 
 RANGE = 4096
 
 
 def length_counts(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """(length, n_docs): documents per encoded length. Map tasks count before the shuffle."""
-    return (bpe.encode(docs, vocabulary, id_col, text_col)
-            .groupBy(F.col("n_tokens").alias("length"))
-            .agg(F.count(F.lit(1)).alias("n_docs")))
+    """(length, n_docs): documents per encoded length. Map tasks count before the shuffle.
+
+    The histogram is written, so that texts are encoded once however often it is read.
+    """
+    return written(bpe.encode(docs, vocabulary, id_col, text_col)
+                   .groupBy(F.col("n_tokens").alias("length"))
+                   .agg(F.count(F.lit(1)).alias("n_docs")), "lengths", compact=True)
 
 
 def suffix_sums(counts: DataFrame) -> DataFrame:
