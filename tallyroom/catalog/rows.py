@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..contracts import Column, Contract, Table
 from ..operators.clean import clean, conform
 from ..operators.dedupe import distinct_rows, keep_best, keep_ranked
-from ..operators.filters import emptiness, filter_rows
+from ..operators.filters import emptiness, filter_rows, page
 from ..operators.quality import contract_report, key_violations, length_violations
-from ..plans.stages import served_rows
+from ..plans.stages import load_audit as audit, served_rows
 from .registry import query, table
 
 _NAME = Column("short_name", "string", 100)
@@ -115,6 +115,18 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return served_rows(best, PARTS, PART_MASTER)
 
 
+@query("""
+WITH complete AS (SELECT p_name FROM part
+  WHERE p_name <> 'small ring' AND p_brand <> 'Brand#7' AND p_retailprice <> 900.0)
+SELECT a.n AS n_read, a.n - c.n AS n_incomplete, c.n - c.k AS n_duplicate, c.k AS n_kept
+FROM (SELECT count(*) AS n FROM part) a
+CROSS JOIN (SELECT count(*) AS n, count(DISTINCT p_name) AS k FROM complete) c
+""")
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, incomplete, duplicate and kept."""
+    return audit(with_gaps(table(spark, sf_dir, "part")), PART_CLEANING)
+
+
 @query("SELECT DISTINCT p_name, p_type, p_size FROM part")
 def entity_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(table(spark, sf_dir, "part"), ["p_name", "p_type", "p_size"])
@@ -143,6 +155,30 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
                           Column("price", "double")])
 
 
+@query("""
+SELECT l_linenumber, 9007199254740993 + l_orderkey AS from_decimal,
+       9007199254740993 + l_orderkey AS from_text FROM lineitem
+""")
+def conform_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers that no double holds, as decimals and as text with a fraction of zero."""
+    big = (F.lit(9007199254740993) + F.col("l_orderkey")).cast("decimal(20, 0)")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_linenumber", big.alias("from_decimal"),
+        F.concat(big.cast("string"), F.lit(".0")).alias("from_text"))
+    return conform(rows, [Column("l_linenumber", "int"), Column("from_decimal", "bigint"),
+                          Column("from_text", "bigint")])
+
+
+@query("""
+SELECT * FROM orders WHERE o_totalprice BETWEEN 50000 AND 400000 AND o_orderkey > 500
+ORDER BY o_orderkey LIMIT 200
+""")
+def rows_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page behind the first one, with every column."""
+    rows = filter_rows(table(spark, sf_dir, "orders"), {"o_totalprice": (50_000, 400_000)})
+    return page(rows, ["o_orderkey"], 200, after=(500,))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

@@ -120,6 +120,18 @@ def histogram_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram(table(spark, sf_dir, "part"), "p_size")
 
 
+@query("""
+SELECT CAST(l_partkey % 19 - 9 AS BIGINT) AS bin,
+       CAST(l_partkey % 19 - 9 AS BIGINT) * 1000000000000000000 AS bin_start, count(*) AS n
+FROM lineitem GROUP BY 1, 2
+""")
+def histogram_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers over nearly all 64 bits."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        ((F.col("l_partkey").cast("bigint") % 19 - 9) * 10**18).alias("v"))
+    return histogram(rows, "v")
+
+
 _WIDTH = """
 WITH b AS (SELECT min({c}) AS lo, max({c}) AS hi FROM {t}),
 w AS (SELECT min(c.w) AS w FROM b CROSS JOIN (VALUES (1.0E0), (2.0E0), (5.0E0), (10.0E0),

@@ -7,7 +7,7 @@ instance the jobs use by default.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -64,10 +64,11 @@ class Table:
 
     def ddl(self, dialect: str = "spark") -> str:
         """Column list of a CREATE TABLE; the key is declared for databases only."""
-        parts = [c.ddl(dialect) for c in self.columns]
         if dialect == "jdbc":
-            parts.append(f"PRIMARY KEY ({', '.join(self.key)})")
-        return ", ".join(parts)
+            parts = [c.ddl(dialect) for c in self.columns]
+            return ", ".join([*parts, f"PRIMARY KEY ({', '.join(self.key)})"])
+        quoted = [replace(c, name="`" + c.name.replace("`", "``") + "`") for c in self.columns]
+        return ", ".join(c.ddl(dialect) for c in quoted)
 
 
 @dataclass(frozen=True)

@@ -16,11 +16,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True, help="root folder of the stages")
     parser.add_argument("--multi-line", action="store_true",
                         help="quoted values may hold line breaks; each file is one task")
+    parser.add_argument("--replace", action="store_true",
+                        help="overwrite stages under the root; none of them may be served")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-transform")
     size_tasks(spark, input_bytes(spark, args.input))
     source = read_delimited(spark, args.input, multi_line=args.multi_line)
-    for stage, rows in build_stages(spark, source, PLAYERS, args.output).items():
+    for stage, rows in build_stages(spark, source, PLAYERS, args.output,
+                                    args.replace).items():
         print(f"{stage}: {rows} rows")
 
 

@@ -72,7 +72,10 @@ class Dashboard:
 
     def filtered(self, rating: tuple[Any, Any] | None = None,
                  region: str | None = None) -> DataFrame:
-        return filter_rows(self.rows, {self.roles.rating: rating}, {self.roles.region: region})
+        """The filtered rows with the columns of the views, from the kept frame if there is one."""
+        if self._kept:
+            return filter_rows(self.rows, {self.roles.rating: rating}, {self.roles.region: region})
+        return self.explored(rating, region).select(*[col(c) for c in self.roles.columns])
 
     def explored(self, rating: tuple[Any, Any] | None = None,
                  region: str | None = None) -> DataFrame:

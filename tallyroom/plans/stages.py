@@ -5,10 +5,13 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import Contract, Table
-from ..operators.clean import clean
+from ..functions.columns import col, known
+from ..operators.clean import clean, conform, select_renamed
 from ..operators.dedupe import distinct_rows, keep_best
+from ..operators.filters import all_of
 from ..session import run_together
 from ..sinks.parquet import write_parquet
 from ..sources.parquet import read_parquet
@@ -35,22 +38,45 @@ def served_rows(cleaned: DataFrame, contract: Contract, table: Table) -> DataFra
     return distinct_rows(cleaned, table.names)
 
 
+def load_audit(source: DataFrame, contract: Contract) -> DataFrame:
+    """One row on what the first stage keeps: ``n_read``, ``n_incomplete`` rows without a required
+    value, ``n_duplicate`` complete rows that are not the best of their key, ``n_kept``.
+
+    One shuffle, of a row per key and task.
+    """
+    typed = conform(select_renamed(source, contract.headers), contract.columns)
+    complete = all_of([known(typed, name) for name in contract.required])
+    # Incomplete rows share one group, which the tasks combine before the shuffle.
+    keys = {f"k{i}": F.when(complete, col(name)) for i, name in enumerate(contract.key)}
+    groups = (typed.select(complete.alias("complete"), *[c.alias(k) for k, c in keys.items()])
+              .groupBy("complete", *keys).agg(F.count(F.lit(1)).alias("n")))
+    n = F.col("n")
+    return groups.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n_read"),
+        F.coalesce(F.sum(F.when(~F.col("complete"), n)), F.lit(0)).alias("n_incomplete"),
+        F.coalesce(F.sum(F.when(F.col("complete"), n - 1)), F.lit(0)).alias("n_duplicate"),
+        F.count_if("complete").alias("n_kept"))
+
+
 def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
-                 root: str) -> dict[str, int]:
+                 root: str, replace: bool = False) -> dict[str, int]:
     """Write all stages under ``root``; rows written per stage, in order.
 
+    A root that holds stages is refused: tables may serve them. ``replace`` overwrites them.
+
     The source is read once. The served tables start from the stored first stage,
     so all of them hold the same choice of rows, and each reads only its columns.
     """
     first = contract.cleaned
-    unique = write_parquet(cleaned_rows(source, contract), folder_of(root, first))
+    unique = write_parquet(cleaned_rows(source, contract), folder_of(root, first),
+                           replace=replace)
     cleaned = read_parquet(spark, folder_of(root, first), first.schema)
 
     def write(table: Table) -> int:
         rows = served_rows(cleaned, contract, table)
         if table.sort:
             rows = rows.sortWithinPartitions(*table.sort)
-        return write_parquet(rows, folder_of(root, table))
+        return write_parquet(rows, folder_of(root, table), replace=replace)
 
     written = run_together(spark, [partial(write, t) for t in contract.tables])
     names = [first.name, *(t.name for t in contract.tables)]

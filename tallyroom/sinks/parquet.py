@@ -10,14 +10,16 @@ from ..operators.quality import counted
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                  max_records_per_file: int | None = None) -> int:
-    """Replace the folder and return the number of rows written.
+                  max_records_per_file: int | None = None, replace: bool = True) -> int:
+    """Write the folder and return the number of rows written.
+
+    A folder that is there is replaced, or refused with ``replace=False``.
 
     The count is observed by the write itself; counting afterwards would run the
     whole lineage again.
     """
     observed, seen = counted(df)
-    writer = observed.write.mode("overwrite")
+    writer = observed.write.mode("overwrite" if replace else "errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import ContractError
@@ -41,7 +41,8 @@ def archive_lines(spark: SparkSession, path: str | list[str], encoding: str = "u
     A byte that the encoding does not know fails the read; with ``errors="replace"`` it
     becomes U+FFFD. ``archive_members`` tells which members are not safe.
     """
-    return _one_task_per_member(spark, path, parallelism).mapInArrow(
+    members = archive_members(spark, path).where("safe")
+    return dealt(members, parallelism).select("archive", "member").mapInArrow(
         _read_lines(encoding, errors), _LINES)
 
 
@@ -59,22 +60,28 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
     name = F.concat(F.regexp_extract("archive", r"([^/]+?)(\.[^./]*)?$", 1), F.lit("/"))
     target = F.concat(F.lit(out_dir.rstrip("/") + "/"),
                       name if folder_per_archive else F.lit(""), F.col("member"))
-    members = _one_task_per_member(spark, path, parallelism).withColumn("target", target)
+    # The list is stored, so every archive is opened once for it.
+    listed = f"{out_dir.rstrip('/')}/_members"
+    (archive_members(spark, path).where("safe").withColumn("target", target)
+     .write.mode("overwrite").parquet(listed))
+    members = spark.read.parquet(listed)
     clash = members.groupBy("target").count().where("count > 1").take(3)
     if clash:
         raise ContractError("several members for " + ", ".join(r["target"] for r in clash))
     manifest = f"{out_dir.rstrip('/')}/_manifest"
-    (members.mapInArrow(_write_members(), _MANIFEST)
-     .write.mode("overwrite").parquet(manifest))
+    (dealt(members, parallelism).select("archive", "member", "target")
+     .mapInArrow(_write_members(), _MANIFEST).write.mode("overwrite").parquet(manifest))
     return spark.read.parquet(manifest)
 
 
-def _one_task_per_member(spark: SparkSession, path: str | list[str],
-                         parallelism: int | None) -> DataFrame:
-    # A count given in the call: AQE would merge the small list into one task.
-    n = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (archive_members(spark, path).where("safe").drop("safe", "bytes")
-            .repartition(n, "archive", "member"))
+def dealt(members: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """The members dealt to tasks one by one, largest first: no task holds two members while
+    another holds none. Numbering them sorts the list in one task: a short row a member, no content.
+    """
+    n = parallelism or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_size = Window.orderBy(F.col("bytes").desc(), "archive", "member")
+    numbered = members.withColumn("place", F.row_number().over(by_size))
+    return numbered.repartitionById(n, (F.col("place") % n).cast("int")).drop("place")
 
 
 def _zip_opener() -> Callable:

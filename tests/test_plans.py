@@ -6,7 +6,7 @@ from tallyroom.contracts import PLAYERS
 from tallyroom.errors import ContractError
 from tallyroom.plans.dashboard import Dashboard, Roles
 from tallyroom.plans.publish import publish
-from tallyroom.plans.stages import build_stages, cleaned_rows, folder_of
+from tallyroom.plans.stages import build_stages, cleaned_rows, folder_of, load_audit
 from tallyroom.sinks.parquet import write_parquet
 from tallyroom.sinks.tables import TableSink
 from tallyroom.sources.delimited import read_delimited
@@ -59,6 +59,20 @@ def test_master_files_are_sorted_for_the_dashboard_filters(spark, source, tmp_pa
     assert all(rows == sorted(rows) for rows in by_file.values())
 
 
+def test_stages_that_may_be_served_are_not_overwritten(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    build_stages(spark, source, PLAYERS, root)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        build_stages(spark, source.where("id = 1"), PLAYERS, root)
+    assert read_parquet(spark, folder_of(root, PLAYERS.tables[0])).count() == 3
+    assert build_stages(spark, source.where("id = 1"), PLAYERS, root, replace=True)["cleaned"] == 1
+
+
+def test_audit_accounts_for_every_row(spark, source):
+    assert rows_of(load_audit(source, PLAYERS)) == [(7, 3, 1, 3)]
+    assert rows_of(load_audit(source.where("id = 99"), PLAYERS)) == [(0, 0, 0, 0)]
+
+
 def test_an_empty_source_gives_empty_tables(spark, source, tmp_path):
     rows = build_stages(spark, source.where("id = 99"), PLAYERS, str(tmp_path / "out"))
     assert set(rows.values()) == {0}
@@ -174,3 +188,19 @@ def test_the_table_is_kept_and_released(spark, players):
     board.close()
     assert not board.rows.is_cached
     assert not Dashboard(rows, keep=None).rows.is_cached
+
+
+def test_filters_reach_the_scan_of_a_table_that_is_not_kept(spark, players, tmp_path, capsys):
+    rows = players({"full_name": "a", "overall": 60}, {"full_name": "b", "overall": 80}).withColumn(
+        "overall", F.col("overall").cast("double"))
+    write_parquet(rows, str(tmp_path / "t"))
+    board = Dashboard(read_parquet(spark, str(tmp_path / "t")), keep=None)
+    plan = plan_of(board.views(rating=(70, 90))["summary"], capsys)
+    assert "GreaterThanOrEqual(overall,70.0)" in plan
+    assert board.views(rating=(70, 90))["summary"].first()["n"] == 1
+
+
+def test_rows_pages_and_the_top_row_hold_every_column(board):
+    views = board.views()
+    assert views["rows"].columns == board.table.columns == board.rows_page(2).columns
+    assert views["top_entity"].columns == [*board.table.columns, "value_label"]

@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import plan_of, rows_of
 from tallyroom.operators.distributions import category_counts
 from tallyroom.operators.region import place, unplaced
@@ -27,3 +29,12 @@ def test_broadcast_follows_the_size_limit(spark, sf_dir, capsys):
             assert plan.index("HashAggregate") < plan.index("Scan parquet")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_repeated_key_of_the_dimension_fails(spark):
+    counts = spark.createDataFrame([("x", 2), (None, 1)], "name string, n int")
+    dim = spark.createDataFrame([("x", "XX"), (None, "a"), (None, "b")], "name string, code string")
+    assert rows_of(place(counts, dim, "name")) == rows_of(
+        spark.createDataFrame([("x", 2, "XX"), (None, 1, None)], "name string, n int, code string"))
+    with pytest.raises(Exception, match="holds a key of name twice"):
+        place(counts, dim.union(dim), "name").collect()

@@ -47,6 +47,44 @@ def test_a_load_replaces_the_one_before(spark, tmp_path):
     spark.sql(f"DROP TABLE {sink.name_of(TABLE)}")
 
 
+class FailsOn(TableSink):
+    """Fails when the named table is to take its place."""
+
+    def __init__(self, spark, root, name):
+        super().__init__(spark, root)
+        self.fails = f"`default`.`{name}`"
+
+    def rename(self, name, to):
+        if to == self.fails:
+            self.fails = None
+            raise RuntimeError("catalogue unreachable")
+        super().rename(name, to)
+
+
+def test_a_switch_that_fails_leaves_every_served_table(spark, tmp_path):
+    tables = [Table(f"pair_{i}", "", (Column("k", "string", 5), Column("odd name", "int")), ("k",))
+              for i in (1, 2)]
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, `odd name` int")
+    sink = TableSink(spark, str(tmp_path / "it's"))
+    for t in tables:
+        sink.stage(rows, t, "")
+    sink.commit()
+    failing = FailsOn(spark, str(tmp_path / "it's"), "pair_2")
+    for t in tables:
+        failing.stage(rows.where("k = 'a'"), t, "")
+    with pytest.raises(RuntimeError, match="unreachable"):
+        failing.commit()
+    names = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("pair_"))
+    assert names == ["pair_1", "pair_2"]
+    for t in tables:
+        assert rows_of(spark.table(sink.name_of(t))) == [("a", 1), ("b", 2)]
+    failing.commit()
+    for t in tables:
+        assert rows_of(spark.table(sink.name_of(t))) == [("a", 1)]
+        spark.sql(f"DROP TABLE {sink.name_of(t)}")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("pair_")]
+
+
 def recorder():
     """A frame whose writer records its calls; no database is needed."""
     writer = MagicMock()

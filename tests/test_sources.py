@@ -4,12 +4,13 @@ import zipfile
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import plan_of, rows_of
 from tallyroom.contracts import Column
 from tallyroom.errors import ContractError
-from tallyroom.sources.archive import archive_lines, archive_members, extract_archives
+from tallyroom.sources.archive import archive_lines, archive_members, dealt, extract_archives
 from tallyroom.sources.delimited import read_delimited
 from tallyroom.sources.jdbc import range_options, read_table
 from tallyroom.sources.parquet import empty_frame, read_parquet
@@ -166,3 +167,13 @@ def test_jdbc_ranges_are_all_or_none():
 def test_jdbc_split_is_by_ranges_or_predicates(spark):
     with pytest.raises(ValueError, match="not both"):
         read_table(spark, "jdbc:x", "t", {}, "id", 0, 9, 2, predicates=["id > 0"])
+
+
+@pytest.mark.parametrize("members", [5, 6, 40])
+def test_members_are_dealt_one_by_one(spark, members):
+    rows = [(f"z{i % 3}", f"m{i}", i) for i in range(members)]
+    listed = spark.createDataFrame(rows, "archive string, member string, bytes bigint").repartition(3)
+    per_task = [r["count"] for r in dealt(listed, 6).groupBy(
+        F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) == members and len(per_task) == min(members, 6)
+    assert max(per_task) - min(per_task) <= 1
