@@ -5,16 +5,24 @@ P(class | class before) * P(word | class), with additive smoothing on both. Toke
 words of the lower-cased text (A-Z only) and one end, which is also what comes before the
 first word.
 
-Exchange clustering moves one unit at a time to the class that raises the likelihood of the
-class bigram most, until nothing moves. Units are the ``CORE_WORDS`` most frequent words, each
-for itself, and ``ENDINGS`` groups that hold all other words by their last two bytes; so
-every word of the corpus has a class, and the matrix that is clustered has a fixed size.
+Exchange clustering moves one word at a time to the class that raises the likelihood of the
+class bigram most, until nothing moves. It starts from a rough clustering on the driver, of a fixed
+size: the ``CORE_WORDS`` most frequent words, each for itself, and ``ENDINGS`` groups of all others
+by their last two bytes. From there every word of the corpus moves for itself, in Spark:
+a round counts for each word the classes before and after it, broadcasts the class grid
+and asks every word for its best class. Many words move in a round; if together they
+do not raise the likelihood, the round is undone and fewer of them move. At most ``MOVERS`` words
+that want to move do so one after the other on the driver, where each gain is exact; so every
+round that stays raises the likelihood, and the rounds end. The end is a word here. Words that training did not see have the class of
+their ending.
 
 What is learned covers the whole training part: exact counts of every word (one shuffle of
-words, counted in map tasks first), unit pairs, class sizes. Only sizes fixed by parameters go through
-the driver or a broadcast: the unit pairs, and the ``FREQUENT_WORDS`` most frequent words, which
-the scoring tasks look up in place. All other words of a text meet their count in one
-join by word; none of them can be a hot key, as the hot ones are in the broadcast.
+words, counted in map tasks first), of every pair of words that follow each other, class sizes.
+Pairs name words by 64-bit hashes; words of equal hash would move together. Only sizes fixed by
+parameters go through the driver or a broadcast: the start, the grid, the counts of
+``MOVERS`` words, and the ``FREQUENT_WORDS`` most frequent words, which the scoring tasks look up in place. All other words
+of a text meet their count and class in joins by word; none of them can be a hot key, as the hot
+ones are in the broadcast.
 
 Defined results: a null text is an empty one, its only token is the end; a null id learns and is
 not held out; rows that share an id are scored each for itself; texts of any length are
@@ -38,17 +46,20 @@ from .common import bounded, slices, utf8, written
 CORE_WORDS = 1024
 ENDINGS = 256
 CLASSES = 48
-SWEEPS = 20
 FREQUENT_WORDS = 1 << 17
 #: Added to every count, one more word of each class standing for all unknown ones.
 SMOOTHING = 0.1
 #: Distinct words a counting task holds before it passes them on.
 COUNTER_WORDS = 1 << 19
+#: Tokens whose pairs a task counts together before it passes them on.
+PAIR_TOKENS = 1 << 21
+#: Words that the driver moves one after the other when few want to move.
+MOVERS = 1024
 
 
 @dataclass
 class ClassModel:
-    """Everything of fixed size; the counts of all words are the frame ``counts``."""
+    """Everything of fixed size; (word, n, cls) of all words are the frame ``counts``."""
 
     counts: DataFrame
     tokens: int
@@ -56,9 +67,10 @@ class ClassModel:
     frequent: list[bytes]
     frequent_counts: np.ndarray
     end_count: int
-    core: int
-    #: Class of each unit: core words, endings, the end.
-    classes: np.ndarray
+    #: Classes of the frequent words, of the end, and of unseen words by their ending.
+    frequent_classes: np.ndarray
+    end_class: int
+    endings: np.ndarray
     #: log10 P(class | class before).
     steps: np.ndarray
     class_tokens: np.ndarray
@@ -155,7 +167,7 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     """A class for every unit. Units start dealt out by frequency and move, most frequent
     first, to the class with the largest likelihood; of equal ones to the first."""
     n = len(pairs)
@@ -169,7 +181,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     right, left = pairs @ member, pairs.T @ member
     grid = member.T @ right
     total = size @ member
-    for _ in range(sweeps):
+    moved = 1
+    while moved:
         moved = 0
         for w in order:
             if not size[w]:
@@ -203,46 +216,260 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
                 right[:, j] += pairs[:, w]
                 left[:, k] -= pairs[w]
                 left[:, j] += pairs[w]
-        if not moved:
-            break
     return of
 
 
+def hashes(words: list[bytes]) -> np.ndarray:
+    """The number of each word; the end is the empty word."""
+    from pandas.util import hash_array
+
+    if not words:
+        return np.zeros(0, np.int64)
+    return hash_array(np.array(words, object), categorize=False).view(np.int64)
+
+
+def count_links(docs: DataFrame, text_col: str, learns: Column | None) -> DataFrame:
+    """(a, b, n): how often the word numbered b follows the one numbered a."""
+    def run(batches):
+        import pyarrow as pa
+
+        def rows(line):
+            a, b = line[:-1], line[1:]
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.r_[first, len(a)]))],
+                names=["a", "b", "n"])
+
+        words = [b""]
+        for (texts,) in slices(batches):
+            for text in texts:
+                words += text.lower().split()
+                words.append(b"")
+            if len(words) > PAIR_TOKENS:
+                yield rows(hashes(words))
+                words = [b""]
+        if len(words) > 1:
+            yield rows(hashes(words))
+
+    return (bounded(_texts(docs, text_col, learns)).mapInArrow(run, "a bigint, b bigint, n bigint")
+            .groupBy("a", "b").agg(F.sum("n").alias("n")))
+
+
+def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.ndarray,
+          of: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """What the likelihood gains when one word alone goes to each class, [word, class].
+
+    A word's entries start at ``first``: class c after it is c, before it K + c, and ``times``
+    how often. ``own``: how often the word follows itself.
+    """
+    k, m = len(grid), len(of)
+    total, diagonal, line = grid.sum(1), np.diag(grid), np.arange(m)
+    f = _xlogx
+    near = np.vstack([grid.T, grid])
+    steps = f(near[entries] + times[:, None]) - f(near)[entries]
+    put = np.add.reduceat(steps, first, 0)
+    dense = np.zeros((m, 2 * k))
+    dense[np.repeat(line, np.diff(np.r_[first, len(entries)])), entries] = times
+    r, l_ = dense[:, :k], dense[:, k:]
+    size = r.sum(1)
+    row, col = grid[of], grid.T[of]
+    base_row, base_col, base = f(row), f(col), f(diagonal)
+    take = f((row - r).clip(0)) - base_row + f((col - l_).clip(0)) - base_col
+    rk, lk, s = r[line, of][:, None], l_[line, of][:, None], own[:, None]
+    # Cells where the old and the new class meet are counted by themselves.
+    gain = (take.sum(1) - take[line, of])[:, None] - take
+    gain += put - (f(diagonal + r) + f(diagonal + l_) - 2 * base)
+    gain -= f(col + rk) - base_col + f(row + lk) - base_row
+    gain += (f((diagonal[of][:, None] - rk - lk + s).clip(0)) - base[of][:, None]
+             + f(diagonal + r + l_ + s) - base
+             + f((row - r + lk - s).clip(0)) - base_row + f((col - l_ + rk - s).clip(0)) - base_col)
+    old = total[of]
+    gain -= 2 * ((f((old - size).clip(0)) - f(old))[:, None]
+                 + f(total + size[:, None]) - f(total))
+    gain[line, of] = 0
+    return gain
+
+
+def likelihood(grid: np.ndarray) -> float:
+    return float(_xlogx(grid).sum() - 2 * _xlogx(grid.sum(1)).sum())
+
+
+def _contexts(links: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(unit, cls, own, near): the classes beside each word, numbered as in ``gains``."""
+    after = classes.select(F.col("unit").alias("b"), F.col("cls").alias("cb"))
+    before = classes.select(F.col("unit").alias("a"), F.col("cls").alias("ca"))
+    own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
+    sides = F.array(F.struct(F.col("a").alias("unit"), F.col("cb").alias("at"), "n",
+                             own.alias("own")),
+                    F.struct(F.col("b").alias("unit"), (F.col("ca") + k).alias("at"), "n",
+                             F.lit(0).cast("bigint").alias("own")))
+    return (links.join(after, "b").join(before, "a").select(F.inline(sides))
+            .groupBy("unit", "at").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+            .groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("near"),
+                                 F.sum("own").alias("own"))
+            .join(classes, "unit"))
+
+
+def _wishes(contexts: DataFrame, grid: np.ndarray, least: float) -> DataFrame:
+    """(unit, cls, want, gain): the best class of every word by itself."""
+    shared = contexts.sparkSession.sparkContext.broadcast(grid)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for whole in batches:
+            for lo in range(0, len(whole), 1024):
+                batch = whole.slice(lo, 1024)
+                near = batch["near"].combine_chunks() if hasattr(batch["near"], "chunks") \
+                    else batch["near"]
+                pairs = near.flatten()
+                first = np.r_[0, np.cumsum(near.value_lengths().to_numpy())[:-1]]
+                of = batch["cls"].to_numpy()
+                gain = gains(shared.value, pairs.field("at").to_numpy(),
+                             pairs.field("n").to_numpy().astype(float), first, of,
+                             batch["own"].to_numpy().astype(float))
+                want = gain.argmax(1)
+                most = gain.max(1)
+                want = np.where(most > least, want, of).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["unit"], batch["cls"], pa.array(want), pa.array(most)],
+                    names=["unit", "cls", "want", "gain"])
+
+    return (contexts.select("unit", "cls", "own", "near")
+            .mapInArrow(run, "unit bigint, cls int, want int, gain double"))
+
+
+def _settle(links: DataFrame, contexts: DataFrame, wishes: DataFrame, grid: np.ndarray,
+            least: float) -> DataFrame:
+    """(unit, to): the classes of the words that gain most, moved one by one until none gains."""
+    some = (wishes.where("want <> cls").orderBy(F.desc("gain"), "unit").limit(MOVERS)
+            .select("unit", "gain"))
+    movers = written(some, "lm-movers")
+    rows = sorted(contexts.join(F.broadcast(movers), "unit").collect(),
+                  key=lambda r: (-r.gain, r.unit))
+    place = {r.unit: i for i, r in enumerate(rows)}
+    k = len(grid)
+    dense = np.zeros((len(rows), 2 * k))
+    for i, r in enumerate(rows):
+        for x in r.near:
+            dense[i, x["at"]] = x["n"]
+    of, own = np.array([r.cls for r in rows]), np.array([float(r.own) for r in rows])
+    names = movers.select("unit")
+    between = (links.join(F.broadcast(names.withColumnRenamed("unit", "a")), "a")
+               .join(F.broadcast(names.withColumnRenamed("unit", "b")), "b").collect())
+    after, before = [[] for _ in rows], [[] for _ in rows]
+    for r in between:
+        after[place[r.a]].append((place[r.b], r.n))
+        before[place[r.b]].append((place[r.a], r.n))
+    grid, moved = grid.copy(), True
+    while moved:
+        moved = False
+        for w in range(len(rows)):
+            at = np.flatnonzero(dense[w])
+            gain = gains(grid, at, dense[w, at], np.zeros(1, int), of[w:w + 1], own[w:w + 1])[0]
+            old, new = of[w], int(gain.argmax())
+            if gain[new] <= least:
+                continue
+            for sign, c in ((-1, old), (1, new)):
+                if sign > 0:
+                    for other, n in after[w]:
+                        dense[other, k + old] -= n
+                        dense[other, k + new] += n
+                    for other, n in before[w]:
+                        dense[other, old] -= n
+                        dense[other, new] += n
+                grid[c] += sign * dense[w, :k]
+                grid[:, c] += sign * dense[w, k:]
+                grid[c, c] -= sign * own[w]
+            of[w] = new
+            moved = True
+    return links.sparkSession.createDataFrame(
+        [(r.unit, int(c)) for r, c in zip(rows, of, strict=True)], "unit bigint, to int")
+
+
+def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
+    """Move all words of ``classes`` (unit, cls) until none moves; the classes and their grid."""
+    best, moves, parts, turn, exact = -np.inf, 0, 1, 0, False
+    while True:
+        contexts = written(_contexts(links, classes, k), "lm-contexts")
+        grid = np.zeros((k, k))
+        for r in (contexts.select("cls", F.inline("near")).where(F.col("at") < k)
+                  .groupBy("cls", "at").agg(F.sum("n").alias("n")).collect()):
+            grid[r.cls, r.at] = r.n
+        reached = likelihood(grid)
+        if exact or reached > best:
+            best, parts = reached, max(1, parts // 2)
+            kept = contexts, grid, 1e-6 + 1e-12 * abs(reached)
+            wishes = written(_wishes(*kept), "lm-wishes")
+            moves = wishes.where("want <> cls").count()
+            if not moves:
+                return classes, grid
+        else:
+            parts *= 2
+        turn += 1
+        exact = moves <= MOVERS * parts
+        if exact:
+            chosen = _settle(links, kept[0], wishes, *kept[1:])
+            next_ = (wishes.join(F.broadcast(chosen), "unit", "left")
+                     .select("unit", F.coalesce("to", "cls").alias("cls")))
+        else:
+            goes = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(parts)) == 0
+            next_ = wishes.select("unit", F.when(goes, F.col("want")).otherwise(F.col("cls"))
+                                  .alias("cls"))
+        classes = written(next_, "lm-classes")
+
+
 def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
           core_words: int = CORE_WORDS, classes: int = CLASSES,
           smoothing: float = SMOOTHING) -> ClassModel:
     """Fit on the documents for which ``learns`` holds (all without it)."""
-    counts = written(count_words(docs, text_col, learns), "words")
+    counts = written(_numbered(count_words(docs, text_col, learns)), "words")
     spark = docs.sparkSession
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = (counts.where("word is not null").orderBy(F.desc("n"), "word")
-           .limit(FREQUENT_WORDS).toArrow())
-    frequent = top["word"].to_pylist()
-    end = counts.where("word is null").first()
-    core = frequent[:core_words]
-    pairs = count_pairs(docs, text_col, learns, core)
-    of = exchange(pairs, classes)
+    core = [bytes(r.word) for r in counts.where("word is not null")
+            .orderBy(F.desc("n"), "word").limit(core_words).collect()]
+    of = exchange(count_pairs(docs, text_col, learns, core), classes)
     k = int(of.max()) + 1
-    member = np.zeros((len(of), k))
-    member[np.arange(len(of)), of] = 1
-    grid = member.T @ pairs @ member
-    steps = np.log10((grid + smoothing) / (grid.sum(1, keepdims=True) + smoothing * k))
-    # Words and tokens of each class, from the counts of all words; the core is a small table.
+    # The start: the class of the core word or of the ending; the core is a small table.
     named = spark.createDataFrame([(bytearray(w), i) for i, w in enumerate(core)],
-                                  "word binary, unit int")
-    unit = (F.when(F.col("word").isNull(), len(core) + ENDINGS)
-            .otherwise(F.coalesce("unit", ending_column("word") + len(core))))
-    sizes = (counts.join(F.broadcast(named), "word", "left").withColumn("unit", unit)
-             .groupBy("unit").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect())
+                                  "word binary, start int")
+    start = (F.when(F.col("word").isNull(), len(core) + ENDINGS)
+             .otherwise(F.coalesce("start", ending_column("word") + len(core))))
+    first = (counts.join(F.broadcast(named), "word", "left")
+             .select("unit", F.element_at(F.lit(of.astype(np.int32)), start + 1).alias("cls"))
+             .groupBy("unit").agg(F.min("cls").alias("cls")))
+    links = written(count_links(docs, text_col, learns), "lm-links")
+    found, grid = exchange_all(links, written(first, "lm-classes"), k)
+    steps = np.log10((grid + smoothing) / (grid.sum(1, keepdims=True) + smoothing * k))
+    counts = written(counts.join(found, "unit").select("word", "n", "cls"), "words")
     class_tokens, class_words = np.zeros(k), np.zeros(k)
-    for row in sizes:
-        class_tokens[of[row.unit]] += row.n
-        class_words[of[row.unit]] += row.words
-    return ClassModel(counts, int(tokens), int(distinct), frequent,
-                      top["n"].to_numpy(), int(end.n) if end else 0, len(core), of,
+    for row in (counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
+                .collect()):
+        class_tokens[row.cls], class_words[row.cls] = row.n, row.words
+    top = (counts.where("word is not null").orderBy(F.desc("n"), "word")
+           .limit(FREQUENT_WORDS).toArrow())
+    end = counts.where("word is null").first()
+    return ClassModel(counts, int(tokens), int(distinct), top["word"].to_pylist(),
+                      top["n"].to_numpy(), int(end.n) if end else 0, top["cls"].to_numpy(),
+                      int(end.cls) if end else int(of[-1]), of[len(core):len(core) + ENDINGS],
                       steps, class_tokens, class_words, smoothing)
 
 
+def _numbered(counts: DataFrame) -> DataFrame:
+    """The counted words with the numbers that ``count_links`` gives them."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            units = hashes([w or b"" for w in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.int64())],
+                                             names=["word", "n", "unit"])
+
+    return counts.mapInArrow(run, "word binary, n bigint, unit bigint")
+
+
 def _base(count, model: ClassModel):
     return np.log10((count + 0.1) / (model.tokens + 0.1 * (model.distinct + 1)))
 
@@ -256,18 +483,14 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per document: id, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
     spark = docs.sparkSession
-    core, n_frequent = model.core, len(model.frequent)
-    of_frequent = np.array([model.classes[i] if i < core else model.classes[core + ending(w)]
-                            for i, w in enumerate(model.frequent)], np.int64)
-    end_class = int(model.classes[core + ENDINGS])
+    n_frequent = len(model.frequent)
     # The end is looked up like a frequent word, behind them.
     counts = np.append(model.frequent_counts, model.end_count)
-    of = np.append(of_frequent, end_class)
+    of = np.append(model.frequent_classes, model.end_class).astype(np.int64)
     shared = spark.sparkContext.broadcast({
         "words": {w: i for i, w in enumerate(model.frequent)}, "of": of,
         "base": _base(counts, model), "emission": _emission(counts, of, model),
-        "known": counts > 0, "steps": model.steps,
-        "endings": model.classes[core:core + ENDINGS]})
+        "known": counts > 0, "steps": model.steps})
 
     def run(batches):
         import pyarrow as pa
@@ -282,44 +505,78 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
                 at = np.array([find(w, -1) for w in words], np.int64)
                 at[-1] = n_frequent
                 others = np.flatnonzero(at < 0)
-                labels = m["of"][at]
+                labels = np.where(at < 0, -1, m["of"][at])
+                before = np.concatenate([labels[-1:], labels[:-1]])
+                after = np.concatenate([labels[1:], labels[:1]])
+                # Rare words with the classes beside them (-1: a rare word too), and
+                # pairs of rare words.
                 rare: Counter = Counter()
-                if len(others):
-                    names = [words[i] for i in others]
-                    labels[others] = m["endings"][[ending(w) for w in names]]
-                    rare.update(names)
+                links: Counter = Counter()
+                for i in others.tolist():
+                    rare[words[i], int(before[i]), int(after[i])] += 1
+                    if after[i] < 0:
+                        links[words[i], words[i + 1]] += 1
                 seen = at[at >= 0]
-                before = np.concatenate([labels[-1:], labels[:-1]])
+                both = (labels >= 0) & (before >= 0)
                 rows.append((len(words), int(known[seen].sum()), float(m["base"][seen].sum()),
-                             float(m["emission"][seen].sum() + steps[before, labels].sum()),
-                             list(rare), list(rare.values())))
+                             float(m["emission"][seen].sum()
+                                   + steps[before[both], labels[both]].sum()),
+                             [w for w, _, _ in rare], [x for _, x, _ in rare],
+                             [x for _, _, x in rare], list(rare.values()),
+                             [w for w, _ in links], [w for _, w in links], list(links.values())))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()),
-                     pa.list_(pa.int64())]
+                     *[pa.list_(pa.int32())] * 2, pa.list_(pa.int64()),
+                     *[pa.list_(pa.binary())] * 2, pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64())]
                 + [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                names=["id", "n_tokens", "n_known", "base", "score", "rare", "times"])
+                names=["id", "n_tokens", "n_known", "base", "score", "rare", "before", "after", "times",
+                       "left", "right", "link_times"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        utf8(text_col).alias("text"))
     parts = written(bounded(rows).mapInArrow(
         run, "id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-             "rare array<binary>, times array<bigint>")
+             "rare array<binary>, before array<int>, after array<int>, times array<bigint>, "
+             "left array<binary>, right array<binary>, link_times array<bigint>")
         .withColumn("row", F.monotonically_increasing_id()), "lm-parts")
-    rest = (parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
-            .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-            .join(model.counts.where("word is not null"), "word", "left")
-            .withColumn("n", F.coalesce("n", F.lit(0)))
-            .withColumn("unit", ending_column("word") + 1))
-    # log10 of the denominators by ending, as literals of fixed number.
-    scale = np.log10(model.class_tokens + model.smoothing * (model.class_words + 1))
-    by_ending = F.array(*[F.lit(float(scale[c])) for c in model.classes[core:core + ENDINGS]])
+    # Arrays of fixed size: the steps, the denominators' log10 by class, unseen words' classes.
+    k = len(model.steps)
+    table = F.lit(model.steps.ravel())
+    scale = F.lit(np.log10(model.class_tokens + model.smoothing * (model.class_words + 1)))
+    unseen = F.lit(model.endings.astype(np.int32))
+    words = model.counts.where("word is not null")
+
+    def step(a: Column, b: Column) -> Column:
+        return F.when((a >= 0) & (b >= 0), F.element_at(table, a * k + b + 1)).otherwise(0.0)
+
+    def class_of(word: str, cls: str) -> Column:
+        return F.coalesce(F.col(cls), F.element_at(unseen, ending_column(word) + 1))
+
+    rest = (parts.select("row", F.explode(F.arrays_zip("rare", "before", "after", "times"))
+                         .alias("x"))
+            .select("row", F.col("x.rare").alias("word"), "x.before", "x.after", "x.times")
+            .join(words, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+            .withColumn("cls", class_of("word", "cls")))
     base = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.distinct + 1)))
-    emission = F.log10(F.col("n") + model.smoothing) - F.element_at(by_ending, F.col("unit"))
-    sums = rest.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * base).alias("more_base"),
-        F.sum(F.col("times") * emission).alias("more_score"))
+    score = (F.log10(F.col("n") + model.smoothing) - F.element_at(scale, F.col("cls") + 1)
+             + step(F.col("before"), F.col("cls")) + step(F.col("cls"), F.col("after")))
+    links = (parts.select("row", F.explode(F.arrays_zip("left", "right", "link_times")).alias("x"))
+             .select("row", F.col("x.left").alias("left"), F.col("x.right").alias("right"),
+                     F.col("x.link_times").alias("times"))
+             .join(words.select(F.col("word").alias("left"), F.col("cls").alias("a")), "left", "left")
+             .join(words.select(F.col("word").alias("right"), F.col("cls").alias("b")), "right",
+                   "left"))
+    times = F.col("times")
+    none = F.lit(0).cast("bigint")
+    sums = (rest.select("row", F.when(F.col("n") > 0, times).otherwise(none).alias("known"),
+                        (times * base).alias("base"), (times * score).alias("score"))
+            .unionByName(links.select("row", none.alias("known"), F.lit(0.0).alias("base"),
+                                      (times * step(class_of("left", "a"), class_of("right", "b")))
+                                      .alias("score")))
+            .groupBy("row").agg(F.sum("known").alias("more_known"),
+                                F.sum("base").alias("more_base"),
+                                F.sum("score").alias("more_score")))
     zero = F.lit(0.0)
     return (parts.select("row", "id", "n_tokens", "n_known", "base", "score")
             .join(sums, "row", "left")

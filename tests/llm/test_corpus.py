@@ -384,3 +384,68 @@ def test_toxic_words_are_learned_and_found(spark, odd, none):
     assert toxicity.score_toxicity(none, model).count() == 0
     assert not toxicity.train(docs, labels.where("toxic = 0")).trained
     assert toxicity.score_toxicity(odd, toxicity.ToxicityModel()).agg(F.max("score")).first()[0] == 0
+
+
+# Every word clustered for itself
+
+def test_all_words_are_clustered_not_only_the_core(spark):
+    """Rare words of equal ending take turns: two words a class, though none is in the core."""
+    rng = random.Random(11)
+    left, right = [f"l{i}zz" for i in range(40)], [f"r{i}zz" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(left) + " " + rng.choice(right) for _ in range(60)), "", 0, "")
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = class_lm.learn(docs, core_words=2, classes=3)
+    of = {bytes(r["word"] or b"").decode(): r["cls"] for r in model.counts.collect()}
+    assert len({of[w] for w in left}) == len({of[w] for w in right}) == 1
+    assert of[left[0]] != of[right[0]]
+
+    # No single word may still gain, and scores are those of the model word by word.
+    docs_words = [[*t.split(), ""] for _, t, *_ in rows]
+    line = ["", *[w for ws in docs_words for w in ws]]
+    count = Counter(line[1:])
+
+    def fit(of):
+        g = np.zeros((3, 3))
+        np.add.at(g, ([of[w] for w in line[:-1]], [of[w] for w in line[1:]]), 1)
+        return class_lm.likelihood(g)
+
+    reached = fit(of)
+    assert all(fit({**of, w: c}) <= reached + 1e-3 for w in of for c in range(3))
+    got = by_id(class_lm.score_texts(docs, model))
+    size = model.class_tokens + model.smoothing * (model.class_words + 1)
+    for i, ws in enumerate(docs_words):
+        want = sum(model.steps[of[a], of[b]] + math.log10((count[b] + model.smoothing) / size[of[b]])
+                   for a, b in zip(["", *ws], ws, strict=False))
+        assert got[i]["score"] == pytest.approx(want)
+
+
+def test_rare_words_are_scored_like_frequent_ones(spark, odd, monkeypatch):
+    """Counts and classes that come by joins give the scores that the broadcast gives."""
+    whole = class_lm.learn(odd, core_words=20, classes=4)
+    asked = odd.unionByName(spark.createDataFrame([(70, "new " + prose(1) + " w3 newer", "", 0, "")],
+                                                  DOCS))
+    want = sorted(r["score"] for r in class_lm.score_texts(asked, whole).collect())
+    whole.frequent, whole.frequent_counts = whole.frequent[:5], whole.frequent_counts[:5]
+    whole.frequent_classes = whole.frequent_classes[:5]
+    got = sorted(r["score"] for r in class_lm.score_texts(asked, whole).collect())
+    assert got == pytest.approx(want)
+
+
+def test_gains_are_exact():
+    rng = np.random.default_rng(4)
+    words, k = 15, 4
+    line = np.r_[0, rng.integers(0, words, 300), 0]
+    n = np.zeros((words, words))
+    np.add.at(n, (line[:-1], line[1:]), 1)
+    of = rng.integers(0, k, words)
+    member = np.eye(k)[of]
+    near = np.hstack([n @ member, n.T @ member])
+    who, at = np.nonzero(near)
+    first = np.searchsorted(who, np.arange(words))
+    gain = class_lm.gains(member.T @ n @ member, at, near[who, at], first, of, np.diag(n))
+    start = class_lm.likelihood(member.T @ n @ member)
+    for w in range(words):
+        for c in range(k):
+            other = np.eye(k)[np.r_[of[:w], c, of[w + 1:]]]
+            assert gain[w, c] == pytest.approx(class_lm.likelihood(other.T @ n @ other) - start)
