@@ -449,3 +449,18 @@ def test_gains_are_exact():
         for c in range(k):
             other = np.eye(k)[np.r_[of[:w], c, of[w + 1:]]]
             assert gain[w, c] == pytest.approx(class_lm.likelihood(other.T @ n @ other) - start)
+
+
+# Queries in blocks
+
+def test_a_search_task_holds_one_block_of_queries(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)))],
+                               "vec_id bigint, embedding array<double>")
+    assert graph_search.block_count(5_000_000) == 100
+    index = graph_search.build_index(df, shards=2)
+    whole = graph_search.search_index(index, df, 2)
+    cut = graph_search.search_index(index, df, 2, blocks=7)
+    assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard" in plan and "block" in plan.split("FlatMapCoGroups")[1]
