@@ -13,7 +13,8 @@ Beside the verdict every document gets plain measures of the whole text; a text
 ``MIN_WORDS`` words or with over ``MAX_REPEAT_PERCENT`` percent repeated words fails them.
 
 Defined results: a null text is one without words, so it fails; a text whose lines are all
-empty likewise; repeated rows and ids are judged each for itself; a null id stays null; long texts
+empty likewise; repeated rows and ids are judged each for itself, and of
+rows that share an id only one, with the least features, trains; a null id stays null; long texts
 are decoded whole; an empty table gives no rows. Without labelled rows of both kinds there is no model, and only
 the plain measures decide. A document with contradicting labels trains nothing. Columns of
 other names are never read, so clashing names cannot matter.
@@ -278,21 +279,25 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     ids = picked[0].unionByName(picked[1]).select("id", (F.col("label") == bad).alias("bad"))
     rows = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                         utf8(text_col).alias("text"))
-            .join(F.broadcast(ids), "id").select("bad", "text"))
+            .join(F.broadcast(ids), "id").select("id", "bad", "text"))
 
     def run(batches):
         import pyarrow as pa
 
-        for flags, texts in slices(batches):
-            out = [(flag, m.features) for flag, m in zip(flags, map(measure, texts), strict=True)
+        for keys, flags, texts in slices(batches):
+            out = [(key, flag, m.features)
+                   for key, flag, m in zip(keys, flags, map(measure, texts), strict=True)
                    if 0 < len(m.features) <= SAMPLE_LINES]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in out], pa.bool_()),
-                 pa.array([np.asarray(b, np.uint8).tobytes() for _, b in out], pa.binary())],
-                names=["bad", "features"])
-
-    got = sorted((int(r.bad), bytes(r.features))
-                 for r in bounded(rows).mapInArrow(run, "bad boolean, features binary").collect())
+                [pa.array([a for a, _, _ in out], pa.int64()),
+                 pa.array([a for _, a, _ in out], pa.bool_()),
+                 pa.array([np.asarray(b, np.uint8).tobytes() for _, _, b in out], pa.binary())],
+                names=["id", "bad", "features"])
+
+    # Of rows that share an id the least features count; tasks reduce them before the shuffle.
+    least = (bounded(rows).mapInArrow(run, "id bigint, bad boolean, features binary")
+             .groupBy("id", "bad").agg(F.min("features").alias("features")))
+    got = sorted((int(r.bad), bytes(r.features)) for r in least.collect())
     return [(bad_, np.frombuffer(f, np.uint8).reshape(-1, len(FEATURES)).astype(np.int64))
             for bad_, f in got]
 

@@ -18,7 +18,8 @@ Training (``train``), on a bounded sample of labelled documents:
 
 Only the text is an input of a score. Defined results: a null text is an empty one; a text
 without windows scores the prior; without labelled documents of both kinds every score is 0; documents
-with contradicting labels train nothing; repeated rows and ids are scored each for itself;
+with contradicting labels train nothing; repeated rows and ids are scored each for itself,
+and of rows that share an id the least text trains;
 long texts are scored whole, window by window; an empty table gives no rows. Columns of
 other names are never read, so clashing names cannot matter.
 """
@@ -170,7 +171,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     rows = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                         utf8(text_col).alias("text"))
             .where(F.length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "id")
-            .select("place", "id", "label", "text").collect())
+            # Of rows that share an id the least text counts; tasks reduce them before the shuffle.
+            .groupBy("place", "id", "label").agg(F.min("text").alias("text")).collect())
     return [(r.label, bytes(r.text)) for r in sorted(rows, key=lambda r: r[:3])], share
 
 

@@ -464,3 +464,22 @@ def test_a_search_task_holds_one_block_of_queries(spark):
     assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(shard" in plan and "block" in plan.split("FlatMapCoGroups")[1]
+
+
+# Samples of repeated ids
+
+def test_samples_are_bounded_in_rows_not_only_in_ids(spark):
+    docs = spark.createDataFrame(
+        [(i, f"{prose(i, 10)}.\n{prose(i + 50, 10)}.", "", 0, "") for i in range(8)]
+        + [(k, f"{prose(k, 10)}.\n{prose(900 + i, 10)}.", "", 0, "") for k in (0, 1)
+           for i in range(300)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(8)],
+                                   "doc_id bigint, quality int, toxic int")
+    got, share = toxicity._sample(docs, labels, "doc_id", "text", "toxic", None, 50)
+    assert len(got) == 8 and share == 0.5
+    least = min(bytes(r["text"], "utf8") for r in docs.where("doc_id = 0").collect())
+    assert (0, least) in got
+    lines = quality_lines._sample(docs, labels, "doc_id", "text", "quality", 0, 50)
+    assert len(lines) == 8
+    again = quality_lines._sample(docs.repartition(7), labels, "doc_id", "text", "quality", 0, 50)
+    assert all((a[1] == b[1]).all() and a[0] == b[0] for a, b in zip(lines, again, strict=True))
