@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace as changed
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import Contract, Table
+from ..contracts import Column, Contract, Table
 from ..functions.columns import col, known
 from ..operators.clean import clean, conform, select_renamed
 from ..operators.dedupe import distinct_rows, keep_best
 from ..operators.filters import all_of
 from ..session import run_together
 from ..sinks.parquet import write_parquet
+from ..sources.delimited import RECORD, SOURCE
 from ..sources.parquet import read_parquet
 
 
@@ -58,6 +60,29 @@ def load_audit(source: DataFrame, contract: Contract) -> DataFrame:
         F.count_if("complete").alias("n_kept"))
 
 
+def load_audit_by_source(rows: DataFrame, contract: Contract) -> DataFrame:
+    """``load_audit`` of rows from ``read_with_records``, one row a file: ``source``, ``n_read``,
+    ``n_malformed``, ``n_incomplete``, ``n_duplicate``, ``n_kept``.
+
+    Every row read is incomplete, duplicate or kept; the malformed ones are counted besides,
+    whichever they are. A key in several files is kept where its best row stands.
+    """
+    with_source = changed(contract, headers={**contract.headers, SOURCE: SOURCE},
+                          columns=(*contract.columns, Column(SOURCE, "string")))
+    read = rows.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_read"),
+                                    F.count(RECORD).alias("n_malformed"))
+    whole = clean(rows, with_source)
+    complete = whole.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_complete"))
+    kept = (keep_best(whole, contract.key, contract.highest, contract.tie_break)
+            .groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_kept")))
+    zero = F.lit(0).cast("bigint")
+    n_complete, n_kept = F.coalesce("n_complete", zero), F.coalesce("n_kept", zero)
+    return (read.join(complete, SOURCE, "left").join(kept, SOURCE, "left")
+            .select(F.col(SOURCE).alias("source"), "n_read", "n_malformed",
+                    (F.col("n_read") - n_complete).alias("n_incomplete"),
+                    (n_complete - n_kept).alias("n_duplicate"), n_kept.alias("n_kept")))
+
+
 def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
                  root: str, replace: bool = False) -> dict[str, int]:
     """Write all stages under ``root``; rows written per stage, in order.

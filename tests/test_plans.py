@@ -204,3 +204,23 @@ def test_rows_pages_and_the_top_row_hold_every_column(board):
     views = board.views()
     assert views["rows"].columns == board.table.columns == board.rows_page(2).columns
     assert views["top_entity"].columns == [*board.table.columns, "value_label"]
+
+
+def test_audit_counts_malformed_rows_by_file_and_keeps_them(spark, tmp_path, capsys):
+    from tallyroom.jobs import transform
+
+    head, *body = CSV.splitlines()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join([head, *body]) + "\n")
+    short, long = "8,Gi,Gi G,25,Spain,65", "9,Hy,Hy G,25,Spain,65,70,Blues,9,5,ST,Right,lost"
+    again = "10,Bo,Bo C,30,France,61,60,Reds,2000,,ST,Right"
+    (tmp_path / "in" / "b.csv").write_text("\n".join([head, short, long, again]) + "\n")
+    out = str(tmp_path / "out")
+    transform.main(["--input", str(tmp_path / "in"), "--output", out])
+    assert "malformed: 2 rows" in capsys.readouterr().out
+    names = F.substring_index("source", "/", -1)
+    audit = spark.read.parquet(out + "/audit/load").withColumn("source", names)
+    # Bo C's best row stands in b.csv.
+    assert rows_of(audit) == [("a.csv", 7, 0, 3, 2, 2), ("b.csv", 3, 2, 1, 0, 2)]
+    lost = spark.read.parquet(out + "/audit/malformed").withColumn("source", names)
+    assert rows_of(lost) == [("b.csv", short), ("b.csv", long)]
