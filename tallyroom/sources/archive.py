@@ -22,6 +22,8 @@ from ..errors import ContractError
 _MEMBERS = "archive string, member string, bytes bigint, safe boolean"
 _LINES = "archive string, member string, line_no bigint, line string"
 _MANIFEST = "archive string, member string, target string, bytes bigint"
+#: What became of a member, as the manifest says.
+WRITTEN, UNSAFE = "written", "unsafe"
 
 
 def archive_members(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -56,22 +58,39 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
     many archives with equal member names need; two members for one target are an
     error before anything is written. A member appears under its name only once
     it is complete, so a task that runs again replaces it whole.
+
+    The stored manifest (``read_manifest``) also lists the members left out as unsafe, by
+    ``status``.
     """
     name = F.concat(F.regexp_extract("archive", r"([^/]+?)(\.[^./]*)?$", 1), F.lit("/"))
     target = F.concat(F.lit(out_dir.rstrip("/") + "/"),
                       name if folder_per_archive else F.lit(""), F.col("member"))
     # The list is stored, so every archive is opened once for it.
     listed = f"{out_dir.rstrip('/')}/_members"
-    (archive_members(spark, path).where("safe").withColumn("target", target)
+    (archive_members(spark, path).withColumn("target", target)
      .write.mode("overwrite").parquet(listed))
-    members = spark.read.parquet(listed)
+    found = spark.read.parquet(listed)
+    members = found.where("safe")
     clash = members.groupBy("target").count().where("count > 1").take(3)
     if clash:
         raise ContractError("several members for " + ", ".join(r["target"] for r in clash))
-    manifest = f"{out_dir.rstrip('/')}/_manifest"
-    (dealt(members, parallelism).select("archive", "member", "target")
-     .mapInArrow(_write_members(), _MANIFEST).write.mode("overwrite").parquet(manifest))
-    return spark.read.parquet(manifest)
+    done = (dealt(members, parallelism).select("archive", "member", "target")
+            .mapInArrow(_write_members(), _MANIFEST).withColumn("status", F.lit(WRITTEN)))
+    left = found.where("not safe").select(
+        "archive", "member", F.lit(None).cast("string").alias("target"), "bytes",
+        F.lit(UNSAFE).alias("status"))
+    done.unionByName(left).write.mode("overwrite").parquet(_manifest(out_dir))
+    return read_manifest(spark, out_dir).where(F.col("status") == WRITTEN).drop("status")
+
+
+def _manifest(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}/_manifest"
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> DataFrame:
+    """One row per member that ``extract_archives`` found: ``archive``, ``member``, ``target``,
+    ``bytes``, ``status``; an unsafe member has no target."""
+    return spark.read.parquet(_manifest(out_dir))
 
 
 def dealt(members: DataFrame, parallelism: int | None = None) -> DataFrame:

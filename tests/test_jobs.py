@@ -116,3 +116,21 @@ def test_a_job_runs_as_a_program_and_from_a_zip(tmp_path):
     assert done.returncode == 0, done.stderr[-2000:]
     assert "club_metadata: 2 rows" in done.stdout
     assert (tmp_path / "out" / "stage2" / "master_player_table" / "_SUCCESS").exists()
+
+
+def test_extract_fails_on_unsafe_members_unless_told_to_skip_them(spark, tmp_path, capsys):
+    from tallyroom.errors import ContractError
+    from tallyroom.sources.archive import read_manifest
+
+    with zipfile.ZipFile(tmp_path / "in.zip", "w") as archive:
+        archive.writestr("a.csv", "h\n1\n")
+        archive.writestr("../b.csv", "h\n2\n")
+    arguments = ["--input", str(tmp_path / "in.zip"), "--output", str(tmp_path / "out")]
+    with pytest.raises(ContractError, match="1 members"):
+        extract.main(arguments)
+    assert "unsafe name: ../b.csv" in capsys.readouterr().out
+    said = {r["member"]: (r["status"], r["target"] is None)
+            for r in read_manifest(spark, str(tmp_path / "out")).collect()}
+    assert said == {"a.csv": ("written", False), "../b.csv": ("unsafe", True)}
+    extract.main([*arguments, "--skip-unsafe"])
+    assert (tmp_path / "out" / "a.csv").exists() and not (tmp_path / "b.csv").exists()
