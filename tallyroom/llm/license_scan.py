@@ -52,7 +52,9 @@ TEMPLATES = {
     "apache-2": [
         "licensed under the apache license version 2 [[0]] [[the license]]",
         "you may not use this {{object:2}} except in compliance with the license "
-        "you may obtain a copy of the license at http[[s]] www apache org licenses license 2 0",
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
+        "you may not use this {{object:2}} except in compliance with the license "
+        "you may obtain a copy of the license at https www apache org licenses license 2 0",
     ],
     "gpl": [
         "licensed under the gnu [[lesser]] general public license [[as published by the free "

@@ -483,3 +483,14 @@ def test_samples_are_bounded_in_rows_not_only_in_ids(spark):
     assert len(lines) == 8
     again = quality_lines._sample(docs.repartition(7), labels, "doc_id", "text", "quality", 0, 50)
     assert all((a[1] == b[1]).all() and a[0] == b[0] for a, b in zip(lines, again, strict=True))
+
+
+# The address of the Apache licence
+
+def test_the_apache_notice_is_found_with_either_address(spark):
+    text = ("You may not use this file except in compliance with the License. You may obtain "
+            "a copy of the License at {}://www.apache.org/licenses/LICENSE-2.0")
+    rows = [(i, text.format(x), "", 0, "") for i, x in enumerate(("http", "https"))]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()
+    assert [[p["label"] for p in r["template_places"]] for r in got] == [["apache-2"]] * 2
+    assert [r["score"] for r in got] == [1.0, 1.0]
