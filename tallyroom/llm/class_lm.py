@@ -41,7 +41,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, slices, utf8, written
+from .common import bounded, forgotten, shuffles_dropped, slices, utf8, written
 
 CORE_WORDS = 1024
 ENDINGS = 256
@@ -55,6 +55,8 @@ COUNTER_WORDS = 1 << 19
 PAIR_TOKENS = 1 << 21
 #: Words that the driver moves one after the other when few want to move.
 MOVERS = 1024
+#: Up to so many words their classes are broadcast in a round; beyond, they are joined by a shuffle.
+SHARED_CLASSES = 1 << 21
 
 
 @dataclass
@@ -296,10 +298,12 @@ def likelihood(grid: np.ndarray) -> float:
     return float(_xlogx(grid).sum() - 2 * _xlogx(grid.sum(1)).sum())
 
 
-def _contexts(links: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+def _contexts(links: DataFrame, classes: DataFrame, k: int, small: bool) -> DataFrame:
     """(unit, cls, own, near): the classes beside each word, numbered as in ``gains``."""
     after = classes.select(F.col("unit").alias("b"), F.col("cls").alias("cb"))
     before = classes.select(F.col("unit").alias("a"), F.col("cls").alias("ca"))
+    if small:
+        after, before = F.broadcast(after), F.broadcast(before)
     own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
     sides = F.array(F.struct(F.col("a").alias("unit"), F.col("cb").alias("at"), "n",
                              own.alias("own")),
@@ -392,8 +396,10 @@ def _settle(links: DataFrame, contexts: DataFrame, wishes: DataFrame, grid: np.n
 def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     """Move all words of ``classes`` (unit, cls) until none moves; the classes and their grid."""
     best, moves, parts, turn, exact = -np.inf, 0, 1, 0, False
+    kept = wishes = None
+    small = classes.count() <= SHARED_CLASSES
     while True:
-        contexts = written(_contexts(links, classes, k), "lm-contexts")
+        contexts = written(_contexts(links, classes, k, small), "lm-contexts")
         grid = np.zeros((k, k))
         for r in (contexts.select("cls", F.inline("near")).where(F.col("at") < k)
                   .groupBy("cls", "at").agg(F.sum("n").alias("n")).collect()):
@@ -401,6 +407,9 @@ def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFram
         reached = likelihood(grid)
         if exact or reached > best:
             best, parts = reached, max(1, parts // 2)
+            if kept:
+                forgotten(kept[0])
+                forgotten(wishes)
             kept = contexts, grid, 1e-6 + 1e-12 * abs(reached)
             wishes = written(_wishes(*kept), "lm-wishes")
             moves = wishes.where("want <> cls").count()
@@ -408,6 +417,7 @@ def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFram
                 return classes, grid
         else:
             parts *= 2
+            forgotten(contexts)
         turn += 1
         exact = moves <= MOVERS * parts
         if exact:
@@ -418,6 +428,7 @@ def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFram
             goes = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(parts)) == 0
             next_ = wishes.select("unit", F.when(goes, F.col("want")).otherwise(F.col("cls"))
                                   .alias("cls"))
+        forgotten(classes)
         classes = written(next_, "lm-classes")
 
 
@@ -441,7 +452,10 @@ def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
              .select("unit", F.element_at(F.lit(of.astype(np.int32)), start + 1).alias("cls"))
              .groupBy("unit").agg(F.min("cls").alias("cls")))
     links = written(count_links(docs, text_col, learns), "lm-links")
-    found, grid = exchange_all(links, written(first, "lm-classes"), k)
+    first = written(first, "lm-classes")
+    with shuffles_dropped(spark):
+        found, grid = exchange_all(links, first, k)
+    forgotten(links)
     steps = np.log10((grid + smoothing) / (grid.sum(1, keepdims=True) + smoothing * k))
     counts = written(counts.join(found, "unit").select("word", "n", "cls"), "words")
     class_tokens, class_words = np.zeros(k), np.zeros(k)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,28 @@ def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forgotten(df: DataFrame) -> None:
+    """Delete the folder of a frame from ``written`` that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a query when it ends: for rounds of queries whose
+    results are all written, so that disk does not grow with the rounds."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Bytes of one Arrow batch between the JVM and a Python worker.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
