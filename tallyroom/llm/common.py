@@ -41,13 +41,17 @@ def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def forgotten(df: DataFrame) -> None:
     """Delete the folder of a frame from ``written`` that nothing reads any more."""
     files = df.inputFiles()
     if files:
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
 @contextmanager

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import (bpe, class_lm, graph_search, license_scan, mixing, quality_lines, setsketch,
-               token_lengths, toxicity, warc)
+from . import (bpe, class_lm, graph_search, license_scan, line_runs, mixing, pair_search,
+               quality_lines, setsketch, token_lengths, toxicity, warc, whitening)
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,70 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc_id(), "n_words", F.size(base).cast("bigint").alias("n_base"),
         F.array_min(base["start"]).alias("first_word"), F.array_max(base["start"]).alias("last_word"),
         named(base["label"]).alias("base_labels"), named(both).alias("labels"), "score")
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_rows(table(spark, sf_dir, "embeddings"))
+
+
+_LINES_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS ls
+    FROM documents),
+lines AS (
+    SELECT doc_id, rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM lines),
+firsts AS (SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k),
+marked AS (
+    SELECT l.*, coalesce(f.first <> l.doc_id, false) AS gone FROM keyed l LEFT JOIN firsts f USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid, doc_id
+"""
+
+
+@query(_LINES_SQL)
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(doc_id(), "n_lines", "n_dropped",
+                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+_RANK_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+sized AS (SELECT *, len(ts)::BIGINT AS n FROM docs WHERE len(ts) > 0),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sized),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+held AS (
+    SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM sized) t
+    WHERE term IN (SELECT term FROM asked) GROUP BY rid, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT
+           AS w FROM held, whole GROUP BY term),
+gains AS (
+    SELECT rid, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))
+           AS gain FROM held JOIN sized USING (rid) JOIN weights USING (term), whole),
+scored AS (
+    SELECT item_id, rid, sum(gain)::BIGINT AS score FROM asked JOIN gains USING (term)
+    GROUP BY item_id, rid),
+ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER
+           AS rank, doc_id, score FROM scored JOIN docs USING (rid) WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query(_RANK_SQL)
+def op13_pair_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_search.rank_documents(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))

@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     names = {n.split("_")[0] for n in entry_point.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry_point.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry_point.queries()
 
 
 def test_the_pipeline_is_its_stages_one_by_one(spark, sf_dir):
