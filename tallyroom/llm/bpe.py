@@ -143,14 +143,15 @@ class WordEndBpe:
             self.words.clear()
         if len(self.pieces) >= CACHE_WORDS:
             self.pieces.clear()
-        out: tuple[int, ...] = ()
+        found: list[int] = []
         for piece in self.cut(word):
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self.merge(piece)
                 if len(piece) <= LONG_PIECE:
                     self.pieces[piece] = ids
-            out += ids
+            found += ids
+        out = tuple(found)
         if len(word) <= LONG_PIECE:
             self.words[word] = out
         return out

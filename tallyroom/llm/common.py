@@ -96,8 +96,33 @@ def remainder(column: str, divisor: int) -> Column:
 NAME_BITS = 1 << 22
 
 
-def perhaps_named(rows: DataFrame, key: str, named: DataFrame) -> DataFrame:
-    """``rows`` and a column ``__perhaps``, false only where the key is none of ``named``.
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no column that is spelt like it in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def text_bytes(column) -> Iterator[bytes]:
+    """The texts of an Arrow column as bytes, whether they are UTF-8 or not; null as empty."""
+    import pyarrow as pa
+
+    if pa.types.is_string(column.type):
+        column = column.cast(pa.binary())
+    elif pa.types.is_large_string(column.type):
+        column = column.cast(pa.large_binary())
+    for text in column:
+        value = text.as_py()
+        yield b"" if value is None else value if isinstance(value, bytes) else str(value).encode()
+
+
+def perhaps_named(rows: DataFrame, key: str, named: DataFrame, flag: str) -> DataFrame:
+    """``rows`` and a column ``flag``, false only where the key is none of ``named``.
 
     ``named`` has one column. Its hashes are set in a map of ``NAME_BITS`` bits, which is broadcast:
     the size is fixed, and with more names the answer is only less sharp. So a join of
@@ -107,17 +132,18 @@ def perhaps_named(rows: DataFrame, key: str, named: DataFrame) -> DataFrame:
         return F.pmod(F.xxhash64(column.cast("bigint")), F.lit(NAME_BITS))
 
     name = F.col(f"`{named.columns[0]}`")
-    marks = (named.select(bit(name).alias("bit"))
-             .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("__word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("__marks")))
+    place, of, word, marks = unused(rows, "__place", "__of", "__word", "__marks")
+    marked = (named.select(bit(name).alias("bit"))
+              .groupBy(F.floor(F.col("bit") / 64).cast("int").alias(word))
+              .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias(marks)))
     own = bit(F.col(f"`{key}`"))
-    word = F.floor(own / 64).cast("int")
-    here = F.expr("shiftright(__marks, __place) & 1L = 1")
+    here = F.expr(f"shiftright(`{marks}`, `{place}`) & 1L = 1")
     # At most NAME_BITS / 64 rows.
-    return (rows.withColumn("__place", (own % 64).cast("int")).withColumn("__of", word)
-            .join(F.broadcast(marks), F.col("__of") == F.col("__word"), "left")
-            .withColumn("__perhaps", F.coalesce(here, F.lit(False)))
-            .select(*[F.col(f"`{c}`") for c in rows.columns], "__perhaps"))
+    return (rows.withColumn(place, (own % 64).cast("int"))
+            .withColumn(of, F.floor(own / 64).cast("int"))
+            .join(F.broadcast(marked), F.col(of) == F.col(word), "left")
+            .select(*[F.col(f"`{c}`") for c in rows.columns],
+                    F.coalesce(here, F.lit(False)).alias(flag)))
 
 
 def slices(batches: Iterable, text: int = -1) -> Iterator[tuple[list, ...]]:

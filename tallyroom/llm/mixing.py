@@ -5,8 +5,8 @@ times a source's own size; ``mix`` gives every document floor(rate) copies and o
 a hash-seeded draw whose probability is the fraction of the rate.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in
-order; empty sources have target and rate 0; repeated rows of one id draw alike; a null id
-draws like the text "null"; an empty table gives no rows. Input columns of other names are
+order; empty sources have target and rate 0; rows of one id draw each by its text, so only rows
+equal in both draw alike; a null id draws like the text "null"; an empty table gives no rows. Input columns of other names are
 never looked at, so clashing names cannot matter.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, unused
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -68,16 +68,17 @@ def target_rates(sized: DataFrame, weights: Sequence[int] = WEIGHTS,
             .select("source", "source_size", "target", "rate"))
 
 
-def draw(id_col: str, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the id and the seed: 52 bits of an MD5."""
+def draw(id_col: str, text_col: str, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the id, the text and the seed: 52 bits of an MD5."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_col}`").cast("string"),
-                                                  F.lit("null")))
+                                                  F.lit("null")), F.lit(":"),
+                    F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
-def copies(rate: Column, id_col: str, seed: str = SEED) -> Column:
+def copies(rate: Column, id_col: str, text_col: str, seed: str = SEED) -> Column:
     """How often a document is emitted: floor(rate), and one more with its fraction."""
-    more = (draw(id_col, seed) < rate - F.floor(rate)).cast("int")
+    more = (draw(id_col, text_col, seed) < rate - F.floor(rate)).cast("int")
     return (F.floor(rate) + more).cast("int")
 
 
@@ -90,10 +91,13 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sized = docs.select(F.col(f"`{id_col}`").alias("id"),
                         F.col(f"`{source_col}`").alias("source"),
-                        n_words(f"`{text_col}`").alias("size"))
+                        n_words(f"`{text_col}`").alias("size"),
+                        draw(id_col, text_col, seed).alias("__draw"))
     rates = target_rates(sized).withColumnRenamed("source", "__source")
+    rate = F.col("rate")
+    more = (F.col("__draw") < rate - F.floor(rate)).cast("int")
     return (sized.join(rates, F.col("source").eqNullSafe(F.col("__source")))
-            .withColumn("copies", copies(F.col("rate"), "id", seed)).drop("__source"))
+            .withColumn("copies", (F.floor(rate) + more).cast("int")).drop("__source", "__draw"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -101,11 +105,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The mixed corpus: the rows of ``docs``, all columns, each as often as it is taken."""
     sized = docs.select(F.col(f"`{source_col}`").alias("source"),
                         n_words(f"`{text_col}`").alias("size"))
-    # Names of its own, so that no column of the input can clash.
-    rates = target_rates(sized).select(F.col("source").alias("__mix_source"),
-                                       F.col("rate").alias("__mix_rate"))
-    joined = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col("__mix_source")))
-    times = F.sequence(F.lit(1), F.col("__mix_copies"))
-    return (joined.withColumn("__mix_copies", copies(F.col("__mix_rate"), id_col, seed))
-            .where(F.col("__mix_copies") > 0).withColumn("__mix_copy", F.explode(times))
+    source, rate, times, copy = unused(docs, "__source", "__rate", "__times", "__copy")
+    rates = target_rates(sized).select(F.col("source").alias(source), F.col("rate").alias(rate))
+    joined = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col(source)))
+    return (joined.withColumn(times, copies(F.col(rate), id_col, text_col, seed))
+            .where(F.col(times) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, slices, utf8
+from .common import bounded, slices, text_bytes, utf8
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -257,8 +257,8 @@ def keep_good(df: DataFrame, model: LineModel, text_col: str = "text",
 
         for batch in batches:
             keep = []
-            for text in batch.column(place):
-                m = measure((text.as_py() or "").encode())
+            for text in text_bytes(batch.column(place)):
+                m = measure(text)
                 keep.append(_passes(m, _decode(m, model), model, min_share))
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -75,7 +75,7 @@ def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MIX_SQL = r"""
 WITH RECURSIVE sized AS (
-    SELECT doc_id, source,
+    SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
     FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
@@ -100,7 +100,8 @@ targets AS (
 rated AS (SELECT *, CASE WHEN s > 0 THEN target / s ELSE 0.0 END AS rate FROM targets)
 SELECT d.doc_id, d.size, r.s AS source_size, r.target,
        (d.size * (floor(r.rate)::BIGINT + CASE WHEN
-           ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+           ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.digest),
+                           1, 13))::BIGINT
                / 4503599627370496.0 < r.rate - floor(r.rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM sized d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
 """

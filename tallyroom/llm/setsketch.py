@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, perhaps_named, slices, utf8, written
+from .common import bounded, perhaps_named, slices, unused, utf8, written
 from .links import components, merge
 
 REGISTERS = 200
@@ -240,7 +240,7 @@ def _named_texts(docs: DataFrame, id_col: str, text_col: str, named: DataFrame)
     """(node, text) of the named documents; few others reach the shuffle."""
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"),
                         utf8(text_col).alias("text"))
-    return (perhaps_named(texts, "node", named).where("__perhaps").drop("__perhaps")
+    return (perhaps_named(texts, "node", named, "__perhaps").where("__perhaps").drop("__perhaps")
             .join(named, "node"))
 
 
@@ -509,12 +509,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, of the document that stays from each group."""
+    """The rows of ``docs``, all columns, of the document that stays from each group.
+
+    Of rows that share both id and text any one stays; different texts of an id that
+    stays all stay, and so do rows without an id.
+    """
     found = near_duplicates(docs, id_col, text_col, width, percent)
-    gone = written(found.where("not kept").select(F.col("id").alias("__gone")).distinct(), "gone")
-    marked = perhaps_named(docs, id_col, gone)
+    flag, name, gone = unused(docs, "__perhaps", "__name", "__gone")
+    # The ids that lose rows: those of other documents, and those that stand on several rows.
+    named = written(found.where("id is not null").groupBy(F.col("id").alias(name))
+                    .agg((~F.bool_or("kept")).alias(gone), F.count(F.lit(1)).alias("n"))
+                    .where(F.col(gone) | (F.col("n") > 1)).select(name, gone), "gone")
+    marked = perhaps_named(docs, id_col, named, flag)
     # Most documents are certain to stay and are not shuffled.
-    stays = marked.where("not __perhaps").drop("__perhaps")
-    asked = marked.where("__perhaps").drop("__perhaps")
-    return stays.unionByName(
-        asked.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti"))
+    stays = marked.where(~F.col(flag)).drop(flag)
+    asked = (marked.where(F.col(flag)).drop(flag)
+             .join(named, F.col(f"`{id_col}`") == F.col(name), "left"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    once = asked.where(~F.col(gone)).select(*own).dropDuplicates([id_col, text_col])
+    return (stays.unionByName(asked.where(F.col(gone).isNull()).select(*own))
+            .unionByName(once))

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, slices, utf8
+from .common import bounded, slices, text_bytes, utf8
 
 WINDOW = 64
 ORDINARY_BYTES = 32 << 10
@@ -146,8 +146,8 @@ def drop_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text",
 
         gaps = Gaps(model)
         for batch in batches:
-            keep = [score_counts(gaps.counts((t.as_py() or "").encode()), model) < threshold
-                    for t in batch.column(place)]
+            keep = [score_counts(gaps.counts(t), model) < threshold
+                    for t in text_bytes(batch.column(place))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return bounded(df).mapInArrow(run, df.schema)
