@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, slices, utf8, written
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BLOCK_ITEMS = 2000
 TOP = 10
 
