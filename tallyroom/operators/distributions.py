@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,9 +54,48 @@ def options(df: DataFrame, column: str, everything: str = "All") -> DataFrame:
 _STEPS = (1, 2, 5, 10, 20, 50, 100, 200, 500)
 
 
-def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Bins:
+    """SQL texts of the binning of one column: of its value ``v``, its range ``lo``, ``hi`` and a
+    width ``w``."""
+
+    whole: bool
+    nbins: int
+
+    def value(self, column: str) -> Column:
+        """The binned value, null for null, NaN and infinite ones. Whole numbers are binned in exact
+        64-bit arithmetic, all others in doubles."""
+        c = col(column)
+        if self.whole:
+            return c.cast("bigint")
+        return F.when(F.abs(c) < F.lit(float("inf")), c).cast("double")
+
+    def width(self, lo: str, hi: str) -> str:
+        widths = (_whole_widths if self.whole else _float_widths)(self.nbins, lo, hi)
+        # As decimals: two 64-bit bins can be further apart than 64 bits.
+        fits = (f"w -> cast({self.bin(hi, 'w')} as decimal(20, 0)) - "
+                f"cast({self.bin(lo, 'w')} as decimal(20, 0)) < {self.nbins}")
+        return f"get(filter({widths}, {fits}), 0)"
+
+    def bin(self, v: str, w: str) -> str:
+        return (_whole_bin if self.whole else _float_bin)(v, w)
+
+    def start(self, b: str, w: str) -> str:
+        return (_whole_start if self.whole else _float_start)(b, w)
+
+
+def bins_of(df: DataFrame, column: str, nbins: int) -> Bins:
+    if nbins < 2:
+        raise ValueError("nbins must be at least 2")
+    return Bins(isinstance(df.schema[column].dataType, T.IntegralType), nbins)
+
+
+def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = False,
+              weight: str | None = None) -> DataFrame:
     """Counts per equal-width bin: ``bin``, ``bin_start``, ``n``, in bin order.
 
+    ``weight`` names a whole-number column that says how many rows a row stands for.
+
     The width is the smallest of 1, 2 or 5 times a power of ten that needs at most
     ``nbins`` bins aligned at zero, so edges are round numbers. Whole-number
     columns never take a width under 1. Null, NaN and infinite values are in no bin.
@@ -62,28 +103,19 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
     The range is a scalar subquery: one pruned scan for min and max, one for the
     counts; neither shuffles more than a row or ``nbins`` rows per task.
     """
-    if nbins < 2:
-        raise ValueError("nbins must be at least 2")
-    whole = isinstance(df.schema[column].dataType, T.IntegralType)
-    v = col(column)
-    finite = v.isNotNull() if whole else v.isNotNull() & (F.abs(v) < F.lit(float("inf")))
-    # Whole numbers are binned in exact 64-bit arithmetic, all others in doubles.
-    values = df.where(finite).select(v.cast("bigint" if whole else "double").alias("v"))
+    b = bins_of(df, column, nbins)
+    values = (df.where(col(column).isNotNull())
+              .select(b.value(column).alias("v"),
+                      (F.lit(1) if weight is None else col(weight)).cast("bigint").alias("__n"))
+              .where(F.col("v").isNotNull()))
     span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    if whole:
-        bin_of, start_of, widths = _whole_bin, _whole_start, _whole_widths(nbins)
-    else:
-        bin_of, start_of, widths = _float_bin, _float_start, _float_widths(nbins)
-    # As decimals: two 64-bit bins can be further apart than 64 bits.
-    fits = (f"w -> cast({bin_of('hi', 'w')} as decimal(20, 0)) - "
-            f"cast({bin_of('lo', 'w')} as decimal(20, 0)) < {nbins}")
-    width = span.select(F.expr(f"get(filter({widths}, {fits}), 0)")).scalar().alias("w")
-
-    counts = (values.select("v", width).select(F.expr(bin_of("v", "w")).alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
+    width = span.select(F.expr(b.width("lo", "hi"))).scalar().alias("w")
+    count = F.count(F.lit(1)) if weight is None else F.sum("__n")
+    counts = (values.select("v", "__n", width).select(F.expr(b.bin("v", "w")).alias("bin"), "__n")
+              .groupBy("bin").agg(count.alias("n")))
     if fill_empty:
         # At most nbins rows on either side of this join.
-        bins = f"explode(sequence({bin_of('lo', 'w')}, {bin_of('hi', 'w')}))"
+        bins = f"explode(sequence({b.bin('lo', 'w')}, {b.bin('hi', 'w')}))"
         spine = span.where("lo is not null").select("lo", "hi", width).select(
             F.expr(bins).alias("bin"))
         counts = spine.join(counts, "bin", "left").select(
@@ -91,17 +123,17 @@ def histogram(df: DataFrame, column: str, nbins: int = 25, fill_empty: bool = Fa
     # One row per bin: sorted in one task, without the sampling job of a
     # range-partitioned sort.
     return (counts.select("bin", "n", width)
-            .select("bin", F.expr(start_of("bin", "w")).alias("bin_start"), "n")
+            .select("bin", F.expr(b.start("bin", "w")).alias("bin_start"), "n")
             .repartition(1).sortWithinPartitions("bin"))
 
 
 # The formulas are SQL text: as nested Column calls they take longer to build than
 # a small table takes to scan.
 
-def _exponent(nbins: int) -> str:
+def _exponent(nbins: int, lo: str, hi: str) -> str:
     """Power of ten at or below range/nbins: no smaller width is enough, and one of
     the steps above it is. A single value counts as a range that needs width 1."""
-    span = "(cast(hi as double) - cast(lo as double))"
+    span = f"(cast({hi} as double) - cast({lo} as double))"
     return f"if({span} > 0, cast(floor(log10({span} / {nbins})) as int), 0)"
 
 
@@ -110,8 +142,8 @@ def _ten_to(e: str) -> str:
     return f"cast(concat('1e', {e}) as double)"
 
 
-def _whole_widths(nbins: int) -> str:
-    unit = f"cast({_ten_to(f'greatest({_exponent(nbins)}, 0)')} as decimal(20, 0))"
+def _whole_widths(nbins: int, lo: str, hi: str) -> str:
+    unit = f"cast({_ten_to(f'greatest({_exponent(nbins, lo, hi)}, 0)')} as decimal(20, 0))"
     steps = f"transform(array{_STEPS}, s -> cast({unit} * s as decimal(38, 0)))"
     fitting = f"filter({steps}, x -> x <= {2**63 - 1}BD)"
     return f"transform({fitting}, x -> cast(x as bigint))"
@@ -127,9 +159,9 @@ def _whole_start(b: str, w: str) -> str:
     return f"coalesce(try_multiply({b}, {w}), {-2**63 + 1}L - 1L)"
 
 
-def _float_widths(nbins: int) -> str:
+def _float_widths(nbins: int, lo: str, hi: str) -> str:
     """Widths as num/den with whole num and den: 0.05 has no exact double, 5/100 has."""
-    e = _exponent(nbins)
+    e = _exponent(nbins, lo, hi)
     unit = _ten_to(f"abs({e})")
     return (f"transform(array{_STEPS}, s -> named_struct("
             f"'num', if({e} >= 0, {unit} * s, cast(s as double)), "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, nan_as_null
@@ -24,6 +24,21 @@ def top_groups(df: DataFrame, key: str, value: str, n: int = 15,
     return means.orderBy(col(mean_name).desc_nulls_last(), k.asc()).limit(n)
 
 
+def sample_digest(keys: Sequence[str], seed: int) -> Column:
+    """The text whose order is the order of the sample."""
+    text = [F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]
+    joined = text[0] if len(text) == 1 else F.concat_ws("\x1f", *text)
+    return F.md5(F.concat(F.lit(f"{seed}:"), joined).cast("binary"))
+
+
+def sample_cut(digest: str, n: int) -> str:
+    """SQL text of an aggregate: a digest that at least ``n`` of the rows seen sort before, 'g',
+    which all do, if there are fewer. A digest with z leading zeros sorts before z zeros and a 'g'."""
+    return "least(" + ", ".join(
+        f"if(count_if({digest} < '{'0' * z}g') >= {n:d}, '{'0' * z}g', 'g')"
+        for z in range(1, _MAX_ZEROS + 1)) + ")"
+
+
 def sample_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                 n: int = 1500, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows without replacement, the same on every run.
@@ -38,16 +53,10 @@ def sample_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     ``n`` rows pass the cut for certain, a few hundred times ``n`` as a rule, and
     the result is exact for any data. Without such a run every row passes.
     """
-    text = [F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]
-    joined = text[0] if len(text) == 1 else F.concat_ws("\x1f", *text)
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), joined).cast("binary"))
-
-    # A digest with z leading zeros sorts before z zeros and a 'g'.
+    digest = sample_digest(keys, seed)
     some = (df.select(*[col(k) for k in keys]).sample(_LOOKED_AT, seed)
             .select(digest.alias("digest")))
-    enough = ", ".join(f"if(count_if(digest < '{'0' * z}g') >= {n:d}, '{'0' * z}g', 'g')"
-                       for z in range(1, _MAX_ZEROS + 1))
-    cut = some.agg(F.expr(f"least({enough})")).scalar()
+    cut = some.agg(F.expr(sample_cut("digest", n))).scalar()
 
     wanted = list(dict.fromkeys([*keys, *columns]))
     order = [F.col("__digest"), *[col(c).asc_nulls_last() for c in wanted]]
