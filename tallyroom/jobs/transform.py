@@ -5,10 +5,9 @@ from __future__ import annotations
 import argparse
 
 from tallyroom.contracts import PLAYERS
-from tallyroom.plans.stages import build_stages, load_audit_by_source
+from tallyroom.plans.stages import MALFORMED, build_audited_stages
 from tallyroom.session import get_session, input_bytes, run_job, size_tasks
-from tallyroom.sinks.parquet import write_parquet
-from tallyroom.sources.delimited import malformed_rows, read_delimited, read_with_records
+from tallyroom.sources.delimited import read_with_records
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -22,16 +21,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-transform")
     size_tasks(spark, input_bytes(spark, args.input))
-    source = read_delimited(spark, args.input, multi_line=args.multi_line)
-    for stage, rows in build_stages(spark, source, PLAYERS, args.output,
-                                    args.replace).items():
-        print(f"{stage}: {rows} rows")
     records = read_with_records(spark, args.input, args.multi_line)
-    write_parquet(load_audit_by_source(records, PLAYERS), f"{args.output}/audit/load",
-                  replace=args.replace)
-    malformed = write_parquet(malformed_rows(records), f"{args.output}/audit/malformed",
-                              replace=args.replace)
-    print(f"malformed: {malformed} rows, kept whole in {args.output}/audit/malformed")
+    counts = build_audited_stages(records, PLAYERS, args.output, args.replace)
+    malformed = counts.pop("malformed")
+    for stage, rows in counts.items():
+        print(f"{stage}: {rows} rows")
+    print(f"malformed: {malformed} rows, kept whole in {args.output}/{MALFORMED}")
 
 
 if __name__ == "__main__":

@@ -38,14 +38,15 @@ def conform(df: DataFrame, columns: Iterable[Column]) -> DataFrame:
     """Project to declared columns and types; a value that cannot be read is null."""
     columns = list(columns)
     require_columns(df, [c.name for c in columns])
-    return df.select(*[_to_type(df, c).alias(c.name) for c in columns])
+    return df.select(*[typed(df, c).alias(c.name) for c in columns])
 
 
 # The words a cast to a floating type accepts, in any case.
 _NUMBER_WORDS = ("nan", "inf", "infinity")
 
 
-def _to_type(df: DataFrame, target: Column) -> SparkColumn:
+def typed(df: DataFrame, target: Column) -> SparkColumn:
+    """A column in its declared type; null where the value cannot be read as such."""
     c = col(target.name)
     source, kind = df.schema[target.name].dataType, target.spark_type
     if source == kind:

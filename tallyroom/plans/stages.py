@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import replace as changed
 from functools import partial
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Column, Contract, Table
-from ..functions.columns import col, known
+from ..functions.columns import col, known, nans_to_nulls
 from ..operators.clean import clean, conform, select_renamed
 from ..operators.dedupe import distinct_rows, keep_best
 from ..operators.filters import all_of
@@ -60,27 +60,66 @@ def load_audit(source: DataFrame, contract: Contract) -> DataFrame:
         F.count_if("complete").alias("n_kept"))
 
 
-def load_audit_by_source(rows: DataFrame, contract: Contract) -> DataFrame:
-    """``load_audit`` of rows from ``read_with_records``, one row a file: ``source``, ``n_read``,
-    ``n_malformed``, ``n_incomplete``, ``n_duplicate``, ``n_kept``.
+#: Folders of the load's own records under the root of the stages.
+PARSED, AUDIT, MALFORMED = "audit/parsed", "audit/load", "audit/malformed"
+_COMPLETE = "__complete"
+
+
+def parse_once(records: DataFrame, contract: Contract, path: str, replace: bool = False) -> DataFrame:
+    """Store what one parse of ``read_with_records`` says of every row: the typed columns of the contract,
+    the file, the record of a malformed row and whether the row is complete."""
+    named = select_renamed(records, {**contract.headers, SOURCE: SOURCE, RECORD: RECORD})
+    columns = (*contract.columns, Column(SOURCE, "string"), Column(RECORD, "string"))
+    rows = conform(named, columns)
+    complete = all_of([known(rows, name) for name in contract.required])
+    write_parquet(rows.withColumn(_COMPLETE, complete), path, replace=replace)
+    return read_parquet(records.sparkSession, path, rows.withColumn(_COMPLETE, complete).schema)
+
+
+def audit_by_source(parsed: DataFrame, kept: DataFrame) -> DataFrame:
+    """What became of the rows of ``parse_once``, one row a file: ``source``, ``n_read``, ``n_malformed``,
+    ``n_incomplete``, ``n_duplicate``, ``n_kept``; ``kept``: the first stage with its ``SOURCE``.
 
     Every row read is incomplete, duplicate or kept; the malformed ones are counted besides,
-    whichever they are. A key in several files is kept where its best row stands.
+    whichever they are. A key in several files is kept where its best row stands. One aggregate
+    over both: nothing is parsed or reduced to its keys again.
+    """
+    def part(rows: DataFrame, **counts: SparkColumn) -> DataFrame:
+        return rows.select(F.col(SOURCE).alias("source"),
+                           *[counts.get(c, F.lit(0)).cast("bigint").alias(c) for c in
+                             ("read", "malformed", "complete", "kept")])
+
+    both = part(parsed, read=F.lit(1), malformed=F.col(RECORD).isNotNull(),
+                complete=F.col(_COMPLETE)).unionByName(part(kept, kept=F.lit(1)))
+    n = {c: F.sum(c) for c in ("read", "malformed", "complete", "kept")}
+    return both.groupBy("source").agg(
+        n["read"].alias("n_read"), n["malformed"].alias("n_malformed"),
+        (n["read"] - n["complete"]).alias("n_incomplete"),
+        (n["complete"] - n["kept"]).alias("n_duplicate"), n["kept"].alias("n_kept"))
+
+
+def build_audited_stages(records: DataFrame, contract: Contract, root: str,
+                         replace: bool = False) -> dict[str, int]:
+    """``build_stages`` of the rows of ``read_with_records``, which are parsed once, with an audit.
+
+    Beside the stages stand ``AUDIT`` (see ``audit_by_source``) and ``MALFORMED`` (source, record).
+    The files of the first stage hold each row's ``SOURCE`` as a further column.
     """
-    with_source = changed(contract, headers={**contract.headers, SOURCE: SOURCE},
-                          columns=(*contract.columns, Column(SOURCE, "string")))
-    read = rows.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_read"),
-                                    F.count(RECORD).alias("n_malformed"))
-    whole = clean(rows, with_source)
-    complete = whole.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_complete"))
-    kept = (keep_best(whole, contract.key, contract.highest, contract.tie_break)
-            .groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n_kept")))
-    zero = F.lit(0).cast("bigint")
-    n_complete, n_kept = F.coalesce("n_complete", zero), F.coalesce("n_kept", zero)
-    return (read.join(complete, SOURCE, "left").join(kept, SOURCE, "left")
-            .select(F.col(SOURCE).alias("source"), "n_read", "n_malformed",
-                    (F.col("n_read") - n_complete).alias("n_incomplete"),
-                    (n_complete - n_kept).alias("n_duplicate"), n_kept.alias("n_kept")))
+    spark, root = records.sparkSession, root.rstrip("/")
+    parsed = parse_once(records, contract, f"{root}/{PARSED}", replace)
+    whole = nans_to_nulls(parsed.where(F.col(_COMPLETE)).drop(RECORD, _COMPLETE))
+    first = contract.cleaned
+    folder = folder_of(root, first)
+    unique = write_parquet(keep_best(whole, contract.key, contract.highest, contract.tie_break),
+                           folder, replace=replace)
+    kept = read_parquet(spark, folder).select(SOURCE)
+    malformed = (parsed.where(F.col(RECORD).isNotNull())
+                 .select(F.col(SOURCE).alias("source"), F.col(RECORD).alias("record")))
+    counts = {first.name: unique, **_served_stages(spark, contract, root, replace)}
+    counts["malformed"] = run_together(spark, [
+        partial(write_parquet, malformed, f"{root}/{MALFORMED}", replace=replace),
+        partial(write_parquet, audit_by_source(parsed, kept), f"{root}/{AUDIT}", replace=replace)])[0]
+    return counts
 
 
 def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
@@ -95,6 +134,13 @@ def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
     first = contract.cleaned
     unique = write_parquet(cleaned_rows(source, contract), folder_of(root, first),
                            replace=replace)
+    return {first.name: unique, **_served_stages(spark, contract, root, replace)}
+
+
+def _served_stages(spark: SparkSession, contract: Contract, root: str,
+                   replace: bool) -> dict[str, int]:
+    """Write the served tables out of the stored first stage, at the same time."""
+    first = contract.cleaned
     cleaned = read_parquet(spark, folder_of(root, first), first.schema)
 
     def write(table: Table) -> int:
@@ -104,5 +150,4 @@ def build_stages(spark: SparkSession, source: DataFrame, contract: Contract,
         return write_parquet(rows, folder_of(root, table), replace=replace)
 
     written = run_together(spark, [partial(write, t) for t in contract.tables])
-    names = [first.name, *(t.name for t in contract.tables)]
-    return dict(zip(names, [unique, *written], strict=True))
+    return dict(zip([t.name for t in contract.tables], written, strict=True))
