@@ -6,23 +6,33 @@ words of the lower-cased text (A-Z only) and one end, which is also what comes b
 first word.
 
 Exchange clustering moves one word at a time to the class that raises the likelihood of the
-class bigram most, until nothing moves. It starts from a rough clustering on the driver, of a fixed
-size: the ``CORE_WORDS`` most frequent words, each for itself, and ``ENDINGS`` groups of all others
-by their last two bytes. From there every word of the corpus moves for itself, in Spark:
-a round counts for each word the classes before and after it, broadcasts the class grid
-and asks every word for its best class. Many words move in a round; if together they
-do not raise the likelihood, the round is undone and fewer of them move. At most ``MOVERS`` words
-that want to move do so one after the other on the driver, where each gain is exact; so every
-round that stays raises the likelihood, and the rounds end. The end is a word here. Words that training did not see have the class of
-their ending.
+class bigram most. Every word of the corpus is clustered for itself:
+
+* The start, on the driver: the ``CORE_WORDS`` most frequent words, each for itself, and ``ENDINGS`` groups
+  of all others by their last two bytes, moved one by one until none moves.
+* The known words, the ``FREQUENT_WORDS`` most frequent ones, move in rounds. The pairs of words
+  are counted and merged once, dealt by word, and stay in storage; a round reads them with the classes as
+  they are, which are one small array. The core and the groups move on the driver, the other known words in
+  tasks: each moves its words block after block against its own copy of the class grid. The exact grid
+  is counted anew between rounds. The rounds end with the first that adds less than
+  ``LEAST_SHARE`` of all the likelihood gained so far, or loses; a round that loses is not kept. The
+  rule does not depend on the size of anything.
+* Every other word then leaves the group of its ending for its best class, given the words around
+  it. Known words do not move again after that.
+
+The grid of the model is exact: pairs of known words, of known and rare, and of rare words are
+counted with the classes they ended in. Words that training did not see have the class of their
+ending.
 
 What is learned covers the whole training part: exact counts of every word (one shuffle of
-words, counted in map tasks first), of every pair of words that follow each other, class sizes.
-Pairs name words by 64-bit hashes; words of equal hash would move together. Only sizes fixed by
-parameters go through the driver or a broadcast: the start, the grid, the counts of
-``MOVERS`` words, and the ``FREQUENT_WORDS`` most frequent words, which the scoring tasks look up in place. All other words
-of a text meet their count and class in joins by word; none of them can be a hot key, as the hot
-ones are in the broadcast.
+words, counted in map tasks first), of what stands beside every word, class sizes. Pairs travel as
+packed arrays, a row per task, kind and part, merged in the map tasks first. The pairs of the most
+frequent words are dealt by the words beside them, so no part belongs to a hot word alone.
+Rare words are named by 64-bit hashes; words of equal hash would move together. Only sizes fixed by
+parameters go through the driver or a broadcast: the start, the grid, the classes of the
+known words and these themselves, at most ``KNOWN_BYTES`` each, which the scoring tasks look up in place.
+All other words of a text meet their count and class in joins by word; they are no hot keys, but for
+words longer than that, whose rows adaptive execution splits.
 
 Defined results: a null text is an empty one, its only token is the end; a null id learns and is
 not held out; rows that share an id are scored each for itself; texts of any length are
@@ -41,7 +51,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, forgotten, shuffles_dropped, slices, utf8, written
+from ..session import scratch_dir
+from .common import bounded, forgotten, removed, shuffles_dropped, slices, utf8, written
 
 CORE_WORDS = 1024
 ENDINGS = 256
@@ -53,17 +64,24 @@ SMOOTHING = 0.1
 COUNTER_WORDS = 1 << 19
 #: Tokens whose pairs a task counts together before it passes them on.
 PAIR_TOKENS = 1 << 21
-#: Words that the driver moves one after the other when few want to move.
-MOVERS = 1024
-#: Up to so many words their classes are broadcast in a round; beyond, they are joined by a shuffle.
-SHARED_CLASSES = 1 << 21
+#: Longest word that is one of the known ones.
+KNOWN_BYTES = 64
+#: Rounds end when one adds less than this share of the likelihood gained so far.
+LEAST_SHARE = 0.01
+#: Words that choose by the same grid before it follows their moves: known and rare ones.
+BLOCK = 64
+RARE_BLOCK = 1024
+#: Rare words whose neighbours a task spreads out at a time.
+RARE_WORDS = 1 << 15
+#: Counted pairs a task holds before it merges them.
+MERGE_ENTRIES = 1 << 23
 
 
 @dataclass
 class ClassModel:
-    """Everything of fixed size; (word, n, cls) of all words are the frame ``counts``."""
+    """Everything of fixed size; (word, n, cls) of the words that are not known are the frame ``rare``."""
 
-    counts: DataFrame
+    rare: DataFrame
     tokens: int
     distinct: int
     frequent: list[bytes]
@@ -79,6 +97,16 @@ class ClassModel:
     class_words: np.ndarray
     smoothing: float = SMOOTHING
 
+    @property
+    def counts(self) -> DataFrame:
+        """(word, n, cls) of all words; the null word is the end."""
+        import pyarrow as pa
+
+        known = pa.table({"word": pa.array([*self.frequent, None], pa.binary()),
+                          "n": pa.array([*self.frequent_counts.tolist(), self.end_count], pa.int64()),
+                          "cls": pa.array([*self.frequent_classes.tolist(), self.end_class], pa.int32())})
+        return self.rare.unionByName(self.rare.sparkSession.createDataFrame(known))
+
 
 def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
@@ -125,64 +153,21 @@ def count_words(docs: DataFrame, text_col: str, learns: Column | None) -> DataFr
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-class Units(dict):
-    """Core words to their number; any other word to that of its ending."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.core = len(words)
-
-    def __missing__(self, word: bytes) -> int:
-        return self.core + ending(word)
-
-
-def count_pairs(docs: DataFrame, text_col: str, learns: Column | None,
-                core: list[bytes]) -> np.ndarray:
-    """How often each unit follows each, as a matrix; the last unit is the end."""
-    n = len(core) + ENDINGS + 1
-
-    def run(batches):
-        import pyarrow as pa
-
-        units = Units(core)
-        pairs = np.zeros(n * n, np.int64)
-        for (texts,) in slices(batches):
-            parts = [[n - 1]]
-            for text in texts:
-                parts.append(list(map(units.__getitem__, text.lower().split())))
-                parts.append([n - 1])
-            line = np.concatenate([np.array(p, np.int64) for p in parts])
-            found, times = np.unique(line[:-1] * n + line[1:], return_counts=True)
-            pairs[found] += times
-        at = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(pairs[at])], names=["pair", "n"])
-
-    rows = (bounded(_texts(docs, text_col, learns)).mapInArrow(run, "pair int, n bigint")
-            .groupBy("pair").agg(F.sum("n").alias("n"))).toArrow()
-    matrix = np.zeros(n * n)
-    matrix[rows["pair"].to_numpy()] = rows["n"].to_numpy()
-    return matrix.reshape(n, n)
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
-    """A class for every unit. Units start dealt out by frequency and move, most frequent
-    first, to the class with the largest likelihood; of equal ones to the first."""
-    n = len(pairs)
-    classes = min(classes, n)
-    size = pairs.sum(0)
+def likelihood(grid: np.ndarray) -> float:
+    return float(_xlogx(grid).sum() - 2 * _xlogx(grid.sum(1)).sum())
+
+
+def _move_until_none(pairs: np.ndarray, right: np.ndarray, left: np.ndarray, of: np.ndarray,
+                     grid: np.ndarray) -> None:
+    """Move units one by one, most frequent first, to the class with the largest likelihood, until
+    none moves; of equal classes the first. ``right`` and ``left`` count the classes after and before each
+    unit, ``pairs`` the units among themselves. ``of``, ``grid`` and the counts change in place."""
+    size, total = right.sum(1), grid.sum(1)
     order = np.argsort(-size, kind="stable")
-    of = np.empty(n, np.int64)
-    of[order] = np.arange(n) % classes
-    member = np.zeros((n, classes))
-    member[np.arange(n), of] = 1
-    right, left = pairs @ member, pairs.T @ member
-    grid = member.T @ right
-    total = size @ member
     moved = 1
     while moved:
         moved = 0
@@ -218,45 +203,19 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
                 right[:, j] += pairs[:, w]
                 left[:, k] -= pairs[w]
                 left[:, j] += pairs[w]
-    return of
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    """The number of each word; the end is the empty word."""
-    from pandas.util import hash_array
-
-    if not words:
-        return np.zeros(0, np.int64)
-    return hash_array(np.array(words, object), categorize=False).view(np.int64)
-
-
-def count_links(docs: DataFrame, text_col: str, learns: Column | None) -> DataFrame:
-    """(a, b, n): how often the word numbered b follows the one numbered a."""
-    def run(batches):
-        import pyarrow as pa
-
-        def rows(line):
-            a, b = line[:-1], line[1:]
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.r_[first, len(a)]))],
-                names=["a", "b", "n"])
-
-        words = [b""]
-        for (texts,) in slices(batches):
-            for text in texts:
-                words += text.lower().split()
-                words.append(b"")
-            if len(words) > PAIR_TOKENS:
-                yield rows(hashes(words))
-                words = [b""]
-        if len(words) > 1:
-            yield rows(hashes(words))
-
-    return (bounded(_texts(docs, text_col, learns)).mapInArrow(run, "a bigint, b bigint, n bigint")
-            .groupBy("a", "b").agg(F.sum("n").alias("n")))
+def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """A class for every unit: dealt out by frequency, then moved until none moves."""
+    n = len(pairs)
+    classes = min(classes, n)
+    of = np.empty(n, np.int64)
+    of[np.argsort(-pairs.sum(0), kind="stable")] = np.arange(n) % classes
+    member = np.zeros((n, classes))
+    member[np.arange(n), of] = 1
+    right = pairs @ member
+    _move_until_none(pairs, right, pairs.T @ member, of, member.T @ right)
+    return of
 
 
 def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.ndarray,
@@ -294,190 +253,473 @@ def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.nd
     return gain
 
 
-def likelihood(grid: np.ndarray) -> float:
-    return float(_xlogx(grid).sum() - 2 * _xlogx(grid.sum(1)).sum())
+def move_words(grid: np.ndarray, near: np.ndarray, of: np.ndarray, own: np.ndarray,
+               block: int = BLOCK) -> None:
+    """Move words to their best classes against a grid that follows the moves.
+
+    ``near``: [word, class after it; class before it]. The words of a block choose by the same grid;
+    then their moves change it. ``of`` and ``grid`` change in place.
+    """
+    k = len(grid)
+    least = 1e-6 + 1e-12 * abs(likelihood(grid))
+    for lo in range(0, len(of), block):
+        part = slice(lo, lo + block)
+        line, entries = np.nonzero(near[part])
+        first = np.searchsorted(line, np.arange(len(of[part])))
+        gain = gains(grid, entries, near[part][line, entries], first, of[part], own[part])
+        want = gain.argmax(1)
+        for i in np.flatnonzero(gain.max(1) > least):
+            w, old, new = lo + i, of[lo + i], want[i]
+            for sign, c in ((-1, old), (1, new)):
+                if sign > 0 and own[w]:
+                    near[w, [old, k + old]] -= own[w]
+                    near[w, [new, k + new]] += own[w]
+                grid[c] += sign * near[w, :k]
+                grid[:, c] += sign * near[w, k:]
+                grid[c, c] -= sign * own[w]
+            of[w] = new
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    """The number of each word."""
+    from pandas.util import hash_array
+
+    if not words:
+        return np.zeros(0, np.int64)
+    return hash_array(np.array(words, object), categorize=False).view(np.int64)
+
+
+class Units:
+    """Numbers of the known words. Big units come first: the ``core`` most frequent words, the groups of
+    rare words by their ending, and the end; then the other known words."""
+
+    def __init__(self, known: list[bytes], core: int):
+        self.core = min(core, len(known))
+        self.end = self.core + ENDINGS
+        self.big = self.end + 1
+        self.count = len(known) + ENDINGS + 1
+        self.of = {w: i if i < self.core else i + ENDINGS + 1 for i, w in enumerate(known)}
+        #: The big unit that stands for each unit in the start.
+        self.start = np.arange(self.count)
+        self.start[self.big:] = [self.core + ending(w) for w in known[self.core:]]
+        #: The unit of each known word, in their order.
+        self.known = np.r_[np.arange(self.core), np.arange(self.big, self.count)]
+
+    def rare(self, unit: np.ndarray) -> np.ndarray:
+        """Whether a unit is a group of rare words."""
+        return (unit >= self.core) & (unit < self.end)
+
+
+# What the text pass counts, as packed rows of (kind, part, x, y, z, n).
+_START, _BIG, _OWN, _RARE, _BOTH = range(5)
+_KINDS = {_START: "q", _BIG: "q", _OWN: "q", _RARE: "qii", _BOTH: "qq"}
+_PACKED = "kind int, part int, x binary, y binary, z binary, n binary"
+
+
+def _merged(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal rows become one, with their sum; rows come out in order."""
+    if not len(n):
+        return columns, n
+    if len(columns) == 1:
+        order = np.argsort(columns[0], kind="stable")
+    else:
+        order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.zeros(len(n), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.add.reduceat(n[order], first)
+
+
+def _row(kind: int, part: int, columns: list[np.ndarray], n: np.ndarray):
+    """One packed row; sorted columns are stored by their steps, which compress well."""
+    import pyarrow as pa
+
+    packed = [np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns]
+    packed += [None] * (3 - len(packed)) + [n.astype(np.int64).tobytes()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([kind], pa.int32()), pa.array([part], pa.int32()),
+         *[pa.array([p], pa.binary()) for p in packed]], names=["kind", "part", "x", "y", "z", "n"])
+
+
+def _unpacked(row: dict) -> tuple[list[np.ndarray], np.ndarray]:
+    columns = [np.cumsum(np.frombuffer(row[c], t), dtype=t)
+               for c, t in zip("xyz", _KINDS[row["kind"]], strict=False)]
+    return columns, np.frombuffer(row["n"], np.int64)
+
+
+def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Units,
+                parts: int) -> DataFrame:
+    """What follows what, counted once over all texts and merged by part: pairs of start units
+    (_START) and of big units (_BIG), first * big + second; the neighbours of each other known word
+    (_OWN): word * 2 count + unit after it, or + count + unit before it; those of each rare word
+    (_RARE): hash, unit before * ENDINGS + its own group, unit after; and pairs of rare words (_BOTH)."""
+    shared = docs.sparkSession.sparkContext.broadcast(units)
+
+    def counted(line: np.ndarray, names: np.ndarray):
+        u = shared.value
+        a, b = line[:-1], line[1:]
+        rare = np.flatnonzero(u.rare(line))
+        both = np.flatnonzero(u.rare(a) & u.rare(b))
+        big = (a < u.big) & (b < u.big)
+        own, back = a >= u.big, b >= u.big
+        found = []
+        for kind, code in ((_START, u.start[a] * u.big + u.start[b]), (_BIG, a[big] * u.big + b[big])):
+            n = np.bincount(code, minlength=u.big ** 2)
+            found.append((kind, [np.flatnonzero(n)], n[n > 0]))
+        code, n = np.unique(np.r_[a[own] * (2 * u.count) + b[own],
+                                  b[back] * (2 * u.count) + u.count + a[back]], return_counts=True)
+        found.append((_OWN, [code], n))
+        beside = line[rare - 1] * ENDINGS + line[rare] - u.core
+        found.append((_RARE, *_merged([names[rare], beside.astype(np.int32),
+                                       line[rare + 1].astype(np.int32)], np.ones(len(rare), np.int64))))
+        found.append((_BOTH, *_merged([names[both], names[both + 1]], np.ones(len(both), np.int64))))
+        for kind, columns, n in found:
+            key = columns[0] // (2 * u.count) if kind == _OWN else columns[0]
+            of = (key % parts).astype(np.uint16 if parts < 1 << 16 else np.int64)
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(parts + 1))
+            for part in range(parts):
+                if (at := order[ends[part]:ends[part + 1]]).size:
+                    yield _row(kind, part, [c[at] for c in columns], n[at])
 
+    def run(batches):
+        u = shared.value
+        find = u.of.get
+        start = np.array([u.end])
+        line, rare, length = [start], {}, 1
+
+        def flushed():
+            joined = np.concatenate(line)
+            names = np.zeros(len(joined), np.int64)
+            at = np.array(list(rare), np.int64)
+            words = list(rare.values())
+            joined[at] = [u.core + ending(w) for w in words]
+            names[at] = hashes(words)
+            yield from counted(joined, names)
+
+        for (texts,) in slices(batches):
+            for text in texts:
+                words = text.lower().split()
+                numbers = [find(w, -1) for w in words]
+                if -1 in numbers:
+                    rare.update((length + i, words[i]) for i, x in enumerate(numbers) if x < 0)
+                line += [np.array(numbers, np.int64), start]
+                length += len(words) + 1
+                if length > PAIR_TOKENS:
+                    yield from flushed()
+                    line, rare, length = [start], {}, 1
+        if length > 1:
+            yield from flushed()
+
+    def merge(batches):
+        last, held, kept = None, 0, []
+
+        def whole():
+            columns = [np.concatenate(c) for c in zip(*[c for c, _ in kept], strict=True)]
+            return _merged(columns, np.concatenate([n for _, n in kept]))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if last not in (None, (row["kind"], row["part"])):
+                    yield _row(*last, *whole())
+                    held, kept = 0, []
+                last = row["kind"], row["part"]
+                kept.append(_unpacked(row))
+                held += len(kept[-1][1])
+                if held > MERGE_ENTRIES:
+                    kept = [whole()]
+                    held = len(kept[0][1]) // 2
+        if kept:
+            yield _row(*last, *whole())
+
+    raw = bounded(_texts(docs, text_col, learns)).mapInArrow(run, _PACKED)
+    return (raw.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
+            .mapInArrow(merge, _PACKED))
+
+
+def _summed(rows: DataFrame, size: int, tasks: int) -> np.ndarray:
+    """The sum of the arrays in the one binary column of ``rows``, at most ``tasks`` of them, in levels
+    of 32 to 1."""
+    def add(batches):
+        import pyarrow as pa
 
-def _contexts(links: DataFrame, classes: DataFrame, k: int, small: bool) -> DataFrame:
-    """(unit, cls, own, near): the classes beside each word, numbered as in ``gains``."""
-    after = classes.select(F.col("unit").alias("b"), F.col("cls").alias("cb"))
-    before = classes.select(F.col("unit").alias("a"), F.col("cls").alias("ca"))
-    if small:
-        after, before = F.broadcast(after), F.broadcast(before)
-    own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
-    sides = F.array(F.struct(F.col("a").alias("unit"), F.col("cb").alias("at"), "n",
-                             own.alias("own")),
-                    F.struct(F.col("b").alias("unit"), (F.col("ca") + k).alias("at"), "n",
-                             F.lit(0).cast("bigint").alias("own")))
-    return (links.join(after, "b").join(before, "a").select(F.inline(sides))
-            .groupBy("unit", "at").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
-            .groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("near"),
-                                 F.sum("own").alias("own"))
-            .join(classes, "unit"))
-
-
-def _wishes(contexts: DataFrame, grid: np.ndarray, least: float) -> DataFrame:
-    """(unit, cls, want, gain): the best class of every word by itself."""
-    shared = contexts.sparkSession.sparkContext.broadcast(grid)
+        total = None
+        for batch in batches:
+            for value in batch.column(0):
+                one = np.frombuffer(value.as_py(), np.int64)
+                total = one.copy() if total is None else total + one
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    while tasks > 32:
+        tasks = -(-tasks // 32)
+        rows = rows.repartition(tasks).mapInArrow(add, "sums binary")
+    found = [np.frombuffer(bytes(r.sums), np.int64) for r in rows.collect()]
+    return np.sum(found, 0) if found else np.zeros(size, np.int64)
+
+
+def _sides(row: dict, units: Units):
+    """Of an _OWN row: owner, other unit, whether it comes before, times."""
+    (code,), n = _unpacked(row)
+    owner, other = np.divmod(code, 2 * units.count)
+    back = other >= units.count
+    return owner, np.where(back, other - units.count, other), back, n
+
+
+def count_grid(own: DataFrame, units: Units, of: np.ndarray, k: int, parts: int,
+               rare: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The grid of all pairs with a known word that is no big unit, and the classes such words
+    give each big unit as neighbours. ``rare``: whether groups of rare words count."""
+    shared = own.sparkSession.sparkContext.broadcast((units, of))
+    cells = k * k
 
     def run(batches):
         import pyarrow as pa
 
-        for whole in batches:
-            for lo in range(0, len(whole), 1024):
-                batch = whole.slice(lo, 1024)
-                near = batch["near"].combine_chunks() if hasattr(batch["near"], "chunks") \
-                    else batch["near"]
-                pairs = near.flatten()
-                first = np.r_[0, np.cumsum(near.value_lengths().to_numpy())[:-1]]
-                of = batch["cls"].to_numpy()
-                gain = gains(shared.value, pairs.field("at").to_numpy(),
-                             pairs.field("n").to_numpy().astype(float), first, of,
-                             batch["own"].to_numpy().astype(float))
-                want = gain.argmax(1)
-                most = gain.max(1)
-                want = np.where(most > least, want, of).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["unit"], batch["cls"], pa.array(want), pa.array(most)],
-                    names=["unit", "cls", "want", "gain"])
-
-    return (contexts.select("unit", "cls", "own", "near")
-            .mapInArrow(run, "unit bigint, cls int, want int, gain double"))
-
-
-def _settle(links: DataFrame, contexts: DataFrame, wishes: DataFrame, grid: np.ndarray,
-            least: float) -> DataFrame:
-    """(unit, to): the classes of the words that gain most, moved one by one until none gains."""
-    some = (wishes.where("want <> cls").orderBy(F.desc("gain"), "unit").limit(MOVERS)
-            .select("unit", "gain"))
-    movers = written(some, "lm-movers")
-    rows = sorted(contexts.join(F.broadcast(movers), "unit").collect(),
-                  key=lambda r: (-r.gain, r.unit))
-    place = {r.unit: i for i, r in enumerate(rows)}
+        u, of = shared.value
+        total = np.zeros(cells + u.big * 2 * k, np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                owner, other, back, n = _sides(row, u)
+                mine, theirs = of[owner], of[other]
+                # Two words with lists of their own stand in both; the first one's counts.
+                once = ~back | (other < u.big)
+                if not rare:
+                    once &= ~u.rare(other)
+                cell = np.where(back, theirs * k + mine, mine * k + theirs)
+                total[:cells] += np.bincount(cell[once], n[once], cells).astype(np.int64)
+                big = other < u.big
+                at = other[big] * (2 * k) + np.where(back[big], 0, k) + mine[big]
+                total[cells:] += np.bincount(at, n[big], u.big * 2 * k).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    sums = _summed(own.mapInArrow(run, "sums binary"), cells + units.big * 2 * k, parts)
+    return (sums[:cells].reshape(k, k).astype(float),
+            sums[cells:].reshape(units.big, 2 * k).astype(float))
+
+
+def move_known(own: DataFrame, units: Units, of: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """The classes after every known word with a list of its own has moved; tasks move theirs one
+    block after the other, each against a grid of its own."""
     k = len(grid)
-    dense = np.zeros((len(rows), 2 * k))
-    for i, r in enumerate(rows):
-        for x in r.near:
-            dense[i, x["at"]] = x["n"]
-    of, own = np.array([r.cls for r in rows]), np.array([float(r.own) for r in rows])
-    names = movers.select("unit")
-    between = (links.join(F.broadcast(names.withColumnRenamed("unit", "a")), "a")
-               .join(F.broadcast(names.withColumnRenamed("unit", "b")), "b").collect())
-    after, before = [[] for _ in rows], [[] for _ in rows]
-    for r in between:
-        after[place[r.a]].append((place[r.b], r.n))
-        before[place[r.b]].append((place[r.a], r.n))
-    grid, moved = grid.copy(), True
-    while moved:
-        moved = False
-        for w in range(len(rows)):
-            at = np.flatnonzero(dense[w])
-            gain = gains(grid, at, dense[w, at], np.zeros(1, int), of[w:w + 1], own[w:w + 1])[0]
-            old, new = of[w], int(gain.argmax())
-            if gain[new] <= least:
-                continue
-            for sign, c in ((-1, old), (1, new)):
-                if sign > 0:
-                    for other, n in after[w]:
-                        dense[other, k + old] -= n
-                        dense[other, k + new] += n
-                    for other, n in before[w]:
-                        dense[other, old] -= n
-                        dense[other, new] += n
-                grid[c] += sign * dense[w, :k]
-                grid[:, c] += sign * dense[w, k:]
-                grid[c, c] -= sign * own[w]
-            of[w] = new
-            moved = True
-    return links.sparkSession.createDataFrame(
-        [(r.unit, int(c)) for r, c in zip(rows, of, strict=True)], "unit bigint, to int")
+    shared = own.sparkSession.sparkContext.broadcast((units, of, grid))
+
+    def run(batches):
+        import pyarrow as pa
+
+        u, of, grid = shared.value
+        grid = grid.copy()
+        for batch in batches:
+            for row in batch.to_pylist():
+                owner, other, back, n = _sides(row, u)
+                words, place = np.unique(owner, return_inverse=True)
+                near = np.bincount(place * (2 * k) + np.where(back, k, 0) + of[other], n,
+                                   len(words) * 2 * k).reshape(-1, 2 * k)
+                self_ = (owner == other) & ~back
+                repeats = np.bincount(place[self_], n[self_], len(words))
+                mine = of[words]
+                move_words(grid, near, mine, repeats)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([words.astype(np.int32).tobytes()], pa.binary()),
+                     pa.array([mine.astype(np.int32).tobytes()], pa.binary())], names=["unit", "cls"])
+
+    out = of.copy()
+    for r in own.mapInArrow(run, "unit binary, cls binary").collect():
+        out[np.frombuffer(bytes(r.unit), np.int32)] = np.frombuffer(bytes(r.cls), np.int32)
+    return out
 
 
-def exchange_all(links: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """Move all words of ``classes`` (unit, cls) until none moves; the classes and their grid."""
-    best, moves, parts, turn, exact = -np.inf, 0, 1, 0, False
-    kept = wishes = None
-    small = classes.count() <= SHARED_CLASSES
+def exchange_known(own: DataFrame, pairs: np.ndarray, units: Units, of: np.ndarray, k: int,
+                   parts: int, least_share: float = LEAST_SHARE) -> tuple[np.ndarray, list[float]]:
+    """Rounds over all units until one adds less than ``least_share`` of the gain so far; the classes
+    and the likelihood before each round. A round that loses is not kept."""
+    reached: list[float] = []
+    before = of
     while True:
-        contexts = written(_contexts(links, classes, k, small), "lm-contexts")
-        grid = np.zeros((k, k))
-        for r in (contexts.select("cls", F.inline("near")).where(F.col("at") < k)
-                  .groupBy("cls", "at").agg(F.sum("n").alias("n")).collect()):
-            grid[r.cls, r.at] = r.n
-        reached = likelihood(grid)
-        if exact or reached > best:
-            best, parts = reached, max(1, parts // 2)
-            if kept:
-                forgotten(kept[0])
-                forgotten(wishes)
-            kept = contexts, grid, 1e-6 + 1e-12 * abs(reached)
-            wishes = written(_wishes(*kept), "lm-wishes")
-            moves = wishes.where("want <> cls").count()
-            if not moves:
-                return classes, grid
-        else:
-            parts *= 2
-            forgotten(contexts)
-        turn += 1
-        exact = moves <= MOVERS * parts
-        if exact:
-            chosen = _settle(links, kept[0], wishes, *kept[1:])
-            next_ = (wishes.join(F.broadcast(chosen), "unit", "left")
-                     .select("unit", F.coalesce("to", "cls").alias("cls")))
-        else:
-            goes = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(parts)) == 0
-            next_ = wishes.select("unit", F.when(goes, F.col("want")).otherwise(F.col("cls"))
-                                  .alias("cls"))
-        forgotten(classes)
-        classes = written(next_, "lm-classes")
+        grid, outer = count_grid(own, units, of, k, parts)
+        member = np.zeros((units.big, k))
+        member[np.arange(units.big), of[:units.big]] = 1
+        right = pairs @ member
+        grid += member.T @ right
+        reached.append(likelihood(grid))
+        if len(reached) > 1:
+            gain = reached[-1] - reached[-2]
+            if gain <= 0:
+                return before, reached
+            if gain < least_share * (reached[-1] - reached[0]):
+                return of, reached
+        before, of = of, of.copy()
+        mine = of[:units.big].copy()
+        _move_until_none(pairs, right + outer[:, :k], pairs.T @ member + outer[:, k:], mine, grid)
+        of[:units.big] = mine
+        of = move_known(own, units, of, grid)
+        if (of == before).all():
+            return of, reached
+
+
+def move_rare(rare: DataFrame, units: Units, of: np.ndarray, grid: np.ndarray) -> DataFrame:
+    """(unit, cls, sums): every rare word leaves the group of its ending for its best class. One row
+    per word; ``sums``, in one row of a task, is the grid of its pairs with known words."""
+    k = len(grid)
+    shared = rare.sparkSession.sparkContext.broadcast((units, of, grid))
+
+    def run(batches):
+        import pyarrow as pa
+
+        u, of, grid = shared.value
+        grid, found = grid.copy(), np.zeros(k * k, np.int64)
+        groups = of[u.core:u.end]
+
+        def rows(words, classes, sums=None):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.int64()), pa.array(classes, pa.int32()),
+                 pa.array([sums] * len(words), pa.binary())], names=["unit", "cls", "sums"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                (name, beside, after), n = _unpacked(row)
+                before, group = np.divmod(beside, ENDINGS)
+                ends = np.flatnonzero(np.r_[name[1:] != name[:-1], True]) + 1
+                # Whole words, RARE_WORDS at a time.
+                for lo in range(0, len(ends), RARE_WORDS):
+                    part = slice(ends[lo - 1] if lo else 0, ends[min(lo + RARE_WORDS, len(ends)) - 1])
+                    words, first, place = np.unique(name[part], return_index=True, return_inverse=True)
+                    ca, cb, m = of[after[part]], of[before[part]], n[part]
+                    near = (np.bincount(place * (2 * k) + ca, m, len(words) * 2 * k)
+                            + np.bincount(place * (2 * k) + k + cb, m, len(words) * 2 * k)
+                            ).reshape(-1, 2 * k)
+                    mine = groups[group[part][first]]
+                    move_words(grid, near, mine, np.zeros(len(words)), RARE_BLOCK)
+                    own = mine[place]
+                    for other, cell, ok in ((ca, own * k + ca, ~u.rare(after[part])),
+                                            (cb, cb * k + own, ~u.rare(before[part]))):
+                        found += np.bincount(cell[ok], m[ok], k * k).astype(np.int64)
+                    yield rows(words, mine)
+        yield rows([None], [None], found.tobytes())
+
+    return rare.mapInArrow(run, "unit bigint, cls int, sums binary")
 
 
 def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
-          core_words: int = CORE_WORDS, classes: int = CLASSES,
-          smoothing: float = SMOOTHING) -> ClassModel:
-    """Fit on the documents for which ``learns`` holds (all without it)."""
-    counts = written(_numbered(count_words(docs, text_col, learns)), "words")
+          core_words: int = CORE_WORDS, classes: int = CLASSES, smoothing: float = SMOOTHING,
+          known_words: int = FREQUENT_WORDS, least_share: float = LEAST_SHARE,
+          parts: int | None = None) -> ClassModel:
+    """Fit on the documents for which ``learns`` holds (all without it).
+
+    ``parts``: the pieces that the pairs are dealt to, as many as a shuffle has by default.
+    """
     spark = docs.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = written(count_words(docs, text_col, learns), "words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    core = [bytes(r.word) for r in counts.where("word is not null")
-            .orderBy(F.desc("n"), "word").limit(core_words).collect()]
-    of = exchange(count_pairs(docs, text_col, learns, core), classes)
-    k = int(of.max()) + 1
-    # The start: the class of the core word or of the ending; the core is a small table.
-    named = spark.createDataFrame([(bytearray(w), i) for i, w in enumerate(core)],
-                                  "word binary, start int")
-    start = (F.when(F.col("word").isNull(), len(core) + ENDINGS)
-             .otherwise(F.coalesce("start", ending_column("word") + len(core))))
-    first = (counts.join(F.broadcast(named), "word", "left")
-             .select("unit", F.element_at(F.lit(of.astype(np.int32)), start + 1).alias("cls"))
-             .groupBy("unit").agg(F.min("cls").alias("cls")))
-    links = written(count_links(docs, text_col, learns), "lm-links")
-    first = written(first, "lm-classes")
+    end = counts.where("word is null").first()
+    top = _most_frequent(counts, known_words)
+    known = top["word"].to_pylist()
+    n_known = top["n"].to_numpy()
+    units = Units(known, core_words)
+    path = scratch_dir(spark, "lm-links")
     with shuffles_dropped(spark):
-        found, grid = exchange_all(links, first, k)
-    forgotten(links)
+        count_links(docs, text_col, learns, units, parts).write.partitionBy("kind").parquet(path)
+        links = spark.read.schema(_PACKED.replace("kind int, ", "") + ", kind int").parquet(path)
+        own, rare = (links.where(F.col("kind") == kind) for kind in (_OWN, _RARE))
+        of = exchange(_matrix(links, _START, units.big), classes)
+        k = int(of.max()) + 1
+        pairs = _matrix(links, _BIG, units.big)
+        of, _ = exchange_known(own, pairs, units, of[units.start], k, parts, least_share)
+        grid, _ = count_grid(own, units, of, k, parts)
+        grid += _grid_of(pairs, of, k)
+        moved = written(move_rare(rare, units, of, grid), "lm-rare")
+        # The grid of the model: known words, then rare words with known ones, then with rare ones.
+        grid, _ = count_grid(own, units, of, k, parts, rare=False)
+        live = np.flatnonzero(~units.rare(np.arange(units.big)))
+        grid += _grid_of(pairs[np.ix_(live, live)], of[live], k)
+        grid += _summed(moved.where("sums is not null").select("sums"), k * k,
+                        parts).reshape(k, k)
+        classes_of = moved.where("unit is not null").select("unit", "cls")
+        for r in _rare_pairs(links, classes_of).collect():
+            grid[r.a, r.b] += r.n
     steps = np.log10((grid + smoothing) / (grid.sum(1, keepdims=True) + smoothing * k))
-    counts = written(counts.join(found, "unit").select("word", "n", "cls"), "words")
-    class_tokens, class_words = np.zeros(k), np.zeros(k)
-    for row in (counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
+    others = written(_numbered(counts.where(~_is_known(top)).where("word is not null"))
+                     .join(classes_of, "unit").select("word", "n", "cls"), "rare-words")
+    removed(spark, path)
+    forgotten(moved)
+    of_known = of[units.known]
+    class_tokens = np.bincount(of_known, n_known, k)
+    class_words = np.bincount(of_known, minlength=k).astype(float)
+    if end:
+        class_tokens[of[units.end]] += end.n
+        class_words[of[units.end]] += 1
+    for row in (others.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
                 .collect()):
-        class_tokens[row.cls], class_words[row.cls] = row.n, row.words
-    top = (counts.where("word is not null").orderBy(F.desc("n"), "word")
-           .limit(FREQUENT_WORDS).toArrow())
-    end = counts.where("word is null").first()
-    return ClassModel(counts, int(tokens), int(distinct), top["word"].to_pylist(),
-                      top["n"].to_numpy(), int(end.n) if end else 0, top["cls"].to_numpy(),
-                      int(end.cls) if end else int(of[-1]), of[len(core):len(core) + ENDINGS],
-                      steps, class_tokens, class_words, smoothing)
+        class_tokens[row.cls] += row.n
+        class_words[row.cls] += row.words
+    return ClassModel(others, int(tokens), int(distinct), known, n_known, int(end.n) if end else 0,
+                      of_known, int(of[units.end]), of[units.core:units.end], steps, class_tokens,
+                      class_words, smoothing)
+
+
+def _most_frequent(counts: DataFrame, most: int):
+    """The ``most`` most frequent words of at most KNOWN_BYTES, of equal ones the smaller bytes first."""
+    short = counts.where((F.length("word") <= KNOWN_BYTES) & F.col("word").isNotNull())
+    # A first look finds a count that at least so many words reach, so that tasks need not each
+    # send that many.
+    row = short.agg(*[F.count_if(F.col("n") >= (1 << i)).alias(f"c{i}") for i in range(1, 50)]).first()
+    least = max([0] + [i for i in range(1, 50) if row[f"c{i}"] >= most])
+    return short.where(F.col("n") >= (1 << least)).orderBy(F.desc("n"), "word").limit(most).toArrow()
+
+
+def _is_known(top) -> Column:
+    """Whether a row of the counts is one of ``top``."""
+    if not len(top):
+        return F.lit(False)
+    n, word = F.lit(top["n"][-1].as_py()), F.lit(bytearray(top["word"][-1].as_py()))
+    return (F.length("word") <= KNOWN_BYTES) & (
+        (F.col("n") > n) | ((F.col("n") == n) & (F.col("word") <= word)))
+
+
+def _matrix(links: DataFrame, kind: int, size: int) -> np.ndarray:
+    """The counted pairs of big units: one row of packed cells per part."""
+    out = np.zeros(size * size)
+    for row in links.where(F.col("kind") == kind).collect():
+        (code,), n = _unpacked({c: v if isinstance(v, int) or v is None else bytes(v)
+                                for c, v in row.asDict().items()})
+        out[code] += n
+    return out.reshape(size, size)
+
+
+def _grid_of(pairs: np.ndarray, of: np.ndarray, k: int) -> np.ndarray:
+    member = np.zeros((len(pairs), k))
+    member[np.arange(len(pairs)), of[:len(pairs)]] = 1
+    return member.T @ pairs @ member
+
+
+def _rare_pairs(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, n): how often a rare word of class b follows one of class a."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                (a, b), n = _unpacked(row)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)],
+                                                 names=["first", "second", "n"])
+
+    rows = links.where(F.col("kind") == _BOTH).mapInArrow(run, "first bigint, second bigint, n bigint")
+    return (rows.join(classes.select(F.col("unit").alias("first"), F.col("cls").alias("a")), "first")
+            .join(classes.select(F.col("unit").alias("second"), F.col("cls").alias("b")), "second")
+            .groupBy("a", "b").agg(F.sum("n").alias("n")))
 
 
 def _numbered(counts: DataFrame) -> DataFrame:
-    """The counted words with the numbers that ``count_links`` gives them."""
+    """The counted words with their hashes."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            units = hashes([w or b"" for w in batch.column(0).to_pylist()])
+            units = hashes(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.int64())],
                                              names=["word", "n", "unit"])
 
@@ -559,7 +801,7 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
     table = F.lit(model.steps.ravel())
     scale = F.lit(np.log10(model.class_tokens + model.smoothing * (model.class_words + 1)))
     unseen = F.lit(model.endings.astype(np.int32))
-    words = model.counts.where("word is not null")
+    words = model.rare
 
     def step(a: Column, b: Column) -> Column:
         return F.when((a >= 0) & (b >= 0), F.element_at(table, a * k + b + 1)).otherwise(0.0)

@@ -426,6 +426,7 @@ def test_rare_words_are_scored_like_frequent_ones(spark, odd, monkeypatch):
     asked = odd.unionByName(spark.createDataFrame([(70, "new " + prose(1) + " w3 newer", "", 0, "")],
                                                   DOCS))
     want = sorted(r["score"] for r in class_lm.score_texts(asked, whole).collect())
+    whole.rare = whole.counts.where("word is not null")
     whole.frequent, whole.frequent_counts = whole.frequent[:5], whole.frequent_counts[:5]
     whole.frequent_classes = whole.frequent_classes[:5]
     got = sorted(r["score"] for r in class_lm.score_texts(asked, whole).collect())

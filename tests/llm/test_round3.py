@@ -302,3 +302,50 @@ def test_a_long_text_without_spaces_takes_linear_time():
     start = time.process_time()
     ids = coder.encode(text)
     assert time.process_time() - start < 10 and len(ids) > 100_000
+
+
+# Class model
+
+@pytest.mark.parametrize("known, parts", [(10_000, 3), (40, 5), (0, 2)])
+def test_the_grid_is_that_of_the_classes_of_all_words(spark, known, parts):
+    """Whichever words are known: every word has a class, and steps and sizes follow from them."""
+    from tallyroom.llm import class_lm
+
+    rng = np.random.default_rng(3)
+    words = [f"w{i}{'abcdef'[i % 6]}" for i in range(200)] + ["w7 w7 w7", "x" * 100 + " x", "Ä"]
+    odds = 1 / np.arange(1, len(words) + 1)
+    texts = [" ".join(rng.choice(words, rng.integers(0, 60), p=odds / odds.sum())) for _ in range(80)]
+    docs = spark.createDataFrame([(i, t, 0, "", 0) for i, t in enumerate(texts)], DOCS).repartition(3)
+    model = class_lm.learn(docs, core_words=10, classes=5, known_words=known, parts=parts)
+    of = {bytes(r["word"] or b""): r["cls"] for r in model.counts.collect()}
+    line = [b"", *[w for t in texts for w in [*t.encode().lower().split(), b""]]]
+    count = Counter(line[1:])
+    assert {bytes(r["word"] or b""): r["n"] for r in model.counts.collect()} == count
+    k = len(model.steps)
+    grid = np.zeros((k, k))
+    np.add.at(grid, ([of[w] for w in line[:-1]], [of[w] for w in line[1:]]), 1)
+    want = np.log10((grid + 0.1) / (grid.sum(1, keepdims=True) + 0.1 * k))
+    assert np.allclose(model.steps, want)
+    assert model.class_tokens.tolist() == [sum(n for w, n in count.items() if of[w] == c) for c in range(k)]
+    assert model.class_words.tolist() == [sum(of[w] == c for w in count) for c in range(k)]
+
+
+def test_moved_words_keep_the_grid_exact():
+    from tallyroom.llm import class_lm
+
+    rng = np.random.default_rng(8)
+    line = np.r_[0, rng.integers(0, 30, 3000), 0]
+    pairs = np.zeros((30, 30))
+    np.add.at(pairs, (line[:-1], line[1:]), 1)
+    of = rng.integers(0, 5, 30)
+    member = np.eye(5)[of]
+    grid = member.T @ pairs @ member
+    for w in range(30):
+        # One word at a time, whose neighbours are up to date.
+        m = np.eye(5)[of]
+        near, mine = np.hstack([pairs[w:w + 1] @ m, pairs[:, w:w + 1].T @ m]), of[w:w + 1].copy()
+        before = class_lm.likelihood(grid)
+        class_lm.move_words(grid, near, mine, pairs[w, w][None])
+        of[w] = mine[0]
+        m = np.eye(5)[of]
+        assert np.allclose(grid, m.T @ pairs @ m) and class_lm.likelihood(grid) >= before - 1e-6
