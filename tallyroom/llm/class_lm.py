@@ -46,6 +46,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,7 @@ SMOOTHING = 0.1
 #: Distinct words a counting task holds before it passes them on.
 COUNTER_WORDS = 1 << 19
 #: Tokens whose pairs a task counts together before it passes them on.
-PAIR_TOKENS = 1 << 21
+PAIR_TOKENS = 1 << 20
 #: Longest word that is one of the known ones.
 KNOWN_BYTES = 64
 #: Rounds end when one adds less than this share of the likelihood gained so far.
@@ -73,6 +74,8 @@ BLOCK = 64
 RARE_BLOCK = 1024
 #: Rare words whose neighbours a task spreads out at a time.
 RARE_WORDS = 1 << 15
+#: Pieces of the counted pairs for each task; a task holds one of them at a time.
+PARTS = 3
 #: Counted pairs a task holds before it merges them.
 MERGE_ENTRIES = 1 << 23
 
@@ -333,15 +336,18 @@ def _merged(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     return [c[first] for c in columns], np.add.reduceat(n[order], first)
 
 
-def _row(kind: int, part: int, columns: list[np.ndarray], n: np.ndarray):
-    """One packed row; sorted columns are stored by their steps, which compress well."""
+def _rows(kind: int, parts: list[int], found: list[tuple[list[np.ndarray], np.ndarray]]):
+    """Packed rows of one kind; sorted columns are stored by their steps, which compress well."""
     import pyarrow as pa
 
-    packed = [np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns]
-    packed += [None] * (3 - len(packed)) + [n.astype(np.int64).tobytes()]
+    packed = []
+    for columns, n in found:
+        row = [np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns]
+        packed.append(row + [None] * (3 - len(row)) + [n.astype(np.int64).tobytes()])
     return pa.RecordBatch.from_arrays(
-        [pa.array([kind], pa.int32()), pa.array([part], pa.int32()),
-         *[pa.array([p], pa.binary()) for p in packed]], names=["kind", "part", "x", "y", "z", "n"])
+        [pa.array([kind] * len(parts), pa.int32()), pa.array(parts, pa.int32()),
+         *[pa.array([row[i] for row in packed], pa.binary()) for i in range(4)]],
+        names=["kind", "part", "x", "y", "z", "n"])
 
 
 def _unpacked(row: dict) -> tuple[list[np.ndarray], np.ndarray]:
@@ -381,36 +387,36 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
             of = (key % parts).astype(np.uint16 if parts < 1 << 16 else np.int64)
             order = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[order], np.arange(parts + 1))
-            for part in range(parts):
-                if (at := order[ends[part]:ends[part + 1]]).size:
-                    yield _row(kind, part, [c[at] for c in columns], n[at])
+            columns, n = [c[order] for c in columns], n[order]
+            full = np.flatnonzero(np.diff(ends)).tolist()
+            yield _rows(kind, full, [([c[ends[p]:ends[p + 1]] for c in columns], n[ends[p]:ends[p + 1]])
+                                     for p in full])
 
     def run(batches):
         u = shared.value
         find = u.of.get
         start = np.array([u.end])
-        line, rare, length = [start], {}, 1
+        line, rare, places, length = [start], [], [], 1
 
         def flushed():
-            joined = np.concatenate(line)
+            joined, at = np.concatenate(line), np.concatenate(places)
             names = np.zeros(len(joined), np.int64)
-            at = np.array(list(rare), np.int64)
-            words = list(rare.values())
-            joined[at] = [u.core + ending(w) for w in words]
-            names[at] = hashes(words)
+            joined[at] = [u.core + ending(w) for w in rare]
+            names[at] = hashes(rare)
             yield from counted(joined, names)
 
         for (texts,) in slices(batches):
             for text in texts:
                 words = text.lower().split()
-                numbers = [find(w, -1) for w in words]
-                if -1 in numbers:
-                    rare.update((length + i, words[i]) for i, x in enumerate(numbers) if x < 0)
-                line += [np.array(numbers, np.int64), start]
+                numbers = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
+                at = np.flatnonzero(numbers < 0).tolist()
+                places.append(np.array(at, np.int64) + length)
+                rare += [words[i] for i in at]
+                line += [numbers, start]
                 length += len(words) + 1
                 if length > PAIR_TOKENS:
                     yield from flushed()
-                    line, rare, length = [start], {}, 1
+                    line, rare, places, length = [start], [], [], 1
         if length > 1:
             yield from flushed()
 
@@ -424,7 +430,7 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
         for batch in batches:
             for row in batch.to_pylist():
                 if last not in (None, (row["kind"], row["part"])):
-                    yield _row(*last, *whole())
+                    yield _rows(last[0], [last[1]], [whole()])
                     held, kept = 0, []
                 last = row["kind"], row["part"]
                 kept.append(_unpacked(row))
@@ -433,10 +439,10 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
                     kept = [whole()]
                     held = len(kept[0][1]) // 2
         if kept:
-            yield _row(*last, *whole())
+            yield _rows(last[0], [last[1]], [whole()])
 
     raw = bounded(_texts(docs, text_col, learns)).mapInArrow(run, _PACKED)
-    return (raw.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
+    return (raw.repartition(-(-parts // PARTS), "kind", "part").sortWithinPartitions("kind", "part")
             .mapInArrow(merge, _PACKED))
 
 
@@ -609,10 +615,10 @@ def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
           parts: int | None = None) -> ClassModel:
     """Fit on the documents for which ``learns`` holds (all without it).
 
-    ``parts``: the pieces that the pairs are dealt to, as many as a shuffle has by default.
+    ``parts``: the pieces that the pairs are dealt to, by default ``PARTS`` for each task of a shuffle.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = written(count_words(docs, text_col, learns), "words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     end = counts.where("word is null").first()
@@ -758,7 +764,7 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
             for text in texts:
                 words = text.lower().split()
                 words.append(b"")
-                at = np.array([find(w, -1) for w in words], np.int64)
+                at = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
                 at[-1] = n_frequent
                 others = np.flatnonzero(at < 0)
                 labels = np.where(at < 0, -1, m["of"][at])
