@@ -62,9 +62,9 @@ FREQUENT_WORDS = 1 << 17
 #: Added to every count, one more word of each class standing for all unknown ones.
 SMOOTHING = 0.1
 #: Distinct words a counting task holds before it passes them on.
-COUNTER_WORDS = 1 << 19
+COUNTER_WORDS = 1 << 18
 #: Tokens whose pairs a task counts together before it passes them on.
-PAIR_TOKENS = 1 << 20
+PAIR_TOKENS = 1 << 19
 #: Longest word that is one of the known ones.
 KNOWN_BYTES = 64
 #: Rounds end when one adds less than this share of the likelihood gained so far.
@@ -285,11 +285,9 @@ def move_words(grid: np.ndarray, near: np.ndarray, of: np.ndarray, own: np.ndarr
 
 def hashes(words: list[bytes]) -> np.ndarray:
     """The number of each word."""
-    from pandas.util import hash_array
+    from xxhash import xxh64_intdigest
 
-    if not words:
-        return np.zeros(0, np.int64)
-    return hash_array(np.array(words, object), categorize=False).view(np.int64)
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 class Units:
