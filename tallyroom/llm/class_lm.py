@@ -115,6 +115,14 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
 
 
+class Endings(dict):
+    """The group of the last two bytes of a word, worked out once each."""
+
+    def __missing__(self, last: bytes) -> int:
+        self[last] = group = ending(last)
+        return group
+
+
 def ending_column(word: str) -> Column:
     """``ending`` of a binary column."""
     last = F.expr(f"substring({word}, -2, 2)")
@@ -157,7 +165,10 @@ def count_words(docs: DataFrame, text_col: str, learns: Column | None) -> DataFr
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1e-300))
+    out = np.maximum(x, 1e-300)
+    np.log(out, out)
+    out *= x
+    return out
 
 
 def likelihood(grid: np.ndarray) -> float:
@@ -231,15 +242,15 @@ def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.nd
     k, m = len(grid), len(of)
     total, diagonal, line = grid.sum(1), np.diag(grid), np.arange(m)
     f = _xlogx
-    near = np.vstack([grid.T, grid])
-    steps = f(near[entries] + times[:, None]) - f(near)[entries]
+    near, level = np.vstack([grid.T, grid]), f(grid)
+    steps = f(near[entries] + times[:, None]) - np.vstack([level.T, level])[entries]
     put = np.add.reduceat(steps, first, 0)
     dense = np.zeros((m, 2 * k))
     dense[np.repeat(line, np.diff(np.r_[first, len(entries)])), entries] = times
     r, l_ = dense[:, :k], dense[:, k:]
     size = r.sum(1)
     row, col = grid[of], grid.T[of]
-    base_row, base_col, base = f(row), f(col), f(diagonal)
+    base_row, base_col, base = level[of], level.T[of], np.diag(level)
     take = f((row - r).clip(0)) - base_row + f((col - l_).clip(0)) - base_col
     rk, lk, s = r[line, of][:, None], l_[line, of][:, None], own[:, None]
     # Cells where the old and the new class meet are counted by themselves.
@@ -393,13 +404,13 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
     def run(batches):
         u = shared.value
         find = u.of.get
-        start = np.array([u.end])
+        start, groups = np.array([u.end]), Endings()
         line, rare, places, length = [start], [], [], 1
 
         def flushed():
             joined, at = np.concatenate(line), np.concatenate(places)
             names = np.zeros(len(joined), np.int64)
-            joined[at] = [u.core + ending(w) for w in rare]
+            joined[at] = [groups[w[-2:]] + u.core for w in rare]
             names[at] = hashes(rare)
             yield from counted(joined, names)
 
@@ -770,35 +781,29 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
                 after = np.concatenate([labels[1:], labels[:1]])
                 # Rare words with the classes beside them (-1: a rare word too), and
                 # pairs of rare words.
-                rare: Counter = Counter()
-                links: Counter = Counter()
-                for i in others.tolist():
-                    rare[words[i], int(before[i]), int(after[i])] += 1
-                    if after[i] < 0:
-                        links[words[i], words[i + 1]] += 1
+                rare = [words[i] for i in others.tolist()]
+                two = others[after[others] < 0].tolist()
                 seen = at[at >= 0]
                 both = (labels >= 0) & (before >= 0)
                 rows.append((len(words), int(known[seen].sum()), float(m["base"][seen].sum()),
                              float(m["emission"][seen].sum()
                                    + steps[before[both], labels[both]].sum()),
-                             [w for w, _, _ in rare], [x for _, x, _ in rare],
-                             [x for _, _, x in rare], list(rare.values()),
-                             [w for w, _ in links], [w for _, w in links], list(links.values())))
+                             rare, before[others].astype(np.int32), after[others].astype(np.int32),
+                             [words[i] for i in two], [words[i + 1] for i in two]))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()),
-                     *[pa.list_(pa.int32())] * 2, pa.list_(pa.int64()),
-                     *[pa.list_(pa.binary())] * 2, pa.list_(pa.int64())]
+                     *[pa.list_(pa.int32())] * 2, *[pa.list_(pa.binary())] * 2]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64())]
                 + [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                names=["id", "n_tokens", "n_known", "base", "score", "rare", "before", "after", "times",
-                       "left", "right", "link_times"])
+                names=["id", "n_tokens", "n_known", "base", "score", "rare", "before", "after",
+                       "left", "right"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        utf8(text_col).alias("text"))
     parts = written(bounded(rows).mapInArrow(
         run, "id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-             "rare array<binary>, before array<int>, after array<int>, times array<bigint>, "
-             "left array<binary>, right array<binary>, link_times array<bigint>")
+             "rare array<binary>, before array<int>, after array<int>, "
+             "left array<binary>, right array<binary>")
         .withColumn("row", F.monotonically_increasing_id()), "lm-parts")
     # Arrays of fixed size: the steps, the denominators' log10 by class, unseen words' classes.
     k = len(model.steps)
@@ -813,26 +818,23 @@ def score_texts(docs: DataFrame, model: ClassModel, id_col: str = "doc_id",
     def class_of(word: str, cls: str) -> Column:
         return F.coalesce(F.col(cls), F.element_at(unseen, ending_column(word) + 1))
 
-    rest = (parts.select("row", F.explode(F.arrays_zip("rare", "before", "after", "times"))
-                         .alias("x"))
-            .select("row", F.col("x.rare").alias("word"), "x.before", "x.after", "x.times")
+    rest = (parts.select("row", F.explode(F.arrays_zip("rare", "before", "after")).alias("x"))
+            .select("row", F.col("x.rare").alias("word"), "x.before", "x.after")
             .join(words, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
             .withColumn("cls", class_of("word", "cls")))
     base = F.log10((F.col("n") + 0.1) / F.lit(model.tokens + 0.1 * (model.distinct + 1)))
     score = (F.log10(F.col("n") + model.smoothing) - F.element_at(scale, F.col("cls") + 1)
              + step(F.col("before"), F.col("cls")) + step(F.col("cls"), F.col("after")))
-    links = (parts.select("row", F.explode(F.arrays_zip("left", "right", "link_times")).alias("x"))
-             .select("row", F.col("x.left").alias("left"), F.col("x.right").alias("right"),
-                     F.col("x.link_times").alias("times"))
+    links = (parts.select("row", F.explode(F.arrays_zip("left", "right")).alias("x"))
+             .select("row", F.col("x.left").alias("left"), F.col("x.right").alias("right"))
              .join(words.select(F.col("word").alias("left"), F.col("cls").alias("a")), "left", "left")
              .join(words.select(F.col("word").alias("right"), F.col("cls").alias("b")), "right",
                    "left"))
-    times = F.col("times")
-    none = F.lit(0).cast("bigint")
-    sums = (rest.select("row", F.when(F.col("n") > 0, times).otherwise(none).alias("known"),
-                        (times * base).alias("base"), (times * score).alias("score"))
-            .unionByName(links.select("row", none.alias("known"), F.lit(0.0).alias("base"),
-                                      (times * step(class_of("left", "a"), class_of("right", "b")))
+    sums = (rest.select("row", (F.col("n") > 0).cast("bigint").alias("known"),
+                        base.alias("base"), score.alias("score"))
+            .unionByName(links.select("row", F.lit(0).cast("bigint").alias("known"),
+                                      F.lit(0.0).alias("base"),
+                                      step(class_of("left", "a"), class_of("right", "b"))
                                       .alias("score")))
             .groupBy("row").agg(F.sum("known").alias("more_known"),
                                 F.sum("base").alias("more_base"),
