@@ -10,12 +10,16 @@ from ..errors import MissingColumnsError
 from ..operators.clean import require_columns
 from ..operators.filters import filter_rows
 from ..operators.layout import clustered
+from ..operators.paging import store_pages
+from ..operators.quality import fingerprint
 from ..plans.quarantine import quarantine
+from ..plans.stages import build_stages, folder_of, manifest
 from ..session import scratch_dir
 from ..sinks.parquet import write_parquet
 from ..sources.delimited import malformed_rows, read_with_records
 from ..sources.parquet import read_parquet
 from .registry import query, table
+from .storage import LINES
 
 #: What the columns of ``loaded_orders`` must be.
 LOADED = Table("orders_loaded", "", (
@@ -142,3 +146,53 @@ def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = str(error).split(": ", 1)[1].split(", ")
     return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.explode(F.array(*[F.lit(n) for n in named])).alias("name"), "n_rows")
+
+
+#: Ranges that the pages are stored in, and rows of a page.
+PAGE_RANGES, PAGE_ROWS = 12, 50
+
+
+@query(f"""
+WITH numbered AS (
+    SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place,
+           count(*) OVER () AS n FROM orders)
+SELECT page, o_orderkey, o_totalprice FROM numbered
+JOIN (SELECT unnest(['first', 'middle', 'last']) AS page) AS pages
+  ON place // {PAGE_ROWS} = CASE page WHEN 'first' THEN 0
+     WHEN 'middle' THEN (n // {PAGE_ROWS}) // 2 ELSE (n - 1) // {PAGE_ROWS} END
+""")
+def rows_page_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first, the middle and the last page of all orders by price."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    pages = store_pages(orders, ["o_totalprice"], scratch_dir(spark, "pages"), PAGE_RANGES)
+    n = pages.directory.agg(F.sum("n")).first()[0]
+    out = None
+    for name, number in (("first", 0), ("middle", n // PAGE_ROWS // 2), ("last", (n - 1) // PAGE_ROWS)):
+        part = pages.page(number, PAGE_ROWS).select(F.lit(name).alias("page"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("""
+WITH best AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+             l_partkey, l_suppkey, l_returnflag) AS rn FROM lineitem) t WHERE rn = 1)
+SELECT 'line_master' AS stage, count(*) AS n, true AS unchanged, 0::BIGINT AS n_after_loss FROM best
+UNION ALL SELECT 'line_metadata', count(*), true, 0 FROM best
+UNION ALL SELECT 'supplier_metadata', count(DISTINCT l_suppkey), true, 0 FROM best
+""")
+def stage_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of each stage, whether the stored rows still are those, and how many of them
+    a fingerprint without its first rows would still match (none)."""
+    root = scratch_dir(spark, "stages")
+    build_stages(spark, table(spark, sf_dir, "lineitem"), LINES, root)
+    known = manifest(spark, root)
+    out = []
+    for t in LINES.tables:
+        rows = read_parquet(spark, folder_of(root, t))
+        least = rows.agg(F.min(t.key[-1])).first()[0]
+        fewer = fingerprint(rows.where(F.col(t.key[-1]) != least))
+        out.append((t.name, known[t.name][0].n, fingerprint(rows) == known[t.name][0],
+                    fewer.n if fewer == known[t.name][0] else 0))
+    return spark.createDataFrame(out, "stage string, n bigint, unchanged boolean, n_after_loss bigint")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..contracts import Table
@@ -40,41 +43,85 @@ def length_violations(df: DataFrame, widths: Mapping[str, int], keys: Sequence[s
     return df.where(some_long).select(*[col(k) for k in keys], F.inline(too_long))
 
 
-def contract_report(df: DataFrame, table: Table) -> DataFrame:
-    """One row per check of a table contract: ``check``, ``n_bad``."""
+@dataclass(frozen=True)
+class Fingerprint:
+    """What identifies the rows of a table whatever their order and files: their number and two sums
+    of 64-bit row hashes. A lost, doubled or changed row changes it."""
+
+    n: int
+    sum1: int
+    sum2: int
+
+
+def fingerprint_of(df: DataFrame) -> list[Column]:
+    """The aggregates ``n``, ``sum1``, ``sum2`` of a fingerprint, for ``agg`` or ``observe``."""
+    names = [col(c) for c in df.columns]
+    # A sum of hashes goes beyond 64 bits; as decimals it holds for 10^19 rows.
+    total = [F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+             for h in (F.xxhash64(*names), F.xxhash64(F.lit(1), *names))]
+    return [F.count(F.lit(1)).alias("n"), total[0].alias("sum1"), total[1].alias("sum2")]
+
+
+def fingerprint(df: DataFrame) -> Fingerprint:
+    row = df.agg(*fingerprint_of(df)).first()
+    return Fingerprint(row["n"], int(row["sum1"]), int(row["sum2"]))
+
+
+def contract_report(df: DataFrame, table: Table, keys_proven: bool = False) -> DataFrame:
+    """One row per check of a table contract: ``check``, ``n_bad``.
+
+    ``keys_proven``: keys are known to be unique, so only unknown ones are looked for and nothing
+    is shuffled by key.
+    """
     require_columns(df, table.names)
     counted = {f"length of {name} over {width}": F.count_if(F.length(col(name)) > width)
                for name, width in table.widths.items()}
+    if keys_proven:
+        some_null = reduce(or_, [col(k).isNull() for k in table.key])
+        counted["unknown key"] = F.count_if(some_null)
     # Column names stay plain numbers: the check texts are data.
     row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counted.values())]) if counted else None
+    if keys_proven:
+        return _as_rows(row, counted)
     keys = key_violations(df.select(*[col(k) for k in table.key]), table.key, "__rows")
     report = keys.agg(F.lit("unique key").alias("check"), F.count(F.lit(1)).alias("n_bad"))
     if row is None:
         return report
-    lengths = row.select(F.inline(F.array(*[
+    return report.union(_as_rows(row, counted))
+
+
+def _as_rows(row: DataFrame, checks: Iterable[str]) -> DataFrame:
+    return row.select(F.inline(F.array(*[
         F.struct(F.lit(text).alias("check"), F.col(f"c{i}").alias("n_bad"))
-        for i, text in enumerate(counted)])))
-    return report.union(lengths)
+        for i, text in enumerate(checks)])))
+
 
+def require_contract(df: DataFrame, table: Table, written: Fingerprint | None = None) -> None:
+    """Raise one error that lists every failed check; collects a row per check only.
 
-def require_contract(df: DataFrame, table: Table) -> None:
-    """Raise one error that lists every failed check; collects a row per check only."""
+    ``written``: the fingerprint that the table had when it was written with unique keys. If it is
+    still the same, keys are not grouped again; if not, that is the error.
+    """
+    if written is not None and (found := fingerprint(df)) != written:
+        raise ContractError(f"{table.name}: the stored rows are not those that were written "
+                            f"({found.n} rows, {written.n} written)")
     wrong = [f"{f.name} is {f.dataType.simpleString()}, not {want.simpleString()}"
              for f in require_columns(df, table.names).select(*table.names).schema
              if f.dataType != (want := table.schema[f.name].dataType)]
     if wrong:
         raise ContractError(f"{table.name}: {'; '.join(wrong)}")
-    bad = contract_report(df, table).where(F.col("n_bad") > 0).collect()
+    bad = contract_report(df, table, written is not None).where(F.col("n_bad") > 0).collect()
     if bad:
         raise ContractError(f"{table.name}: " + "; ".join(
             f"{r['check']} ({r['n_bad']} violations)" for r in bad))
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """The frame with a row count taken by whichever action runs it.
+    """The frame with its fingerprint, of which ``n`` is the row count, taken by whichever action
+    runs it.
 
     Put it last before a write: result tasks report once per partition, so a task
     that is run again after a lost executor is not counted twice.
     """
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+    return df.observe(seen, *fingerprint_of(df)), seen

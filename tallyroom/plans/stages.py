@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import partial
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contracts import Column, Contract, Table
 from ..functions.columns import col, known, nans_to_nulls
 from ..operators.clean import clean, conform, select_renamed
 from ..operators.dedupe import distinct_rows, keep_best
 from ..operators.filters import all_of
+from ..operators.quality import Fingerprint
 from ..session import run_together
-from ..sinks.parquet import write_parquet
+from ..sinks.parquet import write_parquet, write_proven
 from ..sources.delimited import RECORD, SOURCE
 from ..sources.parquet import read_parquet
 
@@ -62,6 +65,11 @@ def load_audit(source: DataFrame, contract: Contract) -> DataFrame:
 
 #: Folders of the load's own records under the root of the stages.
 PARSED, AUDIT, MALFORMED = "audit/parsed", "audit/load", "audit/malformed"
+MANIFEST = "audit/manifest"
+_MANIFEST_ROW = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("n", T.LongType()),
+    T.StructField("sum1", T.DecimalType(38, 0)), T.StructField("sum2", T.DecimalType(38, 0)),
+    T.StructField("keys_proven", T.BooleanType())])
 _COMPLETE = "__complete"
 
 
@@ -143,11 +151,25 @@ def _served_stages(spark: SparkSession, contract: Contract, root: str,
     first = contract.cleaned
     cleaned = read_parquet(spark, folder_of(root, first), first.schema)
 
-    def write(table: Table) -> int:
+    def write(table: Table) -> Fingerprint:
         rows = served_rows(cleaned, contract, table)
         if table.sort:
             rows = rows.sortWithinPartitions(*table.sort)
-        return write_parquet(rows, folder_of(root, table), replace=replace)
+        return write_proven(rows, folder_of(root, table), replace=replace)
 
     written = run_together(spark, [partial(write, t) for t in contract.tables])
-    return dict(zip([t.name for t in contract.tables], written, strict=True))
+    # The first stage holds one row per key; other keys are unique where they are all of the row.
+    proven = [set(contract.key) == set(t.key) or set(t.names) == set(t.key) for t in contract.tables]
+    rows = [(t.name, f.n, Decimal(f.sum1), Decimal(f.sum2), p)
+            for t, f, p in zip(contract.tables, written, proven, strict=True)]
+    (spark.createDataFrame(rows, _MANIFEST_ROW).coalesce(1).write
+     .mode("overwrite" if replace else "errorifexists").parquet(f"{root.rstrip('/')}/{MANIFEST}"))
+    return {t.name: f.n for t, f in zip(contract.tables, written, strict=True)}
+
+
+def manifest(spark: SparkSession, root: str) -> dict[str, tuple[Fingerprint, bool]]:
+    """What ``build_stages`` wrote: each table's fingerprint and whether its keys are known to be
+    unique. Empty for stages without a manifest."""
+    rows = read_parquet(spark, f"{root.rstrip('/')}/{MANIFEST}", _MANIFEST_ROW, "empty")
+    return {r["name"]: (Fingerprint(r["n"], int(r["sum1"]), int(r["sum2"])), r["keys_proven"])
+            for r in rows.collect()}

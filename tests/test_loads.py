@@ -116,3 +116,59 @@ def test_a_common_box_is_cut_and_unknown_values_have_a_place(spark):
     assert edges["region"] == ["same"]
     assert {r[0] for r in df.select(bucket_of(df, "region", edges["region"])).collect()} == {0}
     assert clustered(df.where("false"), ["region", "rating"], 4).count() == 0
+
+
+def test_changed_stages_are_not_published(spark, tmp_path):
+    from tallyroom.errors import ContractError
+    from tallyroom.operators.quality import fingerprint
+    from tallyroom.plans.publish import publish
+    from tallyroom.plans.stages import build_stages, folder_of, manifest
+    from tallyroom.sources.delimited import read_delimited
+    from test_plans import CSV
+
+    (tmp_path / "in.csv").write_text(CSV)
+    root = str(tmp_path / "out")
+    build_stages(spark, read_delimited(spark, str(tmp_path / "in.csv")), PLAYERS, root)
+    known = manifest(spark, root)
+    assert {n: proven for n, (_, proven) in known.items()} == {
+        "master_player_table": True, "player_metadata": True, "club_metadata": True}
+    master = PLAYERS.tables[0]
+    folder = folder_of(root, master)
+    rows = spark.read.parquet(folder)
+    assert fingerprint(rows.repartition(5)) == known[master.name][0]
+    (some,) = glob.glob(f"{folder}/*.parquet")[:1]
+
+    class Nothing:
+        def stage(self, *_):
+            raise AssertionError("staged")
+
+    # A file that is there twice, rows and all.
+    with open(some, "rb") as file, open(f"{folder}/again.parquet", "wb") as copy:
+        copy.write(file.read())
+    with pytest.raises(ContractError, match="not those that were written"):
+        publish(spark, PLAYERS, root, Nothing())
+
+
+def test_pages_by_number(spark, tmp_path):
+    from tallyroom.operators.paging import RANGE, store_pages
+
+    rows = [(i % 7 if i % 11 else None, f"k{i % 50}", i % 3) for i in range(500)] + [(3, "same", 1)] * 60
+    df = spark.createDataFrame(rows, "a int, k string, b int").repartition(5)
+    pages = store_pages(df, ["a", "k"], str(tmp_path / "pages"), 9)
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    for size in (1, 37, 560, 1000):
+        for number in {0, 1, 560 // size // 2, 559 // size, 560 // size + 1}:
+            got = [tuple(r) for r in pages.page(number, size).collect()]
+            assert got == want[number * size:(number + 1) * size]
+    assert pages.rows.columns == ["a", "k", "b", RANGE]
+    none = store_pages(df.where("false"), ["a"], str(tmp_path / "none"), 4)
+    assert none.page(0, 10).count() == 0 and none.directory.count() == 0
+
+
+def test_a_page_reads_its_range_only(spark, tmp_path, capsys):
+    from tallyroom.operators.paging import store_pages
+
+    pages = store_pages(spark.range(10_000), ["id"], str(tmp_path / "pages"), 10)
+    plan = plan_of(pages.page(70, 50), capsys)
+    assert "TakeOrderedAndProject" in plan or "GlobalLimit" in plan
+    assert re.search(r"PartitionFilters: .*__range.* = \d+\)|PartitionFilters: .*__range.* IN \(", plan)
