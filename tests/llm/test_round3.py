@@ -349,3 +349,36 @@ def test_moved_words_keep_the_grid_exact():
         of[w] = mine[0]
         m = np.eye(5)[of]
         assert np.allclose(grid, m.T @ pairs @ m) and class_lm.likelihood(grid) >= before - 1e-6
+
+
+# Search on vectors of any magnitude
+
+@pytest.mark.parametrize("kind", ["huge", "tiny", "outlier", "dense", "lengths"])
+def test_recall_holds_whatever_the_magnitudes(spark, kind):
+    from tallyroom.llm import graph_search
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000 if kind == "dense" else 1000, 64 if kind == "dense" else 16))
+    if kind == "huge":
+        x *= 1e20
+    elif kind == "tiny":
+        x *= 1e-25
+    elif kind == "outlier":
+        x[5] *= 1e6
+    elif kind == "lengths":
+        x *= 10.0 ** rng.uniform(-6, 6, size=(len(x), 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(20, x[20].tolist())] * 3,
+                               "vec_id bigint, embedding array<double>")
+    index = graph_search.build_index(df, shards=1 if kind == "dense" else 2)
+    got = graph_search.search_index(index, df.where("vec_id % 20 = 0"), 1 if kind == "dense" else 2).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    queries = range(0, len(x), 20)
+    assert set(found) == set(queries) and all(len(f) == 20 for f in found.values())
+    hit = 0
+    for q in queries:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert hit / (20 * len(found)) >= 0.95
