@@ -270,6 +270,8 @@ def test_archive_gives_back_every_record(spark, tmp_path):
     said = sorted((r["page_id"] or 99, r["record_type"], r["refers_to"] or 0) for r in got)
     assert said == [(1, "response", 0), (1, "revisit", 1), (2, "response", 0), (3, "revisit", 1),
                     (4, "revisit", 2), (99, "revisit", 1)]
+    names = [x for r in got for x in bytes(r["record"]).split(b"\r\n") if x.startswith(b"WARC-Record-ID")]
+    assert len(set(names)) == len(names)
     for r in got:
         record = bytes(r["record"])
         head, _, block = record.partition(b"\r\n\r\n")
