@@ -64,7 +64,7 @@ SMOOTHING = 0.1
 #: Distinct words a counting task holds before it passes them on.
 COUNTER_WORDS = 1 << 18
 #: Tokens whose pairs a task counts together before it passes them on.
-PAIR_TOKENS = 1 << 19
+PAIR_TOKENS = 1 << 18
 #: Longest word that is one of the known ones.
 KNOWN_BYTES = 64
 #: Rounds end when one adds less than this share of the likelihood gained so far.
@@ -232,6 +232,15 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return of
 
 
+def _change(x: np.ndarray, level: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """x log x of ``x + more`` minus that of ``x``, which is ``level``; most of ``more`` is 0."""
+    x, level, more = np.broadcast_arrays(x, level, more)
+    out = np.zeros(more.shape)
+    at = np.nonzero(more)
+    out[at] = _xlogx((x[at] + more[at]).clip(0)) - level[at]
+    return out
+
+
 def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.ndarray,
           of: np.ndarray, own: np.ndarray) -> np.ndarray:
     """What the likelihood gains when one word alone goes to each class, [word, class].
@@ -251,18 +260,19 @@ def gains(grid: np.ndarray, entries: np.ndarray, times: np.ndarray, first: np.nd
     size = r.sum(1)
     row, col = grid[of], grid.T[of]
     base_row, base_col, base = level[of], level.T[of], np.diag(level)
-    take = f((row - r).clip(0)) - base_row + f((col - l_).clip(0)) - base_col
+    take = _change(row, base_row, -r) + _change(col, base_col, -l_)
     rk, lk, s = r[line, of][:, None], l_[line, of][:, None], own[:, None]
     # Cells where the old and the new class meet are counted by themselves.
     gain = (take.sum(1) - take[line, of])[:, None] - take
-    gain += put - (f(diagonal + r) + f(diagonal + l_) - 2 * base)
-    gain -= f(col + rk) - base_col + f(row + lk) - base_row
+    gain += put - _change(diagonal, base, r) - _change(diagonal, base, l_)
+    gain -= _change(col, base_col, rk) + _change(row, base_row, lk)
     gain += (f((diagonal[of][:, None] - rk - lk + s).clip(0)) - base[of][:, None]
-             + f(diagonal + r + l_ + s) - base
-             + f((row - r + lk - s).clip(0)) - base_row + f((col - l_ + rk - s).clip(0)) - base_col)
+             + _change(diagonal, base, r + l_ + s)
+             + _change(row, base_row, lk - r - s) + _change(col, base_col, rk - l_ - s))
     old = total[of]
+    sizes, same = np.unique(size, return_inverse=True)
     gain -= 2 * ((f((old - size).clip(0)) - f(old))[:, None]
-                 + f(total + size[:, None]) - f(total))
+                 + (f(total + sizes[:, None]) - f(total))[same])
     gain[line, of] = 0
     return gain
 
@@ -373,17 +383,18 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
     (_RARE): hash, unit before * ENDINGS + its own group, unit after; and pairs of rare words (_BOTH)."""
     shared = docs.sparkSession.sparkContext.broadcast(units)
 
-    def counted(line: np.ndarray, names: np.ndarray):
+    def counted(line: np.ndarray, names: np.ndarray, dense: list[np.ndarray]):
+        """Rows of all pairs of a piece, but for those that go to the dense counts."""
         u = shared.value
         a, b = line[:-1], line[1:]
+        big = (a < u.big) & (b < u.big)
+        for sums, code in zip(dense, (u.start[a] * u.big + u.start[b], a[big] * u.big + b[big]),
+                              strict=True):
+            sums += np.bincount(code, minlength=u.big ** 2)
         rare = np.flatnonzero(u.rare(line))
         both = np.flatnonzero(u.rare(a) & u.rare(b))
-        big = (a < u.big) & (b < u.big)
         own, back = a >= u.big, b >= u.big
         found = []
-        for kind, code in ((_START, u.start[a] * u.big + u.start[b]), (_BIG, a[big] * u.big + b[big])):
-            n = np.bincount(code, minlength=u.big ** 2)
-            found.append((kind, [np.flatnonzero(n)], n[n > 0]))
         code, n = np.unique(np.r_[a[own] * (2 * u.count) + b[own],
                                   b[back] * (2 * u.count) + u.count + a[back]], return_counts=True)
         found.append((_OWN, [code], n))
@@ -392,7 +403,11 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
                                        line[rare + 1].astype(np.int32)], np.ones(len(rare), np.int64))))
         found.append((_BOTH, *_merged([names[both], names[both + 1]], np.ones(len(both), np.int64))))
         for kind, columns, n in found:
-            key = columns[0] // (2 * u.count) if kind == _OWN else columns[0]
+            yield from dealt(kind, columns, n)
+
+    def dealt(kind: int, columns: list[np.ndarray], n: np.ndarray):
+        if len(n):
+            key = columns[0] // (2 * shared.value.count) if kind == _OWN else columns[0]
             of = (key % parts).astype(np.uint16 if parts < 1 << 16 else np.int64)
             order = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[order], np.arange(parts + 1))
@@ -405,6 +420,7 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
         u = shared.value
         find = u.of.get
         start, groups = np.array([u.end]), Endings()
+        dense = [np.zeros(u.big ** 2, np.int64) for _ in (_START, _BIG)]
         line, rare, places, length = [start], [], [], 1
 
         def flushed():
@@ -412,7 +428,7 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
             names = np.zeros(len(joined), np.int64)
             joined[at] = [groups[w[-2:]] + u.core for w in rare]
             names[at] = hashes(rare)
-            yield from counted(joined, names)
+            yield from counted(joined, names, dense)
 
         for (texts,) in slices(batches):
             for text in texts:
@@ -428,6 +444,9 @@ def count_links(docs: DataFrame, text_col: str, learns: Column | None, units: Un
                     line, rare, places, length = [start], [], [], 1
         if length > 1:
             yield from flushed()
+        for kind, sums in zip((_START, _BIG), dense, strict=True):
+            at = np.flatnonzero(sums)
+            yield from dealt(kind, [at], sums[at])
 
     def merge(batches):
         last, held, kept = None, 0, []
@@ -484,10 +503,10 @@ def _sides(row: dict, units: Units):
     return owner, np.where(back, other - units.count, other), back, n
 
 
-def count_grid(own: DataFrame, units: Units, of: np.ndarray, k: int, parts: int,
-               rare: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """The grid of all pairs with a known word that is no big unit, and the classes such words
-    give each big unit as neighbours. ``rare``: whether groups of rare words count."""
+def count_grid(own: DataFrame, units: Units, of: np.ndarray, k: int,
+               parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grid of all pairs with a known word that is no big unit, the same without groups of rare
+    words, and the classes that such words give each big unit as neighbours."""
     shared = own.sparkSession.sparkContext.broadcast((units, of))
     cells = k * k
 
@@ -495,25 +514,24 @@ def count_grid(own: DataFrame, units: Units, of: np.ndarray, k: int, parts: int,
         import pyarrow as pa
 
         u, of = shared.value
-        total = np.zeros(cells + u.big * 2 * k, np.int64)
+        total = np.zeros(2 * cells + u.big * 2 * k, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
                 owner, other, back, n = _sides(row, u)
                 mine, theirs = of[owner], of[other]
                 # Two words with lists of their own stand in both; the first one's counts.
                 once = ~back | (other < u.big)
-                if not rare:
-                    once &= ~u.rare(other)
-                cell = np.where(back, theirs * k + mine, mine * k + theirs)
-                total[:cells] += np.bincount(cell[once], n[once], cells).astype(np.int64)
+                cell = np.where(back, theirs * k + mine, mine * k + theirs) + cells * u.rare(other)
+                total[:2 * cells] += np.bincount(cell[once], n[once], 2 * cells).astype(np.int64)
                 big = other < u.big
                 at = other[big] * (2 * k) + np.where(back[big], 0, k) + mine[big]
-                total[cells:] += np.bincount(at, n[big], u.big * 2 * k).astype(np.int64)
+                total[2 * cells:] += np.bincount(at, n[big], u.big * 2 * k).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    sums = _summed(own.mapInArrow(run, "sums binary"), cells + units.big * 2 * k, parts)
-    return (sums[:cells].reshape(k, k).astype(float),
-            sums[cells:].reshape(units.big, 2 * k).astype(float))
+    sums = _summed(own.mapInArrow(run, "sums binary"), 2 * cells + units.big * 2 * k, parts).astype(float)
+    known = sums[:cells].reshape(k, k)
+    return (known + sums[cells:2 * cells].reshape(k, k), known,
+            sums[2 * cells:].reshape(units.big, 2 * k))
 
 
 def move_known(own: DataFrame, units: Units, of: np.ndarray, grid: np.ndarray) -> np.ndarray:
@@ -547,32 +565,43 @@ def move_known(own: DataFrame, units: Units, of: np.ndarray, grid: np.ndarray) -
     return out
 
 
+@dataclass
+class Grids:
+    """The classes of all units, the grid they give, and that of the pairs of known words only."""
+
+    of: np.ndarray
+    whole: np.ndarray
+    known: np.ndarray
+
+
 def exchange_known(own: DataFrame, pairs: np.ndarray, units: Units, of: np.ndarray, k: int,
-                   parts: int, least_share: float = LEAST_SHARE) -> tuple[np.ndarray, list[float]]:
+                   parts: int, least_share: float = LEAST_SHARE) -> tuple[Grids, list[float]]:
     """Rounds over all units until one adds less than ``least_share`` of the gain so far; the classes
     and the likelihood before each round. A round that loses is not kept."""
     reached: list[float] = []
-    before = of
+    kept = None
+    live = np.flatnonzero(~units.rare(np.arange(units.big)))
     while True:
-        grid, outer = count_grid(own, units, of, k, parts)
-        member = np.zeros((units.big, k))
-        member[np.arange(units.big), of[:units.big]] = 1
-        right = pairs @ member
-        grid += member.T @ right
+        grid, known, outer = count_grid(own, units, of, k, parts)
+        grid += _grid_of(pairs, of, k)
+        known += _grid_of(pairs[np.ix_(live, live)], of[live], k)
         reached.append(likelihood(grid))
-        if len(reached) > 1:
+        if kept is not None:
             gain = reached[-1] - reached[-2]
             if gain <= 0:
-                return before, reached
+                return kept, reached
             if gain < least_share * (reached[-1] - reached[0]):
-                return of, reached
-        before, of = of, of.copy()
+                return Grids(of, grid, known), reached
+        kept, of = Grids(of, grid.copy(), known), of.copy()
+        member = np.zeros((units.big, k))
+        member[np.arange(units.big), of[:units.big]] = 1
         mine = of[:units.big].copy()
-        _move_until_none(pairs, right + outer[:, :k], pairs.T @ member + outer[:, k:], mine, grid)
+        _move_until_none(pairs, pairs @ member + outer[:, :k], pairs.T @ member + outer[:, k:], mine,
+                         grid)
         of[:units.big] = mine
         of = move_known(own, units, of, grid)
-        if (of == before).all():
-            return of, reached
+        if (of == kept.of).all():
+            return kept, reached
 
 
 def move_rare(rare: DataFrame, units: Units, of: np.ndarray, grid: np.ndarray) -> DataFrame:
@@ -643,15 +672,11 @@ def learn(docs: DataFrame, text_col: str = "text", learns: Column | None = None,
         of = exchange(_matrix(links, _START, units.big), classes)
         k = int(of.max()) + 1
         pairs = _matrix(links, _BIG, units.big)
-        of, _ = exchange_known(own, pairs, units, of[units.start], k, parts, least_share)
-        grid, _ = count_grid(own, units, of, k, parts)
-        grid += _grid_of(pairs, of, k)
-        moved = written(move_rare(rare, units, of, grid), "lm-rare")
+        grids, _ = exchange_known(own, pairs, units, of[units.start], k, parts, least_share)
+        of = grids.of
+        moved = written(move_rare(rare, units, of, grids.whole), "lm-rare")
         # The grid of the model: known words, then rare words with known ones, then with rare ones.
-        grid, _ = count_grid(own, units, of, k, parts, rare=False)
-        live = np.flatnonzero(~units.rare(np.arange(units.big)))
-        grid += _grid_of(pairs[np.ix_(live, live)], of[live], k)
-        grid += _summed(moved.where("sums is not null").select("sums"), k * k,
+        grid = grids.known + _summed(moved.where("sums is not null").select("sums"), k * k,
                         parts).reshape(k, k)
         classes_of = moved.where("unit is not null").select("unit", "cls")
         for r in _rare_pairs(links, classes_of).collect():
