@@ -292,16 +292,19 @@ def move_words(grid: np.ndarray, near: np.ndarray, of: np.ndarray, own: np.ndarr
         first = np.searchsorted(line, np.arange(len(of[part])))
         gain = gains(grid, entries, near[part][line, entries], first, of[part], own[part])
         want = gain.argmax(1)
-        for i in np.flatnonzero(gain.max(1) > least):
-            w, old, new = lo + i, of[lo + i], want[i]
-            for sign, c in ((-1, old), (1, new)):
-                if sign > 0 and own[w]:
-                    near[w, [old, k + old]] -= own[w]
-                    near[w, [new, k + new]] += own[w]
-                grid[c] += sign * near[w, :k]
-                grid[:, c] += sign * near[w, k:]
-                grid[c, c] -= sign * own[w]
-            of[w] = new
+        at = np.flatnonzero(gain.max(1) > least)
+        w, line = lo + at, np.arange(len(at))
+        for sign, c in ((-1, of[w]), (1, want[at])):
+            if sign > 0 and own[w].any():
+                # A word that follows itself takes itself along.
+                for side in (0, k):
+                    near[w, side + of[w]] -= own[w]
+                    near[w, side + c] += own[w]
+            member = np.zeros((len(at), k))
+            member[line, c] = sign
+            grid += member.T @ near[w, :k] + near[w, k:].T @ member
+            grid[np.diag_indices(k)] -= own[w] @ member
+        of[w] = want[at]
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
