@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import Column, Table
 from ..errors import MissingColumnsError
+from ..operators.aliases import place_by_pattern
 from ..operators.clean import require_columns
 from ..operators.filters import filter_rows
 from ..operators.layout import clustered
@@ -16,10 +17,11 @@ from ..plans.quarantine import quarantine
 from ..plans.stages import build_stages, folder_of, manifest
 from ..session import scratch_dir
 from ..sinks.parquet import write_parquet
+from ..sinks.versions import VersionedSink
 from ..sources.delimited import malformed_rows, read_with_records
 from ..sources.parquet import read_parquet
 from .registry import query, table
-from .storage import LINES
+from .storage import LINES, ORDER_COLUMNS, fresh_names
 
 #: What the columns of ``loaded_orders`` must be.
 LOADED = Table("orders_loaded", "", (
@@ -196,3 +198,90 @@ def stage_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         out.append((t.name, known[t.name][0].n, fingerprint(rows) == known[t.name][0],
                     fewer.n if fewer == known[t.name][0] else 0))
     return spark.createDataFrame(out, "stage string, n bigint, unchanged boolean, n_after_loss bigint")
+
+
+class _Killed(BaseException):
+    """The end of a driver, which no handler sees."""
+
+
+class _DiesBetweenViews(VersionedSink):
+    """A driver that ends when the first view shows its new version."""
+
+    def run(self, statement: str) -> None:
+        super().run(statement)
+        raise _Killed
+
+
+@query("""
+WITH loads AS (
+    SELECT 'first' AS load, * FROM orders UNION ALL SELECT 'second', * FROM orders WHERE o_orderstatus = 'F'),
+shown AS (SELECT * FROM (VALUES ('first', 'orders', 'first'), ('first', 'prices', 'first'),
+    ('killed', 'orders', 'second'), ('killed', 'prices', 'first'),
+    ('recovered', 'orders', 'second'), ('recovered', 'prices', 'second')) AS t(moment, served, load))
+SELECT moment, served, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum, 'finished' AS recovery
+FROM shown JOIN loads USING (load) GROUP BY moment, served
+""")
+def publish_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two served tables after a load, after a second one that ends between its views, and recovered."""
+    columns = {"orders": ORDER_COLUMNS, "prices": [c for c in ORDER_COLUMNS if c.name in (
+        "o_orderkey", "o_totalprice")]}
+    tables = fresh_names(tuple(Table(f"{name}_switched", "", tuple(cs), ("o_orderkey",))
+                               for name, cs in columns.items()))
+    journal, root = scratch_dir(spark, "journal"), scratch_dir(spark, "versions")
+    rows = table(spark, sf_dir, "orders")
+    moments: list[DataFrame] = []
+
+    def look(moment: str, recovery: str = "finished") -> None:
+        for name, t in zip(columns, tables, strict=True):
+            moments.append(spark.table(sink.name_of(t)).agg(
+                F.lit(moment).alias("moment"), F.lit(name).alias("served"),
+                F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"),
+                F.lit(recovery).alias("recovery")))
+
+    def load(kind: type[VersionedSink], df: DataFrame) -> None:
+        loader = kind(spark, journal, root)
+        for t in tables:
+            loader.stage(df.select(*t.names), t, "")
+        loader.commit()
+
+    sink = VersionedSink(spark, journal, root)
+    load(VersionedSink, rows)
+    look("first")
+    try:
+        load(_DiesBetweenViews, rows.where("o_orderstatus = 'F'"))
+    except _Killed:
+        look("killed")
+    look("recovered", sink.recover())
+    for t in tables:
+        sink.remove(t)
+    out = moments[0]
+    for part in moments[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+# Names as people might write them: by the remainder of the customer's key, from the name NATION_<i>.
+_NAME_FORMS = ("NATION_{}", "  nation-{} ", "NTION_{}", "Republic of Nation {}", "Nat. {}", "{}, NATIONS",
+               "Atlantis {}", "Nation")
+
+
+@query(f"""
+WITH named AS (
+    SELECT n_nationkey AS k, c_custkey % {len(_NAME_FORMS)} AS form, replace(n_name, 'NATION_', '') AS i
+    FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT CASE form {' '.join(f"WHEN {f} THEN replace('{text}', '{{}}', i)" for f, text in enumerate(_NAME_FORMS))}
+       END AS name, CASE WHEN form < 6 THEN k END AS n_nationkey, count(*) AS n
+FROM named GROUP BY 1, 2
+""")
+def region_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by the name of their nation as written, and the nation it is found to be."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("pattern"))
+    number = F.replace("pattern", F.lit("NATION_"), F.lit(""))
+    form = F.col("c_custkey") % len(_NAME_FORMS)
+    name = F.lit(None).cast("string")
+    for f, text in enumerate(_NAME_FORMS):
+        name = F.when(form == f, F.replace(F.lit(text), F.lit("{}"), number)).otherwise(name)
+    counts = (table(spark, sf_dir, "customer")
+              .join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+              .groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")))
+    return place_by_pattern(counts, nation, "name", "n_nationkey")

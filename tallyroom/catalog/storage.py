@@ -131,7 +131,7 @@ def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, out, ORDER_COLUMNS, recursiveFileLookup="true")
 
 
-def _fresh_names(tables: tuple[Table, ...]) -> tuple[Table, ...]:
+def fresh_names(tables: tuple[Table, ...]) -> tuple[Table, ...]:
     """The tables under names no other run uses in a shared catalogue."""
     run = uuid.uuid4().hex[:12]
     return tuple(replace(t, name=f"{t.name}_{run}") for t in tables)
@@ -149,7 +149,7 @@ def _published(spark: SparkSession, sink: TableSink, published: Table,
 @query(_ORDER_SQL + " WHERE o_orderstatus = 'F'")
 def target_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load replaces the first, rows and definition."""
-    (target,) = _fresh_names((Table("orders_served", "", tuple(ORDER_COLUMNS), ("o_orderkey",)),))
+    (target,) = fresh_names((Table("orders_served", "", tuple(ORDER_COLUMNS), ("o_orderkey",)),))
     sink = TableSink(spark, scratch_dir(spark, "tables"))
     rows = table(spark, sf_dir, "orders").select(*_ORDER_NAMES)
     for load in (rows, rows.where("o_orderstatus = 'F'")):
@@ -174,7 +174,7 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stage_and_publish(spark: SparkSession, source: DataFrame, contract: Contract,
                        copies: str | None = None) -> DataFrame:
-    contract = replace(contract, tables=_fresh_names(contract.tables))
+    contract = replace(contract, tables=fresh_names(contract.tables))
     root = scratch_dir(spark, "stages")
     build_stages(spark, source, contract, root)
     sink = TableSink(spark, copies)

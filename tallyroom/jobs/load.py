@@ -11,6 +11,7 @@ from tallyroom.plans.publish import publish
 from tallyroom.session import get_session, input_bytes, run_job, size_tasks
 from tallyroom.sinks.jdbc import JdbcSink, in_one_transaction
 from tallyroom.sinks.tables import TableSink
+from tallyroom.sinks.versions import VersionedSink
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -23,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     target.add_argument("--jdbc-url", help="database; user and password come from the "
                         "environment variables JDBC_USER and JDBC_PASSWORD")
     parser.add_argument("--database", default="default", help="database of the Spark tables")
+    parser.add_argument("--journal", help="folder of the journal of Spark tables served as views over "
+                        "versions, which switch without a gap and recover after a dead driver")
     parser.add_argument("--jdbc-driver", help="driver class")
     parser.add_argument("--client", help="Python database module, such as psycopg2, to create "
                         "the tables with their keys and swap them in at the end; its connection "
@@ -32,9 +35,13 @@ def main(argv: list[str] | None = None) -> None:
                         help="most database connections open at a time")
     parser.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
     args = parser.parse_args(argv)
+    if args.journal and args.jdbc_url:
+        parser.error("--journal is for Spark tables")
     spark = get_session("tallyroom-load", jars=args.jars)
     size_tasks(spark, input_bytes(spark, args.input))
-    if args.tables_root or args.in_place:
+    if args.journal and (args.tables_root or args.in_place):
+        sink = VersionedSink(spark, args.journal, args.tables_root, args.database)
+    elif args.tables_root or args.in_place:
         sink = TableSink(spark, args.tables_root, args.database)
     else:
         properties = {"user": os.environ["JDBC_USER"], "password": os.environ["JDBC_PASSWORD"]}

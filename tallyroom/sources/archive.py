@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import ContractError
+from ..session import scratch_dir
 
 _MEMBERS = "archive string, member string, bytes bigint, safe boolean"
 _LINES = "archive string, member string, line_no bigint, line string"
 _MANIFEST = "archive string, member string, target string, bytes bigint"
+#: A member weighs at least this much, for opening it costs something too.
+OPEN_BYTES = 4096
 #: What became of a member, as the manifest says.
 WRITTEN, UNSAFE = "written", "unsafe"
 
@@ -41,9 +44,12 @@ def archive_lines(spark: SparkSession, path: str | list[str], encoding: str = "u
     """All lines of all safe members: ``archive``, ``member``, ``line_no``, ``line``.
 
     A byte that the encoding does not know fails the read; with ``errors="replace"`` it
-    becomes U+FFFD. ``archive_members`` tells which members are not safe.
+    becomes U+FFFD. ``archive_members`` tells which members are not safe. Their list is
+    stored first, so every archive is opened once for it.
     """
-    members = archive_members(spark, path).where("safe")
+    listed = scratch_dir(spark, "members")
+    archive_members(spark, path).write.parquet(listed)
+    members = spark.read.parquet(listed).where("safe")
     return dealt(members, parallelism).select("archive", "member").mapInArrow(
         _read_lines(encoding, errors), _LINES)
 
@@ -94,13 +100,36 @@ def read_manifest(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def dealt(members: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """The members dealt to tasks one by one, largest first: no task holds two members while
-    another holds none. Numbering them sorts the list in one task: a short row a member, no content.
+    """The members dealt to tasks by bytes: no task holds more than twice the mean, or it holds one member.
+
+    A member of at least the mean share has a task of its own; there are at most as many as tasks. The
+    others are cut into ranges of equal weight by running sums in two levels, inside hash buckets and
+    over the sums of the buckets, one for each task: no window spans all members. ``members`` is read
+    several times, so it should be stored.
     """
     n = parallelism or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_size = Window.orderBy(F.col("bytes").desc(), "archive", "member")
-    numbered = members.withColumn("place", F.row_number().over(by_size))
-    return numbered.repartitionById(n, (F.col("place") % n).cast("int")).drop("place")
+    weighed = members.withColumn("__w", F.greatest("bytes", F.lit(OPEN_BYTES)))
+    total = weighed.agg(F.sum("__w")).first()[0] or 0
+    is_large = F.col("__w") * n >= total
+    n_large, rest = weighed.agg(F.count_if(is_large),
+                                F.coalesce(F.sum(F.when(~is_large, F.col("__w"))), F.lit(0))).first()
+    bins = max(1, n - n_large)
+    numbered = Window.orderBy(F.col("__w").desc(), "archive", "member")
+    large = weighed.where(is_large).withColumn("__task", F.row_number().over(numbered) - 1)
+    small = weighed.where(~is_large).withColumn(
+        "__bucket", F.pmod(F.xxhash64("archive", "member"), F.lit(n)))
+    over = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = small.groupBy("__bucket").agg(F.sum("__w").alias("__sum")).select(
+        "__bucket", F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__before"))
+    inside = (Window.partitionBy("__bucket").orderBy("archive", "member")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    reached = F.col("__before") + F.coalesce(F.sum("__w").over(inside), F.lit(0))
+    # In doubles: bytes times tasks may not fit 64 bits. The last bin takes what rounding leaves.
+    place = F.least(F.floor(reached.cast("double") * bins / max(1, rest)), F.lit(bins - 1))
+    packed = small.join(before, "__bucket").withColumn("__task", F.lit(min(n_large, n - 1)) + place)
+    columns = [*members.columns, F.col("__task").cast("int").alias("__task")]
+    return (large.select(*columns).unionByName(packed.select(*columns))
+            .repartitionById(n, "__task").drop("__task"))
 
 
 def _zip_opener() -> Callable:

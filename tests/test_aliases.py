@@ -1,0 +1,108 @@
+"""Names placed by patterns."""
+
+import itertools
+import random
+
+import pytest
+
+from conftest import plan_of
+from tallyroom.operators.aliases import place_by_pattern
+
+PATTERNS = [("GB", "United Kingdom"), ("GB", "UK"), ("US", "United States"), ("US", "USA"), ("US", "U.S."),
+            ("KR", "Korea Republic"), ("KP", "Korea DPR"), ("SD", "Sudan"), ("SS", "South Sudan"),
+            ("IR", "Iran"), ("IQ", "Iraq"), ("DE", "Germany"), ("FR", "France"), ("CI", "Côte d'Ivoire"),
+            ("XX", None), (None, "Nowhere"), ("YY", " - ")]
+
+
+def found(spark, names, patterns=PATTERNS):
+    counts = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, n int")
+    rules = spark.createDataFrame(patterns, "code string, pattern string")
+    return {r["n"]: r["code"] for r in place_by_pattern(counts, rules, "name", "code").collect()}
+
+
+CASES = {
+    "United Kingdom": "GB", "united  KINGDOM!": "GB", "Untied Kingdom": None, "Unted Kingdom": "GB",
+    "Uni. King.": "GB", "U.K.": "GB", "UK": "GB", "United States": "US", "U. S. A.": "US", "United": None,
+    "Republic of Korea": "KR", "Korea, Republic of": "KR", "Korea": None, "Sudan": "SD", "South Sudan": "SS",
+    "Sudan (South)": "SS", "Iran": "IR", "Iraq": "IQ", "Irax": None, "Ira": None, "Germny": "DE",
+    "Ger": "DE", "Ge": None, "Iran Iraq": None, "France": "FR", "Frances": "FR", "Fransse": None,
+    "CÔTE D'IVOIRE": "CI", "": None, None: None, "Nowhere": None, "Atlantis": None, "-": None}
+
+
+def test_names_are_placed_by_the_best_pattern(spark):
+    got = found(spark, list(CASES))
+    assert {name: got[i] for i, name in enumerate(CASES)} == CASES
+
+
+def test_repeated_names_and_columns_stay(spark):
+    counts = spark.createDataFrame([("Iran", 1, "x"), ("Iran", 1, "x"), (None, 2, "y")],
+                                   "name string, n int, `a.b` string")
+    rules = spark.createDataFrame(PATTERNS, "code string, pattern string")
+    got = place_by_pattern(counts, rules, "name", "code")
+    assert got.columns == ["name", "n", "a.b", "code"]
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("Iran", 1, "x", "IR"), ("Iran", 1, "x", "IR"), (None, 2, "y", None)]
+    assert place_by_pattern(counts.limit(0), rules, "name", "code").count() == 0
+    assert {r["code"] for r in place_by_pattern(counts, rules.limit(0), "name", "code").collect()} == {None}
+
+
+def slips(a, b):
+    """Whether one letter left out, put in or changed turns a into b."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    return any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def brute(name, patterns):
+    def cost(w, p):
+        if w == p:
+            return 0
+        if len(w) >= 3 and p.startswith(w) or min(len(w), len(p)) >= 5 and slips(w, p):
+            return 1
+        return 99
+
+    ranked = []
+    for key, pattern in patterns:
+        rule = set(pattern.split())
+        total = sum(min(cost(w, p) for w in name.split()) for p in rule)
+        if total < 99:
+            ranked.append(((-len(rule), total), key))
+    best = {key for rank, key in ranked if rank == min(ranked)[0]}
+    return best.pop() if len(best) == 1 else None
+
+
+def test_the_index_loses_no_pair_of_a_product(spark):
+    """Against every pattern for every name, on words that are close to each other."""
+    draw = random.Random(5)
+    words = ["".join(p) for p in itertools.islice(
+        (draw.choices("abcd", k=draw.randint(2, 8)) for _ in itertools.count()), 60)]
+    patterns = [(f"k{i % 40}", " ".join(draw.sample(words, draw.randint(1, 3)))) for i in range(60)]
+
+    def damaged(w):
+        at, kind = draw.randrange(len(w)), draw.randrange(5)
+        return (w, w[:at] + w[at + 1:] or w, w[:at] + draw.choice("abcd") + w[at + 1:],
+                w[:at] + draw.choice("abcd") + w[at:], w[:3])[kind]
+
+    names = [" ".join(damaged(w) for w in [*draw.choice(patterns)[1].split(), *draw.sample(words, draw.randint(0, 2))])
+             for _ in range(300)]
+    # Single letters next to each other would be read as initials.
+    names = [n for n in names if all(len(w) > 1 for w in n.split())]
+    got = found(spark, names, patterns)
+    expected = {i: brute(n, patterns) for i, n in enumerate(names)}
+    assert got == expected and sum(v is not None for v in expected.values()) > 100
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_names_and_patterns_are_not_multiplied_out(spark, capsys, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        counts = spark.range(10).selectExpr("cast(id as string) as name", "id as n")
+        rules = spark.range(10).selectExpr("id as code", "cast(id as string) as pattern")
+        plan = plan_of(place_by_pattern(counts, rules, "name", "code"), capsys)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

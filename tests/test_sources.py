@@ -177,3 +177,20 @@ def test_members_are_dealt_one_by_one(spark, members):
         F.spark_partition_id().alias("task")).count().collect()]
     assert sum(per_task) == members and len(per_task) == min(members, 6)
     assert max(per_task) - min(per_task) <= 1
+
+
+def test_members_of_skewed_sizes_are_packed_by_bytes(spark):
+    """10,000 members: no task holds twice the mean, or it holds one member."""
+    rows = [(f"z{i % 7}", f"m{i}", 5000 + (10**9 // (i + 1) if i % 3 == 0 else 0)) for i in range(10_000)]
+    listed = spark.createDataFrame(rows, "archive string, member string, bytes bigint").repartition(5)
+    packed = dealt(listed, 16)
+    tasks = packed.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).collect()
+    mean = sum(r[2] for r in rows) / 16
+    assert sum(t["n"] for t in tasks) == 10_000 and packed.distinct().count() == 10_000
+    assert max(t["n"] for t in tasks) > 1 and any(t["n"] == 1 for t in tasks)
+    assert all(t["bytes"] < 2 * mean or t["n"] == 1 for t in tasks)
+    assert dealt(listed.limit(0), 4).count() == 0
+    empty = listed.withColumn("bytes", F.lit(0).cast("bigint"))
+    counts = [r["count"] for r in dealt(empty, 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 16 and max(counts) <= 626
