@@ -13,6 +13,11 @@ a set of states (no backtracking), so the time is words times live states.
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased: digits,
 letters and all characters beyond ASCII; punctuation only separates.
 
+Whole notices are templates from the grant to the end of the disclaimer: a text that holds the first
+sentence alone, or changes a word of the rest, is not accepted. Copyright lines, names of holders and
+list marks are regions. Shorter templates are the sentences by which a text refers to a licence. Of places
+of one template that lie inside each other, the outermost is reported.
+
 Beside the templates the scan reports the base phrases: each place where the words
 of a phrase stand consecutively. Score: the share of the text's words that stand in an
 accepted place or phrase, 0 for a text without words.
@@ -40,16 +45,51 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Wording of licence notices, with their optional and replaceable regions.
+# Wording of licence notices, with their optional and replaceable regions. Whole notices
+# (grant, conditions, disclaimer) first, then the sentences by which texts refer to a licence.
+_BSD_GRANT = (
+    "[[copyright {{holder:20}}]] redistribution and use in source and binary forms with or without "
+    "modification are permitted provided that the following conditions are met "
+    "[[1]] [[a]] redistributions of source code must retain the above copyright notice this list of "
+    "conditions and the following disclaimer "
+    "[[2]] [[b]] redistributions in binary form must reproduce the above copyright notice this list of "
+    "conditions and the following disclaimer in the documentation and or other materials provided "
+    "with the distribution ")
+_BSD_NAMES = (
+    "[[3]] [[c]] neither the name of {{holder:12}} nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission ")
+_BSD_DISCLAIMER = (
+    "this software is provided by {{party:12}} as is and any express or implied warranties including "
+    "but not limited to the implied warranties of merchantability and fitness for a particular purpose "
+    "are disclaimed in no event shall {{party:12}} be liable for any direct indirect incidental "
+    "special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however "
+    "caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised of "
+    "the possibility of such damage")
 TEMPLATES = {
     "mit": [
+        "[[mit license]] [[copyright {{holder:20}}]] permission is hereby granted free of charge to any "
+        "person obtaining a copy of this software and associated documentation files the software to "
+        "deal in the software without restriction including without limitation the rights to use copy "
+        "modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice [[including the next paragraph]] shall be "
+        "included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but "
+        "not limited to the warranties of merchantability fitness for a particular purpose and "
+        "[[non infringement]] [[noninfringement]] in no event shall {{party:8}} be liable for any claim "
+        "damages or other liability whether in an action of contract tort or otherwise arising from out "
+        "of or in connection with the software or the use or other dealings in the software",
         "[[released]] [[licensed]] [[distributed]] under the [[terms of the]] mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this "
-        "software and associated documentation files the software to deal in the software "
-        "without restriction including without limitation the rights to use copy modify merge "
-        "publish distribute sublicense and or sell copies of the software",
     ],
     "apache-2": [
+        "[[copyright {{holder:20}}]] licensed under the apache license version 2 0 the license you may not "
+        "use this {{object:2}} except in compliance with the license you may obtain a copy of the license "
+        "at [[http]] [[https]] www apache org licenses license 2 0 unless required by applicable law or "
+        "agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license for the "
+        "specific language governing permissions and limitations under the license",
         "licensed under the apache license version 2 [[0]] [[the license]]",
         "you may not use this {{object:2}} except in compliance with the license "
         "you may obtain a copy of the license at http www apache org licenses license 2 0",
@@ -57,23 +97,36 @@ TEMPLATES = {
         "you may obtain a copy of the license at https www apache org licenses license 2 0",
     ],
     "gpl": [
+        "free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] "
+        "[[affero]] general public license as published by the free software foundation either "
+        "version {{version:2}} of the license or at your option any later version {{program:4}} is "
+        "distributed in the hope that it will be useful but without any warranty without even the "
+        "implied warranty of merchantability or fitness for a particular purpose see the gnu [[lesser]] "
+        "[[affero]] general public license for more details you should have received a copy of the gnu "
+        "[[lesser]] [[affero]] general public license along with {{program:4}} if not "
+        "[[see [[http]] [[https]] [[www]] gnu org licenses]] [[write to the free software foundation]]",
         "licensed under the gnu [[lesser]] general public license [[as published by the free "
         "software foundation]] [[either]] version {{version:1}} [[of the license]] "
         "[[or at your option any later version]]",
         "under the terms of the gnu [[lesser]] general public license [[as published by the "
         "free software foundation]]",
     ],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are "
-        "permitted provided that the following conditions are met",
-    ],
+    "bsd-2": [_BSD_GRANT + _BSD_DISCLAIMER],
+    "bsd-3": [_BSD_GRANT + _BSD_NAMES + _BSD_DISCLAIMER],
     "isc": [
-        "permission to use copy modify and [[or]] distribute this software for any purpose with "
-        "or without fee is hereby granted provided that the above copyright notice and this "
-        "permission notice appear in all copies",
+        "[[isc license]] [[copyright {{holder:20}}]] permission to use copy modify and [[or]] distribute "
+        "this software for any purpose with or without fee is hereby granted provided that the above "
+        "copyright notice and this permission notice appear in all copies the software is provided as "
+        "is and {{author:8}} disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall {{author:8}} be liable for any "
+        "special direct indirect or consequential damages or any damages whatsoever resulting from "
+        "loss of use data or profits whether in an action of contract negligence or other tortious "
+        "action arising out of or in connection with the use or performance of this software",
     ],
     "mpl-2": [
-        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of "
+        "the mpl was not distributed with this file you can obtain one at [[http]] [[https]] [[www]] "
+        "mozilla org mpl 2 0",
     ],
     "cc-by-nc": [
         "licensed under [[a]] [[the]] cc by nc [[sa]] [[nd]] {{version:2}}",
@@ -211,6 +264,7 @@ class Scanner:
         found: list[tuple[int, int, str]] = []
         starts = self.by_word.keys() | self.by_phrase.keys()
         if not starts.isdisjoint(words):
+            reached: dict[int, int] = {}
             for i, word in enumerate(words):
                 if word not in starts:
                     continue
@@ -218,7 +272,10 @@ class Scanner:
                     if tuple(words[i:i + len(phrase)]) == phrase:
                         base.append((i, i + len(phrase), label))
                 for automaton, state in self.by_word.get(word, ()):
-                    if end := self.accepted(words, i, automaton, state):
+                    end = self.accepted(words, i, automaton, state)
+                    # Places are met by their start, so what ends no later lies inside.
+                    if end > reached.get(id(automaton), 0):
+                        reached[id(automaton)] = end
                         found.append((i, end, automaton.label))
         return len(words), base, found
 

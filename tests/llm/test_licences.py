@@ -1,0 +1,174 @@
+"""Licence notices as wholes, and the automata against plain matching of every range of words."""
+
+import random
+import re
+
+import pytest
+
+from conftest import SF_DIR
+from tallyroom.llm import license_scan, queries
+
+MIT = """MIT License
+
+Copyright (c) 2021-2024 Jane Doe, Example & Co.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including
+without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE."""
+CONDITIONS = """Copyright 2020 The Example Authors. All rights reserved.
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.
+"""
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE."""
+ISC = """Copyright (c) 2019, John Doe <j@example.org>
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+APACHE = """Copyright 2022 Example
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is
+distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the
+License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
+WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+General Public License for more details. You should have received a copy of the GNU General Public License
+along with this program. If not, see <https://www.gnu.org/licenses/>."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+NOTICES = {"mit": MIT, "bsd-2": CONDITIONS + DISCLAIMER, "bsd-3": CONDITIONS + NAMES + DISCLAIMER, "isc": ISC,
+           "apache-2": APACHE, "gpl": GPL, "mpl-2": MPL}
+
+
+def places(text):
+    return license_scan.Scanner().scan(text.encode())[2]
+
+
+@pytest.mark.parametrize("label", NOTICES)
+def test_a_whole_notice_is_accepted_in_one_place(label):
+    words = len(license_scan.Scanner.words(NOTICES[label].encode()))
+    wide = max(places(NOTICES[label]), key=lambda p: p[1] - p[0])
+    assert {p[2] for p in places(NOTICES[label])} == {label}
+    # The header of the GPL begins with the name of the program, which may be anything.
+    assert wide == (3 if label == "gpl" else 0, words, label)
+    inside = places(f"before it {NOTICES[label]} and after it")
+    assert (wide[0] + 2, wide[1] + 2, label) in inside
+
+
+@pytest.mark.parametrize("label", ["mit", "bsd-2", "bsd-3", "isc", "mpl-2"])
+def test_changed_or_cut_wording_is_not_accepted(label):
+    text = NOTICES[label]
+    words = text.split()
+    half = " ".join(words[:len(words) // 2])
+    changed = re.sub(r"(?i)\b(without warranty|any express|all implied|was not distributed)\b", "some", text)
+    assert changed != text
+    assert not any(p[1] - p[0] > 8 for p in places(half) + places(changed) + places(" ".join(words[:-4])))
+    assert label not in {p[2] for p in places(half) + places(changed)}
+
+
+def matches(template, words):
+    """Whether a template accepts exactly these words, by a regular expression."""
+    parts = []
+    for token in re.findall(r"\[\[|\]\]|\{\{\w+:\d+\}\}|\w+", template):
+        if token.startswith("{{"):
+            parts.append(r"(?:\w+ ){0,%s}" % token[2:-2].split(":")[1])
+        else:
+            parts.append({"[[": "(?:", "]]": ")?"}.get(token, token + " "))
+    return re.fullmatch("".join(parts), "".join(w + " " for w in words)) is not None
+
+
+def brute(template, words):
+    """The longest place of every start, without those inside another."""
+    found, reached = [], 0
+    for i in range(len(words)):
+        end = max((j for j in range(i + 1, len(words) + 1) if matches(template, words[i:j])), default=0)
+        if end > reached:
+            found.append((i, end, "t"))
+            reached = end
+    return found
+
+
+def random_template(draw, depth=0):
+    items = []
+    for _ in range(draw.randint(1, 4)):
+        kind = draw.random()
+        if kind < 0.2 and depth < 2:
+            items.append(f"[[{random_template(draw, depth + 1)}]]")
+        elif kind < 0.35 and items:
+            items.append("{{x:%d}}" % draw.randint(1, 3))
+        else:
+            items.append(draw.choice("abc"))
+    return " ".join(items)
+
+
+def test_automata_against_every_range_of_words():
+    draw, hits = random.Random(11), 0
+    for _ in range(800):
+        template = f"{draw.choice('abc')} {random_template(draw)}"
+        scanner = license_scan.Scanner({"t": [template]}, {})
+        for _ in range(5):
+            words = draw.choices("abcd", k=draw.randint(0, 14))
+            expected = brute(template, words)
+            assert scanner.scan(" ".join(words).encode())[2] == expected, (template, words)
+            hits += len(expected)
+    assert hits > 1000
+
+
+def test_the_query_against_a_scan_of_every_word(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    found = 0
+    for row in queries.QUERIES["op10_licenses"](spark, SF_DIR).collect():
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), docs[row["doc_id"]] or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+        at = [(i, label) for phrase, label in license_scan.PHRASES.items() for i in range(len(words))
+              if words[i:i + len(phrase.split())] == phrase.split()]
+        assert row["n_words"] == len(words) and row["n_base"] == len(at)
+        assert row["first_word"] == min((i for i, _ in at), default=None)
+        assert row["last_word"] == max((i for i, _ in at), default=None)
+        base = {label for _, label in at}
+        assert row["base_labels"] == ",".join(sorted(base))
+        assert base <= set(filter(None, row["labels"].split(","))) and 0 <= row["score"] <= 1
+        found += len(at)
+    assert found > 0
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 7, "x"), (2, "", 7, None), (3, MIT, 8, "x"), (3, MIT, 8, "x"), (None, MIT, 8, "x"),
+            (4, "word " * 300_000 + MIT, 9, "x"), (5, "x" * 2_000_000, 9, "x"), (6, "copyright " * 50_000, 9, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_words int, score string")
+    got = license_scan.scan_licenses(df).collect()
+    labels = sorted((str(r["id"]), [p["label"] for p in r["template_places"]], r["n_words"] > 0) for r in got)
+    assert labels == [("1", [], False), ("2", [], False), ("3", ["mit"], True), ("3", ["mit"], True),
+                      ("4", ["mit"], True), ("5", [], True), ("6", [], True), ("None", ["mit"], True)]
+    assert license_scan.scan_licenses(df.limit(0)).count() == 0
