@@ -50,6 +50,11 @@ PERCENT = 80
 MARGIN = 0.12
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 2048
+#: Bytes of full sets (8 a shingle) from which on one side of a meeting is cut in pieces. A task holds two
+#: pieces at a time, each with at most one set more than this.
+SET_BYTES = 64 << 20
+#: Bits of a piece's number below that of its block.
+PIECE_BITS = 16
 #: Most similar nodes of other components that each node is verified with before all others.
 FIRST_PAIRS = 4
 
@@ -275,6 +280,8 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
 
 _MEMBER = ("band int, bucket bigint, p int, q int, part int, node bigint, component bigint, "
            "size bigint, registers binary")
+#: The same after blocks were cut in pieces: both numbers are in one.
+_CUT = _MEMBER.replace("p int, q int, part int", "p bigint, q bigint, part bigint")
 
 
 def _meetings(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -314,15 +321,17 @@ def _best_across(rows: DataFrame, percent: int, most: int) -> DataFrame:
 def _links_across(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int,
                   percent: int) -> DataFrame:
     """All links (a, b) between different components. No pair leaves a task unless it is one:
-    the first pass keeps the nodes that stand in a likely pair, the second, which has their
-    full sets, compares the likely pairs again."""
+    the first pass keeps the nodes that stand in a likely pair and cuts meetings by the bytes of
+    their full sets, the second, which has these, compares the likely pairs again."""
+    most_bytes = SET_BYTES
+
     def involved(batches):
-        yield from _likely_members(batches, percent)
+        yield from _likely_members(batches, percent, most_bytes)
 
     def run(batches):
         yield from _true_links(batches, percent)
 
-    likely = written(_dealt(rows).mapInArrow(involved, _MEMBER), "likely")
+    likely = written(_dealt(rows).mapInArrow(involved, _CUT), "likely")
     sets = written(_sets(likely.select("node").distinct(), docs, id_col, text_col, width), "sets")
     return _dealt(likely.join(sets, "node").select(*likely.columns, "shingles")).mapInArrow(
         run, "a bigint, b bigint").distinct()
@@ -382,6 +391,30 @@ class _Meeting:
             if len(others):
                 yield np.full(len(others), lo + i), lo + others
 
+    def cut(self, rows: np.ndarray, most_bytes: int):
+        """(rows, p, q, part) of smaller meetings in which each two of the chosen rows that met here
+        meet once more: each block is cut in pieces by the bytes of its full sets, and each two
+        pieces that have to be compared meet. Mostly there is one piece."""
+        for lo, hi in self.groups():
+            own = lo + np.flatnonzero(rows[lo:hi])
+            if not len(own):
+                continue
+            ends, piece = (int(self.p[lo]), int(self.q[lo])), np.zeros(len(own), np.int64)
+            pieces = []
+            for end in ends:
+                at = np.flatnonzero(self.part[own] == end)
+                own_bytes = 8 * self.size[own[at]]
+                piece[at] = (np.cumsum(own_bytes) - own_bytes) // most_bytes
+                pieces.append(np.unique(piece[at]).tolist())
+            part = (self.part[own].astype(np.int64) << PIECE_BITS) | piece
+            for u in pieces[0]:
+                for v in pieces[1]:
+                    if ends[0] == ends[1] and v < u:
+                        continue
+                    p, q = (ends[0] << PIECE_BITS) | u, (ends[1] << PIECE_BITS) | v
+                    here = (part == p) | (part == q)
+                    yield own[here], p, q, part[here]
+
     def likely(self, percent: int, once: bool):
         """(first, second, equal registers, whether this is their first common band) of the
         likely pairs, some at a time."""
@@ -440,14 +473,19 @@ def _best_pairs(batches, percent: int, most: int):
                  pa.array(equal[pick])], names=["node", "other", "equal"])
 
 
-def _likely_members(batches, percent: int):
+def _likely_members(batches, percent: int, most_bytes: int):
     import pyarrow as pa
 
     for meeting in _whole_meetings(batches):
         rows = np.zeros(len(meeting.node), bool)
         for first, second, _, here in meeting.likely(percent, once=True):
             rows[first[here]] = rows[second[here]] = True
-        yield meeting.rows.filter(pa.array(rows))
+        for take, p, q, part in meeting.cut(rows, most_bytes):
+            kept = meeting.rows.take(pa.array(take))
+            cut = {"p": np.full(len(take), p), "q": np.full(len(take), q), "part": part}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cut[name], pa.int64()) if name in cut else kept.column(name)
+                 for name in kept.schema.names], names=kept.schema.names)
 
 
 def _true_links(batches, percent: int):
