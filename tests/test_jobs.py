@@ -7,7 +7,9 @@ import pytest
 
 from conftest import ROOT
 from test_plans import CSV
+from tallyroom.contracts import PLAYERS
 from tallyroom.jobs import dashboard, extract, load, transform
+from tallyroom.sinks.versions import VersionedSink
 from tallyroom.session import MAX_TASKS, get_session, input_bytes, scratch_dir, size_tasks
 
 
@@ -134,3 +136,19 @@ def test_extract_fails_on_unsafe_members_unless_told_to_skip_them(spark, tmp_pat
     assert said == {"a.csv": ("written", False), "../b.csv": ("unsafe", True)}
     extract.main([*arguments, "--skip-unsafe"])
     assert (tmp_path / "out" / "a.csv").exists() and not (tmp_path / "b.csv").exists()
+
+
+def test_load_as_views_over_versions(spark, tmp_path, capsys):
+    (tmp_path / "in.csv").write_text(CSV)
+    stages, journal = str(tmp_path / "stages"), str(tmp_path / "journal")
+    transform.main(["--input", str(tmp_path / "in.csv"), "--output", stages])
+    for _ in range(2):
+        load.main(["--input", stages, "--tables-root", str(tmp_path / "tables"), "--journal", journal])
+    assert spark.catalog.getTable("player_metadata").tableType == "VIEW"
+    assert spark.table("player_metadata").count() == 3
+    with pytest.raises(SystemExit):
+        load.main(["--input", stages, "--jdbc-url", "jdbc:x", "--journal", journal])
+    sink = VersionedSink(spark, journal)
+    for t in PLAYERS.tables:
+        sink.remove(t)
+    assert not spark.catalog.tableExists("player_metadata")
