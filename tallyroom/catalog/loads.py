@@ -20,6 +20,7 @@ from ..sinks.parquet import write_parquet
 from ..sinks.versions import VersionedSink
 from ..sources.delimited import malformed_rows, read_with_records
 from ..sources.parquet import read_parquet
+from ..sources.statistics import stored_bounds, stored_rows
 from .registry import query, table
 from .storage import LINES, ORDER_COLUMNS, fresh_names
 
@@ -285,3 +286,22 @@ def region_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
               .groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")))
     return place_by_pattern(counts, nation, "name", "n_nationkey")
+
+
+@query("""
+SELECT 'price' AS name, CAST(trunc(min(l_extendedprice)) AS BIGINT) AS lo,
+       CAST(trunc(max(l_extendedprice)) AS BIGINT) AS hi, count(*) AS n FROM lineitem
+UNION ALL SELECT 'size', min(p_size)::BIGINT, max(p_size)::BIGINT, count(*) FROM part
+UNION ALL SELECT 'key', min(o_orderkey)::BIGINT, max(o_orderkey)::BIGINT, count(*) FROM orders
+""")
+def value_bounds_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds and row counts of stored tables, from the footers of their files."""
+    out = None
+    for name, stored, value in (("price", "lineitem", "l_extendedprice"), ("size", "part", "p_size"),
+                                ("key", "orders", "o_orderkey")):
+        path = f"{sf_dir.rstrip('/')}/{stored}.parquet"
+        part = stored_bounds(spark, path, value).select(
+            F.lit(name).alias("name"), "lo", "hi",
+            F.lit(stored_rows(spark, path)).cast("bigint").alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
 from tallyroom.plans.dashboard import Dashboard
-from tallyroom.session import get_session, input_bytes, run_job, run_together, size_tasks
+from tallyroom.session import get_session, input_bytes, run_job, run_together, sized_tasks
 from tallyroom.sources.parquet import read_parquet
 
 
@@ -30,23 +30,23 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rows", action="store_true", help="also copy all filtered rows")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-dashboard")
-    size_tasks(spark, input_bytes(spark, args.input))
-    keep = StorageLevel.MEMORY_AND_DISK if args.keep == "memory" else None
-    countries = read_parquet(spark, args.countries) if args.countries else None
-    board = Dashboard(read_parquet(spark, args.input), countries=countries, keep=keep)
-    try:
-        views = board.views(tuple(args.rating) if args.rating else None, args.region, args.seed)
-        views = board.inputs() | views
-        if not args.rows:
-            del views["rows"]
-        if keep is not None:
-            # Filled once: views that start together would each compute the same partitions.
-            board.rows.count()
-        run_together(spark, [partial(_write, view, f"{args.output.rstrip('/')}/{name}")
-                             for name, view in views.items()])
-        print(f"wrote {', '.join(views)}")
-    finally:
-        board.close()
+    with sized_tasks(spark, input_bytes(spark, args.input)):
+        keep = StorageLevel.MEMORY_AND_DISK if args.keep == "memory" else None
+        countries = read_parquet(spark, args.countries) if args.countries else None
+        board = Dashboard(read_parquet(spark, args.input), countries=countries, keep=keep)
+        try:
+            views = board.views(tuple(args.rating) if args.rating else None, args.region, args.seed)
+            views = board.inputs() | views
+            if not args.rows:
+                del views["rows"]
+            if keep is not None:
+                # Filled once: views that start together would each compute the same partitions.
+                board.rows.count()
+            run_together(spark, [partial(_write, view, f"{args.output.rstrip('/')}/{name}")
+                                 for name, view in views.items()])
+            print(f"wrote {', '.join(views)}")
+        finally:
+            board.close()
 
 
 if __name__ == "__main__":

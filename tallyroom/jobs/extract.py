@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from tallyroom.errors import ContractError
-from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.session import get_session, input_bytes, run_job, sized_tasks
 from tallyroom.sources.archive import UNSAFE, extract_archives, read_manifest
 
 
@@ -18,16 +18,16 @@ def main(argv: list[str] | None = None) -> None:
                         help="do not fail on members whose names leave the folder")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-extract")
-    tasks = size_tasks(spark, input_bytes(spark, args.input))
-    files = extract_archives(spark, args.input, args.output, args.folder_per_archive, tasks)
-    print(f"{files.count()} members written to {args.output}")
-    unsafe = read_manifest(spark, args.output).where(f"status = '{UNSAFE}'")
-    n_unsafe = unsafe.count()
-    # The first hundred names; the manifest lists all.
-    for r in unsafe.orderBy("archive", "member").limit(100).collect():
-        print(f"not written, unsafe name: {r.member} in {r.archive}")
-    if n_unsafe and not args.skip_unsafe:
-        raise ContractError(f"{n_unsafe} members with unsafe names were not written")
+    with sized_tasks(spark, input_bytes(spark, args.input)) as tasks:
+        files = extract_archives(spark, args.input, args.output, args.folder_per_archive, tasks)
+        print(f"{files.count()} members written to {args.output}")
+        unsafe = read_manifest(spark, args.output).where(f"status = '{UNSAFE}'")
+        n_unsafe = unsafe.count()
+        # The first hundred names; the manifest lists all.
+        for r in unsafe.orderBy("archive", "member").limit(100).collect():
+            print(f"not written, unsafe name: {r.member} in {r.archive}")
+        if n_unsafe and not args.skip_unsafe:
+            raise ContractError(f"{n_unsafe} members with unsafe names were not written")
 
 
 if __name__ == "__main__":

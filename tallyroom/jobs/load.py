@@ -8,7 +8,7 @@ import os
 
 from tallyroom.contracts import PLAYERS
 from tallyroom.plans.publish import publish
-from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.session import get_session, input_bytes, run_job, sized_tasks
 from tallyroom.sinks.jdbc import JdbcSink, in_one_transaction
 from tallyroom.sinks.tables import TableSink
 from tallyroom.sinks.versions import VersionedSink
@@ -38,23 +38,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.journal and args.jdbc_url:
         parser.error("--journal is for Spark tables")
     spark = get_session("tallyroom-load", jars=args.jars)
-    size_tasks(spark, input_bytes(spark, args.input))
-    if args.journal and (args.tables_root or args.in_place):
-        sink = VersionedSink(spark, args.journal, args.tables_root, args.database)
-    elif args.tables_root or args.in_place:
-        sink = TableSink(spark, args.tables_root, args.database)
-    else:
-        properties = {"user": os.environ["JDBC_USER"], "password": os.environ["JDBC_PASSWORD"]}
-        if args.jdbc_driver:
-            properties["driver"] = args.jdbc_driver
-        run_statements = None
-        if args.client:
-            client = importlib.import_module(args.client)
-            run_statements = in_one_transaction(lambda: client.connect(os.environ["DATABASE_DSN"]))
-        sink = JdbcSink(args.jdbc_url, properties, run_statements,
-                        num_partitions=args.connections)
-    for name in publish(spark, PLAYERS, args.input, sink, args.on_missing):
-        print(f"published {name}")
+    with sized_tasks(spark, input_bytes(spark, args.input)):
+        if args.journal and (args.tables_root or args.in_place):
+            sink = VersionedSink(spark, args.journal, args.tables_root, args.database)
+        elif args.tables_root or args.in_place:
+            sink = TableSink(spark, args.tables_root, args.database)
+        else:
+            properties = {"user": os.environ["JDBC_USER"], "password": os.environ["JDBC_PASSWORD"]}
+            if args.jdbc_driver:
+                properties["driver"] = args.jdbc_driver
+            run_statements = None
+            if args.client:
+                client = importlib.import_module(args.client)
+                run_statements = in_one_transaction(lambda: client.connect(os.environ["DATABASE_DSN"]))
+            sink = JdbcSink(args.jdbc_url, properties, run_statements,
+                            num_partitions=args.connections)
+        for name in publish(spark, PLAYERS, args.input, sink, args.on_missing):
+            print(f"published {name}")
 
 
 if __name__ == "__main__":

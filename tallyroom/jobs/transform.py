@@ -6,7 +6,7 @@ import argparse
 
 from tallyroom.contracts import PLAYERS
 from tallyroom.plans.stages import MALFORMED, build_audited_stages
-from tallyroom.session import get_session, input_bytes, run_job, size_tasks
+from tallyroom.session import get_session, input_bytes, run_job, sized_tasks
 from tallyroom.sources.delimited import read_with_records
 
 
@@ -20,13 +20,13 @@ def main(argv: list[str] | None = None) -> None:
                         help="overwrite stages under the root; none of them may be served")
     args = parser.parse_args(argv)
     spark = get_session("tallyroom-transform")
-    size_tasks(spark, input_bytes(spark, args.input))
-    records = read_with_records(spark, args.input, args.multi_line)
-    counts = build_audited_stages(records, PLAYERS, args.output, args.replace)
-    malformed = counts.pop("malformed")
-    for stage, rows in counts.items():
-        print(f"{stage}: {rows} rows")
-    print(f"malformed: {malformed} rows, kept whole in {args.output}/{MALFORMED}")
+    with sized_tasks(spark, input_bytes(spark, args.input)):
+        records = read_with_records(spark, args.input, args.multi_line)
+        counts = build_audited_stages(records, PLAYERS, args.output, args.replace)
+        malformed = counts.pop("malformed")
+        for stage, rows in counts.items():
+            print(f"{stage}: {rows} rows")
+        print(f"malformed: {malformed} rows, kept whole in {args.output}/{MALFORMED}")
 
 
 if __name__ == "__main__":

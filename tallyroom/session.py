@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,9 @@ SHUFFLE_TASK_BYTES = 128 << 20
 # are the better choice (100 TB: 2 GB per scan task, 4 GB per shuffle task).
 MAX_TASKS = 50_000
 
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+_START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     # Merge small shuffle tasks up to the advisory size instead of keeping as
@@ -72,21 +76,34 @@ def size_tasks(spark: SparkSession, stored_bytes: int, growth: float = 2.0) -> i
     tasks but never adds any, so the number to start with must be large enough.
     Settings given by the user are kept.
     """
-    split = "spark.sql.files.maxPartitionBytes"
-    if not spark.sparkContext.getConf().contains(split):
-        spark.conf.set(split, str(max(128 << 20, stored_bytes // MAX_TASKS)))
-    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    given = spark.sparkContext.getConf().get(start)
+    if not spark.sparkContext.getConf().contains(_SPLIT):
+        spark.conf.set(_SPLIT, str(max(128 << 20, stored_bytes // MAX_TASKS)))
+    given = spark.sparkContext.getConf().get(_START)
     if given is not None:
         return int(given)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(least, min(MAX_TASKS, math.ceil(stored_bytes * growth / SHUFFLE_TASK_BYTES)))
-    spark.conf.set(start, str(tasks))
+    spark.conf.set(_START, str(tasks))
     return tasks
 
 
+@contextmanager
+def sized_tasks(spark: SparkSession, stored_bytes: int, growth: float = 2.0) -> Iterator[int]:
+    """``size_tasks`` for what runs inside; afterwards the session has its settings back."""
+    before = {name: spark.conf.get(name, None) for name in (_SPLIT, _START)}
+    try:
+        yield size_tasks(spark, stored_bytes, growth)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name that every executor can reach.
+    """A new folder name that every executor can reach; what is written there goes when the
+    driver's JVM ends.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
     session, where driver and executors are one process, may fall back to /tmp.
@@ -96,7 +113,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyroom-")
-    return f"{base.rstrip('/')}/tallyroom/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tallyroom/{label}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Only a folder that exists can be marked.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{path}/data"
 
 
 def run_together(spark: SparkSession, actions: Sequence[Callable[[], Any]]) -> list[Any]:

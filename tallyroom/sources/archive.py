@@ -12,6 +12,7 @@ must know their scheme (local, hdfs, s3, gs).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,7 +60,8 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
                      parallelism: int | None = None) -> DataFrame:
     """Write every safe member under ``out_dir`` and return the list of files.
 
-    Without a scheme ``out_dir`` must be a folder that all executors mount.
+    Without a scheme ``out_dir`` is on the default filesystem of the cluster, as Spark's own paths
+    are; where that is the local one, it must be a folder that all executors mount.
     With ``folder_per_archive`` each archive gets a folder of its own name, which
     many archives with equal member names need; two members for one target are an
     error before anything is written. A member appears under its name only once
@@ -68,6 +70,7 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
     The stored manifest (``read_manifest``) also lists the members left out as unsafe, by
     ``status``.
     """
+    out_dir = placed(spark, out_dir)
     name = F.concat(F.regexp_extract("archive", r"([^/]+?)(\.[^./]*)?$", 1), F.lit("/"))
     target = F.concat(F.lit(out_dir.rstrip("/") + "/"),
                       name if folder_per_archive else F.lit(""), F.col("member"))
@@ -89,6 +92,19 @@ def extract_archives(spark: SparkSession, path: str | list[str], out_dir: str,
     return read_manifest(spark, out_dir).where(F.col("status") == WRITTEN).drop("status")
 
 
+def placed(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the default filesystem, unless it has one or that is the local one.
+
+    Executors open it without Spark's settings, so they cannot tell.
+    """
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) or default.startswith("file:"):
+        return path
+    if not path.startswith("/"):
+        raise ContractError(f"{path}: give the whole path, it is on {default}")
+    return default.rstrip("/") + path
+
+
 def _manifest(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/_manifest"
 
@@ -240,7 +256,7 @@ def _write_members() -> Callable[[Iterator], Iterator]:
 
         for batch in batches:
             for path, member, target in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if "://" in target or target.startswith("file:"):
+                if ":" in target.split("/", 1)[0]:
                     to_system, to = fs.FileSystem.from_uri(
                         target.replace("s3a://", "s3://", 1))
                 else:

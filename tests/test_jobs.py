@@ -1,5 +1,6 @@
 import os
 import subprocess
+import sys
 import zipfile
 
 import pyspark
@@ -9,7 +10,8 @@ from conftest import ROOT
 from test_plans import CSV
 from tallyroom.contracts import PLAYERS
 from tallyroom.jobs import dashboard, extract, load, transform
-from tallyroom.session import MAX_TASKS, get_session, input_bytes, scratch_dir, size_tasks
+from tallyroom.session import (MAX_TASKS, get_session, input_bytes, scratch_dir, size_tasks,
+                               sized_tasks)
 from tallyroom.sinks.versions import VersionedSink
 
 
@@ -91,6 +93,25 @@ def test_shuffles_are_sized_from_the_input(spark, tmp_path):
         spark.conf.set(split, before)
 
 
+def test_a_reused_session_has_its_settings_back(spark):
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split), spark.conf.get(start, None)
+    with pytest.raises(ZeroDivisionError), sized_tasks(spark, 100 << 40) as tasks:
+        assert tasks == MAX_TASKS == int(spark.conf.get(start))
+        raise ZeroDivisionError
+    assert (spark.conf.get(split), spark.conf.get(start, None)) == before
+
+
+def test_scratch_folders_go_with_the_driver(tmp_path):
+    script = ("from pyspark.sql import SparkSession\nfrom tallyroom.session import scratch_dir\n"
+              "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config("
+              f"'spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+              "p = scratch_dir(s, 'x')\ns.range(3).write.parquet(p)\nassert s.read.parquet(p).count() == 3")
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=ROOT, capture_output=True)
+    assert list((tmp_path / "tallyroom").iterdir()) == []
+
+
 def test_scratch_folders_are_under_the_shared_folder_and_new(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")

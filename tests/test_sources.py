@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from conftest import plan_of, rows_of
 from tallyroom.contracts import Column
 from tallyroom.errors import ContractError
-from tallyroom.sources.archive import archive_lines, archive_members, dealt, extract_archives
+from tallyroom.sources.archive import (archive_lines, archive_members, dealt, extract_archives,
+                                       placed)
 from tallyroom.sources.delimited import read_delimited
 from tallyroom.sources.jdbc import range_options, read_table
 from tallyroom.sources.parquet import empty_frame, read_parquet
@@ -194,3 +195,18 @@ def test_members_of_skewed_sizes_are_packed_by_bytes(spark):
     empty = listed.withColumn("bytes", F.lit(0).cast("bigint"))
     counts = [r["count"] for r in dealt(empty, 16).groupBy(F.spark_partition_id()).count().collect()]
     assert len(counts) == 16 and max(counts) <= 626
+
+
+def test_paths_without_a_scheme_are_on_the_default_filesystem(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert placed(spark, "/out") == "/out" and placed(spark, "out") == "out"
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://names:8020/")
+    try:
+        assert placed(spark, "/out/x") == "hdfs://names:8020/out/x"
+        assert placed(spark, "file:/out") == "file:/out"
+        assert placed(spark, "s3a://bucket/out") == "s3a://bucket/out"
+        with pytest.raises(ContractError):
+            placed(spark, "out")
+    finally:
+        conf.set("fs.defaultFS", before)
