@@ -31,7 +31,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, slices, text_bytes, utf8
@@ -45,9 +45,10 @@ LEAST_COUNT = 3
 #: Gaps beyond this many bytes count as this.
 MAX_GAP = 20
 THRESHOLD = 0.3
-#: Bounds of the training sample: documents per label, bytes of one document.
+#: Bounds of the training sample: documents per label, bytes of one document and of all of a label.
 SAMPLE_DOCS = 3000
 SAMPLE_BYTES = 64 << 10
+SAMPLE_TOTAL = 48 << 20
 
 
 @dataclass
@@ -172,7 +173,10 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
                         utf8(text_col).alias("text"))
             .where(F.length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "id")
             # Of rows that share an id the least text counts; tasks reduce them before the shuffle.
-            .groupBy("place", "id", "label").agg(F.min("text").alias("text")).collect())
+            .groupBy("place", "id", "label").agg(F.min("text").alias("text")))
+    # At most sample_docs rows of a label stand in one window.
+    held = F.sum(F.length("text")).over(Window.partitionBy("label").orderBy("place", "id"))
+    rows = rows.withColumn("held", held).where(F.col("held") <= SAMPLE_TOTAL).drop("held").collect()
     return [(r.label, bytes(r.text)) for r in sorted(rows, key=lambda r: r[:3])], share
 
 

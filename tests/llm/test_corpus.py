@@ -488,6 +488,23 @@ def test_samples_are_bounded_in_rows_not_only_in_ids(spark):
     assert all((a[1] == b[1]).all() and a[0] == b[0] for a, b in zip(lines, again, strict=True))
 
 
+def test_the_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word " * (20 + i), "", 0, "") for i in range(40)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)],
+                                   "doc_id bigint, quality int, toxic int")
+    args = docs, labels, "doc_id", "text", "toxic", None, 50
+    whole, share = toxicity._sample(*args)
+    assert len(whole) == 40
+    monkeypatch.setattr(toxicity, "SAMPLE_TOTAL", 1000)
+    cut, same = toxicity._sample(*args)
+    assert same == share and 0 < len(cut) < 20
+    for label in (0, 1):
+        mine = [t for k, t in cut if k == label]
+        assert sum(map(len, mine)) <= 1000
+        # The first of the label in the order of the hash.
+        assert mine == [t for k, t in whole if k == label][:len(mine)]
+
+
 # The address of the Apache licence
 
 def test_the_apache_notice_is_found_with_either_address(spark):
