@@ -505,6 +505,21 @@ def test_the_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
         assert mine == [t for k, t in whole if k == label][:len(mine)]
 
 
+def test_words_count_once_for_each_new_pair_of_neighbours():
+    rng = np.random.default_rng(4)
+    texts = [b" ".join(rng.choice([b"a", b"B", b"b", b"cc", b"\xff"], rng.integers(0, 9)))
+             for _ in range(300)] + [b"", b" \n "]
+    for some in (texts, texts[:1], [], [b""], [b"a"]):
+        seen, want = set(), {}
+        for text in some:
+            w = [b"", *text.lower().split(), b""]
+            new = {w[i - 1:i + 2].__str__(): w[i] for i in range(1, len(w) - 1)}
+            for word in {x for k, x in new.items() if k not in seen}:
+                want[word] = want.get(word, 0) + 1
+            seen |= set(new)
+        assert dict(toxicity._document_counts(some)) == want
+
+
 # The address of the Apache licence
 
 def test_the_apache_notice_is_found_with_either_address(spark):
