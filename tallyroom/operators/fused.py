@@ -15,16 +15,16 @@ WHOLE = "whole"
 
 
 def grouped_together(df: DataFrame, keys: Mapping[str, list[str]],
-                     aggregates: Mapping[str, Column]) -> DataFrame:
+                     aggregates: Mapping[str, Column], whole: bool = True) -> DataFrame:
     """One row per view and group: ``view``, every key column, the aggregates.
 
     ``keys`` names the key columns of each view; columns that a view does not group by are
-    null in its rows. ``WHOLE`` is there besides, unless its name is taken. All views come from one pass: Spark
+    null in its rows. ``WHOLE`` is there besides, unless its name is taken or ``whole`` is false. All views come from one pass: Spark
     expands each row into one per view (GROUPING SETS) and combines them in the task that read
     it, so only groups are shuffled. Rows whose keys are all null belong to a group of
     their own; ``view_of`` leaves it out.
     """
-    views = {**({} if WHOLE in keys else {WHOLE: []}), **keys}
+    views = {**({WHOLE: []} if whole and WHOLE not in keys else {}), **keys}
     names = list(dict.fromkeys(k for ks in views.values() for k in ks))
     top = len(names) - 1
     # Spark numbers a grouping set by the keys that it does not hold, the first key being

@@ -26,14 +26,22 @@ from .dashboard import HISTOGRAM_BINS, SAMPLE_ROWS, TOP_GROUPS, Roles
 # The rows whose digests are looked at for the cut of a sample: one in so many, by hash.
 _LOOKED_AT = 16
 
+# The bounds of a cube's top rows: about a cell each for the few thousand that filters have.
+_BUCKETS = 4096
+
 _SAMPLES = ("rating_value_sample", "age_potential_sample")
 
 
+def _negative(df: DataFrame, roles: Roles) -> Column:
+    """Ascending from the largest known value."""
+    return F.when(known(df, roles.value), -col(roles.value).cast("double"))
+
+
 def _top(df: DataFrame, roles: Roles) -> Column:
     """The least of these is the row with the largest value, smallest key on ties."""
     k, v = col(roles.key), col(roles.value)
     return F.when(known(df, roles.value), F.struct(
-        (-v.cast("double")).alias("negative"), k.isNull().alias("unknown"), k.alias("key"),
+        _negative(df, roles).alias("negative"), k.isNull().alias("unknown"), k.alias("key"),
         col(roles.label).alias("label"), v.alias("value")))
 
 
@@ -132,15 +140,39 @@ _DIMENSIONS = ("age", "category", "group")
 def build_cube(table: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Partial aggregates by (region, rating) and, each for itself, age, category and group.
 
-    One scan and one shuffle of groups, sorted for the filters when it is written.
+    ``top`` is held by the cells of (region, rating), which every filter is made of; it is null in the
+    rows of the dimensions. All rows are grouped by numbers alone, in hash maps: the least of structs
+    needs rows sorted in the tasks that read them, which spills, so it is taken of the few rows that
+    can be a cell's top. Four scans, each of the columns it needs; only groups are shuffled.
     """
     df = nans_to_nulls(table.select(*[col(c) for c in roles.columns]))
+    cells = ["region", "rating"]
     rows = df.select(col(roles.region).alias("region"), col(roles.rating).alias("rating"),
                      *[col(getattr(roles, d)).alias(d) for d in _DIMENSIONS],
-                     _top(df, roles).alias("top"))
-    cells = ["region", "rating"]
-    return grouped_together(rows, {WHOLE: cells, **{d: [*cells, d] for d in _DIMENSIONS}},
-                            {"n": F.count(F.lit(1)), "top": F.min("top")})
+                     _negative(df, roles).alias("negative"), _top(df, roles).alias("top"))
+    dimensions = grouped_together(rows, {d: [*cells, d] for d in _DIMENSIONS},
+                                  {"n": F.count(F.lit(1))}, whole=False)
+    counts = rows.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"))
+    tops = (rows.where(F.col("negative") <= _weakest_top(rows, cells))
+            .groupBy(*cells).agg(F.min("top").alias("top")))
+    whole = (counts.unionByName(tops, allowMissingColumns=True).groupBy(*cells)
+             .agg(F.sum("n").alias("n"), F.min("top").alias("top")))
+    return dimensions.unionByName(whole.withColumn(VIEW, F.lit(WHOLE)), allowMissingColumns=True)
+
+
+def _weakest_top(rows: DataFrame, cells: list[str]) -> Column:
+    """What ``negative`` is at most in the top row of the cell of a row.
+
+    Cells are spread over a fixed number of buckets; a bucket's bound is that of its weakest cell. So it
+    is one small array however many cells there are, and exact where a bucket holds one cell.
+    """
+    bucket = F.pmod(F.xxhash64(*cells), F.lit(_BUCKETS)).cast("int")
+    bounds = (rows.groupBy(*cells).agg(F.min("negative").alias("best"))
+              .groupBy(bucket.alias("bucket")).agg(F.max("best").alias("bound")))
+    spread = (rows.sparkSession.range(_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+              .join(bounds, "bucket", "left")
+              .agg(F.array_sort(F.collect_list(F.struct("bucket", "bound"))).alias("bounds")))
+    return F.get(spread.select(F.col("bounds.bound")).scalar(), bucket)
 
 
 def cube_views(cube: DataFrame, roles: Roles = Roles(), rating: tuple[Any, Any] | None = None,

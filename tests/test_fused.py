@@ -8,6 +8,7 @@ from conftest import plan_of, rows_of
 from tallyroom.operators.distributions import histogram
 from tallyroom.operators.fused import WHOLE, grouped_together, view_of
 from tallyroom.plans.dashboard import Dashboard, Roles
+from tallyroom.plans import fused
 from tallyroom.plans.fused import build_cube, cube_views, dashboard_facts, views
 
 FILTERS = [{}, {"rating": (62, 80)}, {"region": "Spain"}, {"rating": (1, 2)},
@@ -88,3 +89,31 @@ def test_a_weighted_histogram_counts_rows(spark):
     df = spark.createDataFrame([(1, 3), (30, 2), (None, 9)], "v int, n bigint")
     plain = spark.createDataFrame([(1,)] * 3 + [(30,)] * 2 + [(None,)] * 9, "v int")
     assert rows_of(histogram(df, "v", weight="n")) == rows_of(histogram(plain, "v"))
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 4096])
+def test_tops_of_a_cube_are_right_when_cells_share_a_bucket(spark, table, tmp_path, monkeypatch, buckets):
+    monkeypatch.setattr(fused, "_BUCKETS", buckets)
+    cube = parted(build_cube(table), tmp_path, "cube")
+    for filters in FILTERS:
+        top = Dashboard(table, keep=None).views(**filters)["top_entity"]
+        assert rows_of(cube_views(cube, **filters)["top_entity"]) == rows_of(
+            top.select("full_name", "short_name", "value_eur")), filters
+    cells = view_of(cube, WHOLE, []).select("region", "rating", "n")
+    assert rows_of(cells) == rows_of(table.groupBy("nationality", "overall").count())
+
+
+def test_all_rows_of_a_cube_are_grouped_without_a_sort(spark, table, tmp_path, capsys):
+    # A sort of all rows, once a grouping, in the tasks that read them spills many times the input.
+    plan = plan_of(build_cube(parted(table, tmp_path, "table")), capsys)
+    assert re.findall(r"(\w+) \(\d+\)\n[ :+-]*Expand \(", plan) == ["HashAggregate"]
+    scans = re.findall(r"(\w+) \(\d+\)\n[ :+-]*Scan parquet", plan)
+    assert scans and "Sort" not in scans
+
+
+def test_few_rows_are_looked_at_for_the_tops(spark, players):
+    table = players(*[{"full_name": f"p{i}", "overall": 60 + i % 3, "value_eur": float(i % 97)}
+                      for i in range(600)])
+    rows = table.selectExpr("nationality AS region", "overall AS rating", "-value_eur AS negative")
+    kept = rows.where(rows["negative"] <= fused._weakest_top(rows, ["region", "rating"]))
+    assert {tuple(r) for r in kept.collect()} == {("N", r, -96.0) for r in (60, 61, 62)}
