@@ -100,20 +100,22 @@ def require_contract(df: DataFrame, table: Table, written: Fingerprint | None =
     """Raise one error that lists every failed check; collects a row per check only.
 
     ``written``: the fingerprint that the table had when it was written with unique keys. If it is
-    still the same, keys are not grouped again; if not, that is the error.
+    still the same, keys are not grouped again; if not, that is an error beside those of the checks.
     """
+    changed = []
     if written is not None and (found := fingerprint(df)) != written:
-        raise ContractError(f"{table.name}: the stored rows are not those that were written "
-                            f"({found.n} rows, {written.n} written)")
+        changed.append("the stored rows are not those that were written "
+                       f"({found.n} rows, {written.n} written)")
     wrong = [f"{f.name} is {f.dataType.simpleString()}, not {want.simpleString()}"
              for f in require_columns(df, table.names).select(*table.names).schema
              if f.dataType != (want := table.schema[f.name].dataType)]
     if wrong:
-        raise ContractError(f"{table.name}: {'; '.join(wrong)}")
-    bad = contract_report(df, table, written is not None).where(F.col("n_bad") > 0).collect()
-    if bad:
+        raise ContractError(f"{table.name}: {'; '.join(wrong + changed)}")
+    proven = written is not None and not changed
+    bad = contract_report(df, table, proven).where(F.col("n_bad") > 0).collect()
+    if bad or changed:
         raise ContractError(f"{table.name}: " + "; ".join(
-            f"{r['check']} ({r['n_bad']} violations)" for r in bad))
+            [f"{r['check']} ({r['n_bad']} violations)" for r in bad] + changed))
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
