@@ -141,23 +141,27 @@ def build_cube(table: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Partial aggregates by (region, rating) and, each for itself, age, category and group.
 
     ``top`` is held by the cells of (region, rating), which every filter is made of; it is null in the
-    rows of the dimensions. All rows are grouped by numbers alone, in hash maps: the least of structs
-    needs rows sorted in the tasks that read them, which spills, so it is taken of the few rows that
-    can be a cell's top. Four scans, each of the columns it needs; only groups are shuffled.
+    rows of the dimensions. All rows are counted in hash maps, one grouping at a time so that entries are
+    short. The least of structs needs rows sorted in the tasks that read them, which spills, so it is
+    taken of the few rows that can be a cell's top. Each scan reads the three to five columns it
+    needs; only groups are shuffled.
     """
     df = nans_to_nulls(table.select(*[col(c) for c in roles.columns]))
     cells = ["region", "rating"]
     rows = df.select(col(roles.region).alias("region"), col(roles.rating).alias("rating"),
                      *[col(getattr(roles, d)).alias(d) for d in _DIMENSIONS],
                      _negative(df, roles).alias("negative"), _top(df, roles).alias("top"))
-    dimensions = grouped_together(rows, {d: [*cells, d] for d in _DIMENSIONS},
-                                  {"n": F.count(F.lit(1))}, whole=False)
-    counts = rows.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)).alias("n")
+    counts = rows.groupBy(*cells).agg(n)
     tops = (rows.where(F.col("negative") <= _weakest_top(rows, cells))
             .groupBy(*cells).agg(F.min("top").alias("top")))
     whole = (counts.unionByName(tops, allowMissingColumns=True).groupBy(*cells)
              .agg(F.sum("n").alias("n"), F.min("top").alias("top")))
-    return dimensions.unionByName(whole.withColumn(VIEW, F.lit(WHOLE)), allowMissingColumns=True)
+    cube = whole.withColumn(VIEW, F.lit(WHOLE))
+    for d in _DIMENSIONS:
+        groups = rows.groupBy(*cells, d).agg(n).withColumn(VIEW, F.lit(d))
+        cube = cube.unionByName(groups, allowMissingColumns=True)
+    return cube.select(VIEW, *cells, *_DIMENSIONS, "n", "top")
 
 
 def _weakest_top(rows: DataFrame, cells: list[str]) -> Column:
