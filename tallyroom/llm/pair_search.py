@@ -1,7 +1,8 @@
 """Ranked lexical search: MaxScore whose bounds are tightened by the joint maxima of term pairs.
 
 ``build_index`` cuts the documents into shards of some ``SHARD_BYTES`` of text; a shard is one row
-with the postings (document, occurrences) of all its terms. ``collection`` counts documents, terms
+with the postings (document, occurrences) of all its terms, in the narrowest integers that hold
+them, since rows of several MB are held many times over on their way. ``collection`` counts documents, terms
 and document frequencies. ``weigh`` turns the postings of the terms that are asked for into integer
 impacts and stores, per shard, the largest impact of every term and, for pairs of terms, the
 largest joint impact in the intersection of their lists. ``search`` answers every query in every shard:
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,7 +54,9 @@ TOP = 10
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b
                if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
-_INDEX = ("ids binary, unknown binary, lengths binary, terms array<binary>, starts binary, "
+# ``terms``: of the index, joined by spaces, which no term holds. Whole numbers are ``_narrow``; ids,
+# term numbers and impacts are 64-bit integers.
+_INDEX = ("ids binary, unknown binary, lengths binary, terms binary, starts binary, "
           "docs binary, times binary")
 _WEIGHED = ("ids binary, unknown binary, terms binary, starts binary, docs binary, impacts binary, "
             "maxima binary, firsts binary, seconds binary, joint binary")
@@ -62,6 +66,32 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on, in the narrowest type that holds the largest."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def _wide(packed, n: int) -> np.ndarray:
+    """The ``n`` numbers of a ``_narrow`` array, from its bytes."""
+    return np.frombuffer(packed, f"u{len(packed) // n}" if n else np.uint8)
+
+
+def _cells(batch) -> Iterator[dict]:
+    """The rows of a batch of binary columns, as buffers that are not copied."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_buffer()
+               for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+
+
+def _row(names: str, values: list):
+    """A batch of one row: arrays as their bytes."""
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], pa.binary()) for v in values],
+        names=[c.split()[0] for c in names.split(", ")])
+
+
 def impact(weight, times, length, n_docs: int, n_terms: int):
     """What a term adds to a document's score; all in 64-bit integers."""
     m = 10 + (90 * length * n_docs) // n_terms
@@ -72,8 +102,6 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per shard: ids and lengths of its documents, and the postings of its terms."""
     def run(batches):
-        import pyarrow as pa
-
         def row(ids, lengths, numbers, words):
             """``words``: the term numbers of all documents, one document after the other."""
             n = len(ids)
@@ -82,14 +110,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pair, times = np.unique(flat * n + owner, return_counts=True)
             of = pair // n
             starts = np.searchsorted(of, np.arange(len(numbers) + 1))
-            known = [i is not None for i in ids]
-            packed = [np.array([i or 0 for i in ids], np.int64), ~np.array(known, bool),
-                      np.array(lengths, np.int64), list(numbers), starts.astype(np.int64),
-                      (pair % n).astype(np.int32), times.astype(np.int64)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.list_(pa.binary())) if isinstance(p, list)
-                 else pa.array([p.tobytes()], pa.binary()) for p in packed],
-                names=["ids", "unknown", "lengths", "terms", "starts", "docs", "times"])
+            unknown = np.array([i is None for i in ids])
+            return _row(_INDEX, [np.array([i or 0 for i in ids], np.int64), unknown,
+                                 _narrow(np.array(lengths)), b" ".join(numbers), _narrow(starts),
+                                 _narrow(pair % n), _narrow(times)])
 
         ids, lengths, numbers, words, held = [], [], {}, [], 0
         for keys, texts in slices(batches):
@@ -128,11 +152,12 @@ def collection(index: DataFrame, asked: set[bytes]) -> Collection:
 
         wanted, found, n_docs, n_terms = shared.value, Counter(), 0, 0
         for batch in batches:
-            for lengths, terms, starts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                lengths = np.frombuffer(lengths, np.int64)
-                n_docs += len(lengths)
-                n_terms += int(lengths.sum())
-                sizes = np.diff(np.frombuffer(starts, np.int64)).tolist()
+            for row in _cells(batch):
+                docs = len(row["unknown"])
+                n_docs += docs
+                n_terms += int(_wide(row["lengths"], docs).sum())
+                terms = row["terms"].to_pybytes().split()
+                sizes = np.diff(_wide(row["starts"], len(terms) + 1)).tolist()
                 for term, size in zip(terms, sizes, strict=True):
                     if term in wanted:
                         found[term] += size
@@ -140,7 +165,7 @@ def collection(index: DataFrame, asked: set[bytes]) -> Collection:
             [pa.array([None, *found], pa.binary()), pa.array([n_docs, *found.values()], pa.int64()),
              pa.array([n_terms] + [0] * len(found), pa.int64())], names=["term", "n", "more"])
 
-    rows = (index.select("lengths", "terms", "starts")
+    rows = (index.select("unknown", "lengths", "terms", "starts")
             .mapInArrow(run, "term binary, n bigint, more bigint")
             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("more").alias("more")).collect())
     counts = {None if r.term is None else bytes(r.term): r for r in rows}
@@ -186,21 +211,20 @@ def weigh(index: DataFrame, queries: Queries, counts: Collection) -> DataFrame:
          counts.n_docs, counts.n_terms))
 
     def run(batches):
-        import pyarrow as pa
-
         number, weights, pairs, n_docs, n_terms = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                lengths = np.frombuffer(row["lengths"], np.int64)
-                starts = np.frombuffer(row["starts"], np.int64)
-                docs, times = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["times"], np.int64)
+            for row in _cells(batch):
+                lengths = _wide(row["lengths"], len(row["unknown"])).astype(np.int64)
+                terms = row["terms"].to_pybytes().split()
+                starts = _wide(row["starts"], len(terms) + 1)
+                docs, times = (_wide(row[name], int(starts[-1])) for name in ("docs", "times"))
                 lists, gains = {}, {}
-                for i, term in enumerate(row["terms"]):
+                for i, term in enumerate(terms):
                     if (t := number.get(term)) is not None:
                         part = slice(starts[i], starts[i + 1])
                         lists[t] = docs[part]
-                        gains[t] = impact(weights[t], times[part], lengths[docs[part]],
-                                          n_docs, n_terms)
+                        gains[t] = impact(weights[t], times[part].astype(np.int64),
+                                          lengths[docs[part]], n_docs, n_terms)
                 own = sorted(lists)
                 maxima = {t: int(gains[t].max()) for t in own}
                 joint = []
@@ -211,14 +235,11 @@ def weigh(index: DataFrame, queries: Queries, counts: Collection) -> DataFrame:
                             joint.append((a, b, int((gains[a][at_a] + gains[b][at_b]).max())))
                 joint = np.array(joint, np.int64).reshape(-1, 3)
                 ends = np.cumsum([0] + [len(lists[t]) for t in own])
-                packed = [row["ids"], row["unknown"], np.array(own, np.int64), ends.astype(np.int64),
-                          np.concatenate([lists[t] for t in own] or [np.zeros(0, np.int32)]),
-                          np.concatenate([gains[t] for t in own] or [np.zeros(0, np.int64)]),
-                          np.array([maxima[t] for t in own], np.int64), *joint.T]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p if isinstance(p, bytes) else np.ascontiguousarray(p).tobytes()],
-                              pa.binary()) for p in packed],
-                    names=[c.split()[0] for c in _WEIGHED.split(", ")])
+                yield _row(_WEIGHED, [
+                    row["ids"].to_pybytes(), row["unknown"].to_pybytes(), np.array(own, np.int64),
+                    _narrow(ends), np.concatenate([lists[t] for t in own] or [docs[:0]]),
+                    np.concatenate([gains[t] for t in own] or [np.zeros(0, np.int64)]),
+                    np.array([maxima[t] for t in own], np.int64), *joint.T])
 
     return index.mapInArrow(run, _WEIGHED)
 
@@ -229,8 +250,8 @@ class Shard:
     def __init__(self, row: dict):
         read = lambda name, kind: np.frombuffer(row[name], kind)
         self.ids, self.unknown = read("ids", np.int64), read("unknown", bool)
-        starts, docs, impacts = read("starts", np.int64), read("docs", np.int32), read("impacts", np.int64)
-        terms = read("terms", np.int64).tolist()
+        terms, impacts = read("terms", np.int64).tolist(), read("impacts", np.int64)
+        starts, docs = _wide(row["starts"], len(terms) + 1), _wide(row["docs"], len(impacts))
         self.lists = {t: (docs[a:b], impacts[a:b])
                       for t, a, b in zip(terms, starts.tolist(), starts[1:].tolist(), strict=False)}
         self.maxima = dict(zip(terms, read("maxima", np.int64).tolist(), strict=True))
@@ -304,7 +325,7 @@ def search(weighed: DataFrame, queries: Queries, top: int = TOP) -> DataFrame:
         none = np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
         best = [none] * len(lists)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _cells(batch):
                 shard = Shard(row)
                 for i, found in enumerate(lists):
                     ids, unknown, scores = best[i]
@@ -332,7 +353,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, item_col: str = "item_id",
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(item_id, rank, doc_id, score) of each item's ``top`` documents."""
     spark = docs.sparkSession
-    index = written(build_index(docs, id_col, text_col, shard_bytes), "search-index")
+    index = written(build_index(docs, id_col, text_col, shard_bytes), "search-index", alone=True)
     asked = items.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"),
                          utf8(item_text_col).alias("text"))
     n_blocks = max(1, -(-asked.count() // block_items))
@@ -344,7 +365,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, item_col: str = "item_id",
         queries = Queries.of(texts, counts)
         if not queries.terms:
             continue
-        weighed = written(weigh(index, queries, counts), "search-impacts")
+        weighed = written(weigh(index, queries, counts), "search-impacts", alone=True)
         names = spark.createDataFrame(list(enumerate(queries.items)), "item bigint, item_id bigint")
         # As many rows as the block has items.
         hits = search(weighed, queries, top).join(F.broadcast(names), "item")
